@@ -11,9 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from enrichkit.functions.net import ipv4_to_long
 from enrichkit.functions.records import null_to_empty, row_json
 from enrichkit.functions.text import first_domain
 from enrichkit.operators.blocklist import clean_domain_list, dns_alerts, dns_rejects, parse_dns
+from enrichkit.operators.geo import geo_enrich
+from enrichkit.operators.ranges import cidr_ranges, range_lookup, with_match_status
 from enrichkit.plans import fixtures as fx
 from enrichkit.plans import oracle as o
 from enrichkit.sources.messages import json_values_to_rows
@@ -106,3 +109,97 @@ def dns_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def alert_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     alerts = dns_blocklist_join(spark, sf_dir)
     return alerts.select(row_json(alerts).alias("value"))
+
+
+# --- IP addresses, CIDR blocks and the range lookup ------------------------------------
+
+RANGE_COLS = ["event_id", "ipn", "s", "e", "plen", "geoname_id"]
+
+
+def _range_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blocks as a range table parsed from their CIDR text: (geoname_id, s, e, plen)."""
+    return cidr_ranges(fx.block_networks(spark, sf_dir), "network", "s", "e", "plen").drop("network")
+
+
+def _ip_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.ip_text(spark, sf_dir).select("event_id", ipv4_to_long("ip").alias("ipn"))
+
+
+def _lookup(spark: SparkSession, sf_dir: str, strategy: str, how: str = "inner") -> DataFrame:
+    return range_lookup(
+        _ip_keys(spark, sf_dir), _range_table(spark, sf_dir), "ipn",
+        start="s", end="e", prefix_len="plen", strategy=strategy, how=how,
+    )
+
+
+_RANGE_SQL = o.with_ctes(
+    ["ips", "blocks"],
+    """SELECT i.event_id, i.ipn, b.s, b.e, b.plen, CAST(b.geoname_id AS VARCHAR) AS geoname_id
+       FROM ips i JOIN blocks b ON i.ipn BETWEEN b.s AND b.e""",
+)
+
+
+@register("ipv4_to_long", o.with_ctes(["ips"], "SELECT event_id, ipn FROM ips"))
+def ipv4_to_long_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ip_keys(spark, sf_dir)
+
+
+@register(
+    "cidr_ranges",
+    o.with_ctes(["blocks"], "SELECT s, e, plen, CAST(geoname_id AS VARCHAR) AS geoname_id FROM blocks"),
+)
+def cidr_ranges_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _range_table(spark, sf_dir).select("s", "e", "plen", "geoname_id")
+
+
+@register("ip_range_bucket", _RANGE_SQL)
+def ip_range_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lookup(spark, sf_dir, "bucket").select(*RANGE_COLS)
+
+
+@register("ip_range_between", _RANGE_SQL)
+def ip_range_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lookup(spark, sf_dir, "between").select(*RANGE_COLS)
+
+
+@register("ip_prefix_expand", _RANGE_SQL)
+def ip_prefix_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lookup(spark, sf_dir, "prefix").select(*RANGE_COLS)
+
+
+@register("ip_range_pandas_udf", _RANGE_SQL)
+def ip_range_pandas_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lookup(spark, sf_dir, "pandas").select(*RANGE_COLS)
+
+
+@register(
+    "ip_lookup_status",
+    o.with_ctes(
+        ["ips", "blocks"],
+        """SELECT i.event_id, i.ipn, CAST(b.geoname_id AS VARCHAR) AS geoname_id,
+                  CASE WHEN b.s IS NOT NULL THEN 'matched'
+                       WHEN i.ipn < (SELECT min(s) FROM blocks) THEN 'below'
+                       ELSE 'gap' END AS match_status
+           FROM ips i LEFT JOIN blocks b ON i.ipn BETWEEN b.s AND b.e""",
+    ),
+)
+def ip_lookup_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranges = _range_table(spark, sf_dir)
+    looked = range_lookup(_ip_keys(spark, sf_dir), ranges, "ipn", start="s", end="e", how="left")
+    return with_match_status(looked, ranges, "ipn", start="s").select("event_id", "ipn", "geoname_id", "match_status")
+
+
+@register(
+    "geo_country_join",
+    o.with_ctes(
+        ["ips", "blocks", "countries"],
+        f"""SELECT i.event_id, {o.quad('i.ipn')} AS ip,
+                   {o.quad('b.s')} || '/' || CAST(b.plen AS VARCHAR) AS network,
+                   c.geoname_id, c.country_name, c.continent_name
+            FROM ips i JOIN blocks b ON i.ipn BETWEEN b.s AND b.e
+            JOIN countries c ON c.geoname_id = CAST(b.geoname_id AS VARCHAR)""",
+    ),
+)
+def geo_country_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = geo_enrich(fx.ip_text(spark, sf_dir), fx.block_networks(spark, sf_dir), fx.countries(spark, sf_dir), "ip")
+    return out.select("event_id", "ip", "network", "geoname_id", "country_name", "continent_name")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from enrichkit.functions.net import long_to_ipv4
+from enrichkit.functions.net import long_to_ipv4, shl
 
 # Fixture constants shared with the SQL oracle.
 HOST_PATTERN = r"^https?://([^/:?#]+)"
@@ -109,7 +109,7 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     plen = (F.lit(15) + F.col("p_size") % 10).cast("int")
     s = (F.lit(BLOCK_BASE) + F.col("p_partkey") * BLOCK_STRIDE).cast("bigint")
-    e = s + F.shiftleft(F.lit(1).cast("bigint"), F.lit(32) - plen) - 1
+    e = s + shl(F.lit(1).cast("bigint"), F.lit(32) - plen) - 1
     return part.select(s.alias("s"), e.alias("e"), plen.alias("plen"), (F.col("p_partkey") % 25).alias("geoname_id"))
 
 

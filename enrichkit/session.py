@@ -48,6 +48,7 @@ def build_local_session(cores: int | str = "*", shuffle_partitions: int = 8) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("enrichkit")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
     )
