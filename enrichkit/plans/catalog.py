@@ -12,11 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from enrichkit.functions.net import ipv4_to_long
-from enrichkit.functions.records import null_to_empty, row_json
+from enrichkit.functions.records import null_to_empty, pick_field, row_json
 from enrichkit.functions.text import first_domain
 from enrichkit.operators.blocklist import clean_domain_list, dns_alerts, dns_rejects, parse_dns
 from enrichkit.operators.geo import geo_enrich
+from enrichkit.operators.ids import dense_ids, distinct_keys, get_or_create_ids, hash_ids, missing_keys
+from enrichkit.operators.joins import skew_aware_join
+from enrichkit.operators.profile import value_counts
 from enrichkit.operators.ranges import cidr_ranges, range_lookup, with_match_status
+from enrichkit.session import scratch_path
+from enrichkit.sinks.files import create_table_as, keyed_overwrite, write_csv, write_documents, write_text
+from enrichkit.sources.files import read_csv, read_documents
 from enrichkit.plans import fixtures as fx
 from enrichkit.plans import oracle as o
 from enrichkit.sources.messages import json_values_to_rows
@@ -203,3 +209,204 @@ def ip_lookup_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def geo_country_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = geo_enrich(fx.ip_text(spark, sf_dir), fx.block_networks(spark, sf_dir), fx.countries(spark, sf_dir), "ip")
     return out.select("event_id", "ip", "network", "geoname_id", "country_name", "continent_name")
+
+
+# --- Per-field value counts -------------------------------------------------------------
+
+
+@register(
+    "value_count_one_field",
+    """SELECT 'event_type' AS field, event_type AS val, count(*) AS count
+       FROM events GROUP BY event_type HAVING count(*) > 1""",
+)
+def value_count_one_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return value_counts(fx.table(spark, sf_dir, "events"), ["event_type"])
+
+
+@register(
+    "value_counts",
+    o.with_ctes(
+        ["documents_map"],
+        """SELECT field, val, count(*) AS count FROM (
+             SELECT 'event_type' AS field, event_type AS val FROM documents_map
+             UNION ALL SELECT 'user_id', user_id FROM documents_map
+             UNION ALL SELECT 'props', props FROM documents_map)
+           GROUP BY field, val HAVING count(*) > 1""",
+    ),
+)
+def value_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return value_counts(fx.documents_map(spark, sf_dir))
+
+
+@register("map_field_pick", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def map_field_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fx.table(spark, sf_dir, "events")
+    return ev.select("event_id", pick_field("props", "k", json_text=True).alias("k"))
+
+
+# --- Substitute ids ---------------------------------------------------------------------
+
+
+@register("distinct_keys", o.with_ctes(["patient_events"], "SELECT DISTINCT pid FROM patient_events"))
+def distinct_keys_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_keys(fx.patient_events(spark, sf_dir), "pid")
+
+
+@register(
+    "deid_lookup_existing",
+    o.with_ctes(
+        ["patient_events", "deid_lookup"],
+        "SELECT e.id, e.pid, l.deid FROM patient_events e LEFT JOIN deid_lookup l ON e.pid = l.pid",
+    ),
+)
+def deid_lookup_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events, lookup = fx.patient_events(spark, sf_dir), fx.deid_lookup(spark, sf_dir)
+    return skew_aware_join(events, lookup, ["pid"], "left")
+
+
+_MISSING = """SELECT DISTINCT pid FROM patient_events e
+              WHERE NOT EXISTS (SELECT 1 FROM deid_lookup l WHERE l.pid = e.pid)"""
+_NEW_IDS = f"SELECT pid, sha256('salt|' || pid) AS deid FROM ({_MISSING})"
+
+
+@register("deid_missing_keys", o.with_ctes(["patient_events", "deid_lookup"], _MISSING))
+def deid_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return missing_keys(fx.patient_events(spark, sf_dir), fx.deid_lookup(spark, sf_dir), "pid")
+
+
+@register("deid_hash_ids", o.with_ctes(["patient_events", "deid_lookup"], _NEW_IDS))
+def deid_hash_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    missing = missing_keys(fx.patient_events(spark, sf_dir), fx.deid_lookup(spark, sf_dir), "pid")
+    return hash_ids(missing, "pid", fx.NEW_ID_SALT)
+
+
+@register(
+    "deid_new_mappings",
+    o.with_ctes(["patient_events", "deid_lookup"], f"SELECT * FROM deid_lookup UNION ALL {_NEW_IDS}"),
+)
+def deid_new_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup store after a get-or-create run: a copy of the lookup plus appended ids."""
+    store = scratch_path(spark, "deid_store")
+    fx.deid_lookup(spark, sf_dir).write.parquet(store)
+    lookup = spark.read.parquet(store)
+    get_or_create_ids(
+        fx.patient_events(spark, sf_dir), lookup, "pid", mode="hash", salt=fx.NEW_ID_SALT, store_path=store
+    )
+    return spark.read.parquet(store).select("pid", "deid")
+
+
+@register(
+    "deid_get_or_create",
+    o.with_ctes(
+        ["patient_events", "deid_lookup"],
+        f"""SELECT e.id, e.pid, m.deid FROM patient_events e
+            JOIN (SELECT * FROM deid_lookup UNION ALL {_NEW_IDS}) m ON e.pid = m.pid""",
+    ),
+)
+def deid_get_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events, lookup = fx.patient_events(spark, sf_dir), fx.deid_lookup(spark, sf_dir)
+    enriched, _ = get_or_create_ids(events, lookup, "pid", mode="hash", salt=fx.NEW_ID_SALT)
+    return enriched.select("id", "pid", "deid")
+
+
+@register(
+    "sequence_ids",
+    o.with_ctes(
+        ["patient_events"],
+        "SELECT pid, row_number() OVER (ORDER BY pid) AS seq_id FROM (SELECT DISTINCT pid FROM patient_events)",
+    ),
+)
+def sequence_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dense_ids(fx.patient_events(spark, sf_dir), "pid")
+
+
+@register(
+    "sequence_ids_continue",
+    o.with_ctes(
+        ["patient_events", "keys", "known"],
+        """SELECT * FROM known UNION ALL
+           SELECT pid, (SELECT count(*) FROM known) + row_number() OVER (ORDER BY pid) AS seq_id
+           FROM keys WHERE pid NOT IN (SELECT pid FROM known)""",
+        extra={
+            "keys": "SELECT DISTINCT pid FROM patient_events",
+            "known": """SELECT pid, row_number() OVER (ORDER BY pid) AS seq_id
+                        FROM keys WHERE CAST(pid AS BIGINT) % 3 = 0""",
+        },
+    ),
+)
+def sequence_ids_continue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers from an earlier run (every third key) are kept; new keys continue after them."""
+    events = fx.patient_events(spark, sf_dir)
+    earlier = dense_ids(events.where(F.col("pid").cast("bigint") % 3 == 0), "pid")
+    _, created = get_or_create_ids(events, earlier, "pid", mode="sequence", out="seq_id")
+    return earlier.unionByName(created)
+
+
+# --- Files, documents and tables ----------------------------------------------------------
+
+
+@register("csv_round_trip", "SELECT * FROM nation")
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = fx.table(spark, sf_dir, "nation")
+    path = scratch_path(spark, "nation_csv")
+    write_csv(nation, path)
+    return read_csv(spark, path, schema=nation.schema)
+
+
+@register("csv_header_scan", "SELECT CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name FROM region")
+def csv_header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "region_csv")
+    write_csv(fx.table(spark, sf_dir, "region"), path, header=True)
+    return read_csv(spark, path, header=True)
+
+
+@register("csv_lowercase_columns", "SELECT * FROM supplier")
+def csv_lowercase_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file whose header is upper case; names are lowered on read, then typed by name."""
+    supplier = fx.table(spark, sf_dir, "supplier")
+    path = scratch_path(spark, "supplier_csv")
+    write_csv(supplier.toDF(*[c.upper() for c in supplier.columns]), path, header=True)
+    df = read_csv(spark, path, header=True, lowercase_columns=True)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in supplier.schema.fields])
+
+
+@register("json_documents_scan", "SELECT event_id, user_id, event_type, value, props FROM events")
+def json_documents_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fx.table(spark, sf_dir, "events").drop("ts")
+    path = scratch_path(spark, "events_json")
+    write_documents(docs, path, fmt="json", mode="errorifexists")
+    return read_documents(spark, path, fmt="json", schema=docs.schema)
+
+
+@register(
+    "text_dump",
+    "SELECT '[' || concat_ws(',', n_nationkey, n_name, n_regionkey) || ']' AS value FROM nation",
+)
+def text_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "nation_text")
+    write_text(fx.table(spark, sf_dir, "nation"), path)
+    return spark.read.text(path)
+
+
+@register(
+    "keyed_overwrite_keep_last",
+    o.with_ctes(
+        ["keyed_rows"],
+        """SELECT key, l_linenumber, l_partkey, l_suppkey, v FROM (
+             SELECT *, row_number() OVER (PARTITION BY key
+                       ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn
+             FROM keyed_rows) WHERE rn = 1""",
+    ),
+)
+def keyed_overwrite_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "keyed_store")
+    keyed_overwrite(fx.keyed_rows(spark, sf_dir), path, "key", ["l_linenumber", "l_partkey", "l_suppkey"])
+    return spark.read.parquet(path)
+
+
+@register("ctas_limit", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10")
+def ctas_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = "report_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    return create_table_as(
+        fx.table(spark, sf_dir, "orders"), name, limit=10, order_by=["o_orderkey"], path=scratch_path(spark, name)
+    )
