@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from enrichkit.functions.net import ipv4_to_long
 from enrichkit.functions.records import null_to_empty, pick_field, row_json
 from enrichkit.functions.text import first_domain
-from enrichkit.operators.blocklist import clean_domain_list, dns_alerts, dns_rejects, parse_dns
+from enrichkit.operators.blocklist import MALWARE_LIST_SCHEMA, clean_domain_list, dns_alerts, dns_rejects, parse_dns
 from enrichkit.operators.geo import geo_enrich
 from enrichkit.operators.ids import dense_ids, distinct_keys, get_or_create_ids, hash_ids, missing_keys
 from enrichkit.operators.joins import skew_aware_join
@@ -26,6 +26,7 @@ from enrichkit.sources.files import read_csv, read_documents
 from enrichkit.plans import fixtures as fx
 from enrichkit.plans import oracle as o
 from enrichkit.sources.messages import json_values_to_rows
+from enrichkit.streaming.dns import foreach_batch_sink, read_messages, start_dns_alert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -410,3 +411,59 @@ def ctas_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return create_table_as(
         fx.table(spark, sf_dir, "orders"), name, limit=10, order_by=["o_orderkey"], path=scratch_path(spark, name)
     )
+
+
+# --- Streams ------------------------------------------------------------------------------
+
+STREAM_MESSAGE_SCHEMA = "event_id bigint, message string"
+
+
+def _message_files(spark: SparkSession, sf_dir: str, root: str, files: int = 4) -> str:
+    """The DNS messages as JSON text files: the records a stream source delivers."""
+    path = f"{root}/in"
+    fx.dns_json_values(spark, sf_dir).repartition(files).write.text(path)
+    return path
+
+
+@register("stream_dns_alerts", o.with_ctes(["alerts"], "SELECT * FROM alerts"))
+def stream_dns_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert stream over file-delivered messages (one file per micro-batch), the list
+    read from a headerless CSV, alerts written to parquet and read back."""
+    root = scratch_path(spark, "dns_stream")
+    source = _message_files(spark, sf_dir, root)
+    write_csv(fx.domain_list(spark, sf_dir), f"{root}/list")
+    listing = read_csv(spark, f"{root}/list", schema=MALWARE_LIST_SCHEMA)
+    messages = read_messages(spark, fmt="text", path=source, options={"maxFilesPerTrigger": "1"})
+    query = start_dns_alert_stream(
+        messages,
+        listing,
+        checkpoint_location=f"{root}/checkpoint",
+        message_schema=STREAM_MESSAGE_SCHEMA,
+        sink_format="parquet",
+        path=f"{root}/out",
+        trigger={"availableNow": True},
+        as_json=False,
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@register(
+    "stream_foreach_batch_sink",
+    o.with_ctes(["dns_parsed"], "SELECT event_id, query_type, domain, address FROM dns_parsed WHERE domain <> ''"),
+)
+def stream_foreach_batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed DNS lines streamed through ``foreachBatch`` into per-epoch folders."""
+    root = scratch_path(spark, "dns_batches")
+    source = _message_files(spark, sf_dir, root)
+    messages = read_messages(spark, fmt="text", path=source, options={"maxFilesPerTrigger": "1"})
+    parsed = parse_dns(json_values_to_rows(messages, STREAM_MESSAGE_SCHEMA)).where(F.col("domain") != "")
+    query = (
+        parsed.select("event_id", "query_type", "domain", "address")
+        .writeStream.foreachBatch(foreach_batch_sink(f"{root}/out"))
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("event_id", "query_type", "domain", "address")
