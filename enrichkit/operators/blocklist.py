@@ -50,6 +50,20 @@ def clean_domain_list(
     return listing.withColumn("domain", domain).where(F.col("domain") != F.lit(""))
 
 
+def listed_domains(listing: DataFrame, normalize: bool = False) -> DataFrame:
+    """One row per listed host: ``domain``, ``listing_count`` and ``listings`` (the list
+    entries naming that host, as a sorted array of structs of the raw list fields).
+
+    Reducing the list per host before the join keeps the join one-to-one: an alert per
+    matching lookup, never one row per (lookup, list entry) pair.
+    """
+    cleaned = clean_domain_list(listing, normalize=normalize)
+    entry = F.struct(*[F.col(f"`{c}`") for c in listing.columns if c != "domain"])
+    return cleaned.groupBy("domain").agg(
+        F.count(F.lit(1)).alias("listing_count"), F.array_sort(F.collect_list(entry)).alias("listings")
+    )
+
+
 def _matchable(parsed: DataFrame, normalize: bool) -> DataFrame:
     if normalize:
         parsed = parsed.withColumn("domain", F.lower(F.col("domain")))
@@ -65,25 +79,26 @@ def dns_alerts(
     max_broadcast_bytes: int | None = None,
     streaming: bool | None = None,
 ) -> DataFrame:
-    """DNS lookups whose domain is on the list: message columns, parsed fields, list fields.
-
-    ``listing`` holds the raw list fields; it is cleaned here. Lines that do not parse and
-    list entries without a host never match (they would otherwise meet on '' = '').
-    Batch input uses the skew-aware join; a stream joins the static list by broadcast when
-    the measured list fits, else by Spark's stream-static shuffle join.
+    """One alert per DNS lookup whose domain is on the list.
+
+    Columns: the message columns, ``query_type``, ``domain``, ``address``, and from the
+    list ``listing_count`` and ``listings`` (every list entry naming the domain).
+    ``listing`` holds the raw list fields; it is cleaned and reduced per host here. Lines
+    that do not parse and entries without a host never match (they would otherwise meet
+    on '' = ''). Batch input uses the skew-aware join; a stream joins the static list by
+    broadcast when the measured list fits, else by Spark's stream-static shuffle join.
     """
     parsed = _matchable(parse_dns(messages, message_col), normalize)
-    cleaned = clean_domain_list(listing, normalize=normalize)
+    listed = listed_domains(listing, normalize)
     is_stream = messages.isStreaming if streaming is None else streaming
     if is_stream:
-        if fits_broadcast(cleaned, max_broadcast_bytes):
-            cleaned = F.broadcast(cleaned)
-        joined = parsed.join(cleaned, "domain", "inner")
+        if fits_broadcast(listed, max_broadcast_bytes):
+            listed = F.broadcast(listed)
+        joined = parsed.join(listed, "domain", "inner")
     else:
-        joined = skew_aware_join(parsed, cleaned, ["domain"], "inner", max_broadcast_bytes=max_broadcast_bytes)
+        joined = skew_aware_join(parsed, listed, ["domain"], "inner", max_broadcast_bytes=max_broadcast_bytes)
     first = [c for c in messages.columns if c != "domain"]
-    rest = [c for c in cleaned.columns if c != "domain" and c not in first]
-    return joined.select(*first, "query_type", "domain", "address", *rest)
+    return joined.select(*first, "query_type", "domain", "address", "listing_count", "listings")
 
 
 def dns_rejects(messages: DataFrame, message_col: str = "message") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from enrichkit.functions.net import ipv4_to_long
-from enrichkit.functions.records import null_to_empty, pick_field, row_json
+from enrichkit.functions.records import null_to_empty, pick_field
 from enrichkit.functions.text import first_domain
 from enrichkit.operators.blocklist import MALWARE_LIST_SCHEMA, clean_domain_list, dns_alerts, dns_rejects, parse_dns
 from enrichkit.operators.geo import geo_enrich
@@ -26,7 +26,7 @@ from enrichkit.sources.files import read_csv, read_documents
 from enrichkit.plans import fixtures as fx
 from enrichkit.plans import oracle as o
 from enrichkit.sources.messages import json_values_to_rows
-from enrichkit.streaming.dns import foreach_batch_sink, read_messages, start_dns_alert_stream
+from enrichkit.streaming.dns import alert_values, foreach_batch_sink, read_messages, start_dns_alert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,11 +71,27 @@ def clean_domain_list_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_domain_list(fx.domain_list(spark, sf_dir)).select("description", "domain")
 
 
-@register("dns_blocklist_join", o.with_ctes(["alerts"], "SELECT * FROM alerts"))
-def dns_blocklist_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+_ALERT_COLS = ["event_id", "message", "query_type", "domain", "address", "listing_count"]
+_ALERTS_SQL = o.with_ctes(
+    ["alerts"],
+    f"SELECT {', '.join(_ALERT_COLS)}, CAST(to_json(listings) AS VARCHAR) AS listings_json FROM alerts",
+)
+
+
+def _alert_rows(alerts: DataFrame) -> DataFrame:
+    """Alerts with the listing array as JSON text (a scalar column for comparison)."""
+    return alerts.select(*_ALERT_COLS, F.to_json("listings").alias("listings_json"))
+
+
+def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dns_alerts(fx.dns_messages(spark, sf_dir), fx.domain_list(spark, sf_dir))
 
 
+@register("dns_blocklist_join", _ALERTS_SQL)
+def dns_blocklist_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _alert_rows(_alerts(spark, sf_dir))
+
+
 @register(
     "null_to_empty",
     o.with_ctes(["dns_messages"], "SELECT event_id, coalesce(message, '') AS message FROM dns_messages"),
@@ -107,15 +123,13 @@ def dns_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     o.with_ctes(
         ["alerts"],
         """SELECT CAST(to_json({'event_id': event_id, 'message': message, 'query_type': query_type,
-                  'domain': domain, 'address': address, 'date': date, 'listed_domain': listed_domain,
-                  'ip': ip, 'reverse': reverse, 'description': description, 'registrant': registrant,
-                  'asn': asn, 'inactive': inactive, 'country': country}) AS VARCHAR) AS value
+                  'domain': domain, 'address': address, 'listing_count': listing_count,
+                  'listings': listings}) AS VARCHAR) AS value
            FROM alerts""",
     ),
 )
 def alert_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alerts = dns_blocklist_join(spark, sf_dir)
-    return alerts.select(row_json(alerts).alias("value"))
+    return alert_values(_alerts(spark, sf_dir))
 
 
 # --- IP addresses, CIDR blocks and the range lookup ------------------------------------
@@ -425,7 +439,7 @@ def _message_files(spark: SparkSession, sf_dir: str, root: str, files: int = 4)
     return path
 
 
-@register("stream_dns_alerts", o.with_ctes(["alerts"], "SELECT * FROM alerts"))
+@register("stream_dns_alerts", _ALERTS_SQL)
 def stream_dns_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alert stream over file-delivered messages (one file per micro-batch), the list
     read from a headerless CSV, alerts written to parquet and read back."""
@@ -445,7 +459,7 @@ def stream_dns_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_json=False,
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return _alert_rows(spark.read.parquet(f"{root}/out"))
 
 
 @register(

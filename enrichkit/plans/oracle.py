@@ -51,11 +51,17 @@ CTES: dict[str, str] = {
           SELECT *, CASE WHEN listed_domain = '-' THEN regexp_extract(reverse, '{DOM}', 0)
                          ELSE regexp_extract(listed_domain, '{DOM}', 0) END AS domain
           FROM domain_list) WHERE domain <> ''""",
+    "listed": """
+        SELECT domain, count(*) AS listing_count,
+               list({'date': date, 'listed_domain': listed_domain, 'ip': ip, 'reverse': reverse,
+                     'description': description, 'registrant': registrant, 'asn': asn,
+                     'inactive': inactive, 'country': country}
+                    ORDER BY date, listed_domain, ip, reverse, description, registrant, asn,
+                             inactive, country) AS listings
+        FROM clean_list GROUP BY domain""",
     "alerts": """
-        SELECT d.event_id, d.message, d.query_type, d.domain, d.address,
-               l.date, l.listed_domain, l.ip, l.reverse, l.description, l.registrant,
-               l.asn, l.inactive, l.country
-        FROM dns_parsed d JOIN clean_list l ON d.domain = l.domain
+        SELECT d.event_id, d.message, d.query_type, d.domain, d.address, l.listing_count, l.listings
+        FROM dns_parsed d JOIN listed l ON d.domain = l.domain
         WHERE d.domain <> ''""",
     "ips": "SELECT event_id, (event_id * 2654435761) % 268435456 AS ipn FROM events",
     "blocks": """
@@ -82,7 +88,8 @@ _DEPS: dict[str, list[str]] = {
     "domain_list": ["hosts"],
     "dns_parsed": ["dns_messages"],
     "clean_list": ["domain_list"],
-    "alerts": ["dns_parsed", "clean_list"],
+    "listed": ["clean_list"],
+    "alerts": ["dns_parsed", "listed"],
 }
 
 
