@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from enrichkit.operators.sizing import fits_broadcast
+from enrichkit.operators.sizing import Size, fits_broadcast
 
 DEFAULT_HOT_KEY_ROWS = 1_000_000
 DEFAULT_MAX_HOT_KEYS = 256
@@ -75,14 +75,16 @@ def skew_aware_join(
     hot_key_rows: int | None = None,
     max_hot_keys: int | None = None,
     salt_buckets: int | None = None,
+    small_size: Size | None = None,
 ) -> DataFrame:
     """Join a big table with a lookup table on ``on`` (+ ``condition``).
 
     ``how`` is ``inner`` or ``left`` (big side preserved). Results equal a plain join.
+    ``small_size`` passes a measurement of ``small`` made elsewhere (saves a pass).
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_aware_join supports how='inner' or 'left'")
-    if fits_broadcast(small, max_broadcast_bytes):
+    if fits_broadcast(small, max_broadcast_bytes, small_size):
         return join_on(big, F.broadcast(small), on, how, condition)
 
     min_rows = hot_key_rows or _conf_int(big, "enrichkit.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)

@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from enrichkit.functions.net import cidr_prefix_len, ipv4_to_long, shl, shr
 from enrichkit.operators.joins import skew_aware_join
-from enrichkit.operators.sizing import fits_broadcast
+from enrichkit.operators.sizing import Size, fits_broadcast, row_width
 
 STRATEGIES = ("bucket", "between", "prefix", "pandas")
 _BUCKET = "__bucket"
@@ -71,19 +71,26 @@ def _bucketed_ranges(ranges: DataFrame, start: str, end: str, bits: int, end_inc
     return ranges.withColumn(_BUCKET, F.explode(span))
 
 
-def ranges_overlap(ranges: DataFrame, start: str, end: str, bucket_bits: int = 16, end_inclusive: bool = True) -> bool:
-    """True when two ranges share an address.
+def _profile_buckets(exploded: DataFrame, start: str, end: str, end_inclusive: bool) -> tuple[Size, bool]:
+    """Size of the bucketed range table and whether two ranges overlap, in one job.
 
     Two overlapping ranges share the bucket of a common address, so it suffices to sort
     each bucket's ranges by start and compare each start with the running maximum end of
     the ranges before it; groups are buckets of the (small) range table.
     """
-    b = _bucketed_ranges(ranges, start, end, bucket_bits, end_inclusive).withColumn(_LAST, _last(end, end_inclusive))
-    w = Window.partitionBy(_BUCKET).orderBy(F.col(start), F.col(_LAST).desc()).rowsBetween(
+    w = Window.partitionBy(_BUCKET).orderBy(F.col(start), _last(end, end_inclusive).desc()).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    flagged = b.select((F.col(start) <= F.max(_LAST).over(w)).cast("int").alias("hit"))
-    return bool(flagged.agg(F.max("hit")).first()[0])
+    hit = (F.col(start) <= F.max(_last(end, end_inclusive)).over(w)).cast("int")
+    flagged = exploded.select(hit.alias("__hit"), row_width(exploded).alias("__w"))
+    row = flagged.agg(F.count(F.lit(1)).alias("n"), F.sum("__w").alias("b"), F.max("__hit").alias("o")).first()
+    return Size(int(row["n"]), int(row["b"] or 0)), bool(row["o"])
+
+
+def ranges_overlap(ranges: DataFrame, start: str, end: str, bucket_bits: int = 16, end_inclusive: bool = True) -> bool:
+    """True when two ranges share an address."""
+    exploded = _bucketed_ranges(ranges, start, end, bucket_bits, end_inclusive)
+    return _profile_buckets(exploded, start, end, end_inclusive)[1]
 
 
 def _innermost(joined: DataFrame, df_cols: list[str], range_cols: list[str], start: str, end: str) -> DataFrame:
@@ -130,8 +137,10 @@ def range_lookup(
     if strategy == "pandas":
         return _pandas_lookup(df, ranges, key, start, end, how, end_inclusive, group_bits, max_broadcast_bytes)
 
+    exploded = _bucketed_ranges(ranges, start, end, bucket_bits, end_inclusive)
+    size = None
     if resolve_overlaps == "auto":
-        resolve = ranges_overlap(ranges, start, end, bucket_bits, end_inclusive)
+        size, resolve = _profile_buckets(exploded, start, end, end_inclusive)
     else:
         resolve = bool(resolve_overlaps)
     left = df.withColumn(_ROW, F.monotonically_increasing_id()) if resolve else df
@@ -147,9 +156,8 @@ def range_lookup(
     else:
         bucket = F.coalesce(F.shiftright(F.col(key), bucket_bits), F.lit(_NO_BUCKET))
         keyed = left.withColumn(_BUCKET, bucket)
-        exploded = _bucketed_ranges(ranges, start, end, bucket_bits, end_inclusive)
         joined = skew_aware_join(
-            keyed, exploded, [_BUCKET], how, in_range, max_broadcast_bytes=max_broadcast_bytes
+            keyed, exploded, [_BUCKET], how, in_range, max_broadcast_bytes=max_broadcast_bytes, small_size=size
         ).drop(_BUCKET)
     if resolve:
         return _innermost(joined, df.columns, ranges.columns, start, end)

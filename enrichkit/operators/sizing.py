@@ -59,19 +59,30 @@ def _width(field: T.StructField):
     return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
 
 
+def row_width(df: DataFrame, cols: list[str] | None = None):
+    """Column expression: the payload bytes of one row (fixed widths plus text lengths)."""
+    wanted = set(cols) if cols is not None else None
+    width = F.lit(_ROW_OVERHEAD)
+    for f in df.schema.fields:
+        if wanted is None or f.name in wanted:
+            width = width + _width(f)
+    return width
+
+
 def measure(df: DataFrame) -> Size:
     """Exact row count and payload bytes of ``df`` in one aggregate job."""
-    fields = df.schema.fields
-    width = F.lit(_ROW_OVERHEAD)
-    for f in fields:
-        width = width + _width(f)
-    row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_width(df)).alias("bytes")).first()
     return Size(int(row["rows"]), int(row["bytes"] or 0))
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """True when ``df`` is measured to be within the broadcast bound."""
+def within_limit(df: DataFrame, size: Size, max_bytes: int | None = None) -> bool:
+    limit = broadcast_limit(df) if max_bytes is None else max_bytes
+    return limit >= 0 and size.bytes <= limit
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None, size: Size | None = None) -> bool:
+    """True when ``df`` is measured (or ``size`` says it is) within the broadcast bound."""
     limit = broadcast_limit(df) if max_bytes is None else max_bytes
     if limit < 0:
         return False
-    return measure(df).bytes <= limit
+    return (size or measure(df)).bytes <= limit
