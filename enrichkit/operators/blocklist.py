@@ -92,6 +92,8 @@ def dns_alerts(
     listed = listed_domains(listing, normalize)
     is_stream = messages.isStreaming if streaming is None else streaming
     if is_stream:
+        # The static side is reduced once and cached; every micro-batch reuses it.
+        listed = listed.cache()
         if fits_broadcast(listed, max_broadcast_bytes):
             listed = F.broadcast(listed)
         joined = parsed.join(listed, "domain", "inner")

@@ -2,8 +2,8 @@
 
 One streaming plan for the life of the query: read (key, value) records, parse the JSON
 value with a declared schema (a record without ``message`` gets null instead of stopping
-the batch), parse the DNS line, join the cached static list (broadcast when its measured
-size allows), and write each alert as a JSON value. The checkpoint makes the query
+the batch), parse the DNS line, join the static list (reduced per host and cached once; broadcast
+when its measured size allows), and write each alert as a JSON value. The checkpoint makes the query
 restartable: a file sink is exactly-once, a Kafka sink at-least-once.
 """
 
@@ -66,7 +66,7 @@ def start_dns_alert_stream(
     ``trigger`` defaults to 2-second micro-batches.
     """
     rows = json_values_to_rows(messages, message_schema)
-    alerts = dns_alerts(rows, listing.cache(), streaming=True)
+    alerts = dns_alerts(rows, listing, streaming=True)
     out = alert_values(alerts) if as_json else alerts
     writer = (
         out.writeStream.format(sink_format)
