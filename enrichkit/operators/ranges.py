@@ -13,6 +13,8 @@ start, then smallest end; for CIDR blocks this is the longest prefix.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,7 +24,8 @@ from pyspark.sql.window import Window
 
 from enrichkit.functions.net import cidr_prefix_len, ipv4_to_long, shl, shr
 from enrichkit.operators.joins import skew_aware_join
-from enrichkit.operators.sizing import Size, fits_broadcast, row_width
+from enrichkit.operators.sizing import Size, fits_broadcast, row_width, within_limit
+from enrichkit.session import ensure_checkpoint_dir
 
 STRATEGIES = ("bucket", "between", "prefix", "pandas")
 _BUCKET = "__bucket"
@@ -165,11 +168,64 @@ def range_lookup(
 
 
 def _prefix_lookup(df, ranges, key, start, end, plen, how, end_inclusive, max_broadcast_bytes) -> DataFrame:
-    """Longest-prefix match by candidate expansion over the prefix lengths present."""
-    # The distinct prefix lengths are at most 33 values (0..32).
-    lengths = sorted(r[0] for r in ranges.select(plen).where(F.col(plen).isNotNull()).distinct().collect())
+    """Longest-prefix match by candidate networks, one per prefix length present."""
+    # One job: the range table's size and its distinct prefix lengths (at most 33: 0..32).
+    prof = ranges.agg(
+        F.sum(row_width(ranges)).alias("b"),
+        F.array_sort(F.collect_set(F.col(plen))).alias("lengths"),
+    ).first()
+    lengths = [int(x) for x in (prof["lengths"] or [])]
     if not lengths:
         return _no_match(df, ranges, how)
+    if within_limit(ranges, Size(0, int(prof["b"] or 0)), max_broadcast_bytes):
+        return _prefix_chain(df, ranges, key, start, end, plen, lengths, how, end_inclusive)
+    return _prefix_shuffled(df, ranges, key, start, end, plen, lengths, how, end_inclusive, max_broadcast_bytes)
+
+
+def _prefix_chain(df, ranges, key, start, end, plen, lengths, how, end_inclusive) -> DataFrame:
+    """Map-only form: the ranges grouped by network start (at most one entry per prefix
+    length each) are broadcast once; the key's masked network is probed at every prefix
+    length, longest first, and the first hit is the longest prefix. The key side is never
+    shuffled, and the probes share one broadcast (the build plan is identical).
+
+    Written as one SQL statement over temporary views so the chain of probes is analysed
+    once rather than once per probe.
+    """
+    spark = df.sparkSession
+    tag = uuid.uuid4().hex[:12]
+    keys_view, nets_view = f"__prefix_keys_{tag}", f"__prefix_nets_{tag}"
+    # One range per (start, prefix length), then per start a map: prefix length -> range.
+    one = ranges.groupBy(start, plen).agg(F.max(F.struct(*[F.col(f"`{c}`") for c in ranges.columns])).alias("__r"))
+    by_start = one.groupBy(F.col(start).alias("__start")).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(plen), F.col("__r")))).alias("__rs")
+    )
+    order = sorted(lengths, reverse=True)
+    masked = {
+        f"__net{i}": F.coalesce(F.shiftleft(F.shiftright(F.col(key), 32 - k), 32 - k), F.lit(_NO_BUCKET))
+        for i, k in enumerate(order)
+    }
+    df.withColumns(masked).createOrReplaceTempView(keys_view)
+    by_start.createOrReplaceTempView(nets_view)
+    k_col = f"d.`{key}`"
+    hits, joins = [], []
+    for i, k in enumerate(order):
+        found = f"b{i}.__rs[{k}]"
+        ok = f"{found} IS NOT NULL" if end_inclusive else f"{k_col} < {found}.`{end}`"
+        hits.append(f"CASE WHEN {ok} THEN {found} END")
+        # Null-tolerant probe key (see range_lookup): a null key has an impossible network.
+        joins.append(f"LEFT JOIN {nets_view} b{i} ON d.__net{i} = b{i}.__start")
+    cols = ", ".join(f"d.`{c}`" for c in df.columns)
+    hint = "/*+ BROADCAST(" + ", ".join(f"b{i}" for i in range(len(order))) + ") */"
+    sql = f"SELECT {hint} {cols}, coalesce({', '.join(hits)}) AS __best FROM {keys_view} d " + " ".join(joins)
+    best = spark.sql(sql)
+    if how == "inner":
+        best = best.where(F.col("__best").isNotNull())
+    return best.select(*df.columns, *[F.col(f"__best.`{c}`").alias(c) for c in ranges.columns])
+
+
+def _prefix_shuffled(df, ranges, key, start, end, plen, lengths, how, end_inclusive, max_broadcast_bytes) -> DataFrame:
+    """Form for range tables over the broadcast bound: distinct keys expanded to their
+    candidate networks, equi-joined, longest prefix per key, pinned, joined back."""
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
     host_bits = F.lit(32) - F.col("__plen")
     cand = keys.withColumn("__plen", F.explode(F.array(*[F.lit(int(x)) for x in lengths])))
@@ -180,6 +236,8 @@ def _prefix_lookup(df, ranges, key, start, end, plen, how, end_inclusive, max_br
     best = F.max_by(F.struct(*[F.col(c) for c in ranges.columns]), F.col("__plen"))
     per_key = matched.groupBy(key).agg(best.alias("__best"))
     per_key = per_key.select(key, *[F.col(f"__best.`{c}`").alias(c) for c in ranges.columns])
+    ensure_checkpoint_dir(df.sparkSession)
+    per_key = per_key.checkpoint(eager=True)  # measured and joined without recomputing
     out = skew_aware_join(df, per_key, [key], how, max_broadcast_bytes=max_broadcast_bytes)
     return out.select(*df.columns, *ranges.columns)
 
@@ -244,6 +302,9 @@ def _pandas_lookup(df, ranges, key, start, end, how, end_inclusive, bits, max_br
         return _search_bucket(left, right, key, start, _LAST, out_schema)
 
     matches = keys.groupBy(_BUCKET).cogroup(exploded.groupBy(_BUCKET)).applyInPandas(search, out_schema)
+    # Pinned once: measuring and joining would otherwise run the pandas search twice.
+    ensure_checkpoint_dir(df.sparkSession)
+    matches = matches.checkpoint(eager=True)
     out = skew_aware_join(df, matches, [key], how, max_broadcast_bytes=max_broadcast_bytes)
     return out.select(*df.columns, *ranges.columns)
 
