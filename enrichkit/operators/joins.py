@@ -37,9 +37,13 @@ def join_on(
     how: str = "inner",
     condition: Column | None = None,
 ) -> DataFrame:
-    """Join on equal ``on`` columns plus ``condition``; key columns appear once (left's)."""
+    """Join on equal ``on`` columns plus ``condition``; key columns appear once (left's),
+    columns in the order of ``left`` then ``right``."""
     if condition is None:
-        return left.join(right, on=on, how=how)
+        joined = left.join(right, on=on, how=how)
+        if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
+            return joined
+        return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(f"`{c}`") for c in right.columns if c not in on])
     l, r = left.alias("__l"), right.alias("__r")
     cond = reduce(lambda a, b: a & b, [F.col(f"__l.`{k}`") == F.col(f"__r.`{k}`") for k in on])
     joined = l.join(r, cond & condition, how)

@@ -24,6 +24,7 @@ from enrichkit.session import scratch_path
 from enrichkit.sinks.files import create_table_as, keyed_overwrite, write_csv, write_documents, write_text
 from enrichkit.sources.files import read_csv, read_documents
 from enrichkit.plans import fixtures as fx
+from enrichkit.plans.jobs import deid_events_to_text, geo_enrich_files, value_counts_index
 from enrichkit.plans import oracle as o
 from enrichkit.sources.messages import json_values_to_rows
 from enrichkit.streaming.dns import alert_values, foreach_batch_sink, read_messages, start_dns_alert_stream
@@ -481,3 +482,56 @@ def stream_foreach_batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     query.awaitTermination()
     return spark.read.parquet(f"{root}/out").select("event_id", "query_type", "domain", "address")
+
+
+# --- Whole jobs ---------------------------------------------------------------------------
+
+
+@register(
+    "geo_enrich_csv_job",
+    o.with_ctes(
+        ["ips", "blocks", "countries"],
+        f"""SELECT i.event_id, {o.quad('i.ipn')} AS ip,
+                   {o.quad('b.s')} || '/' || CAST(b.plen AS VARCHAR) AS network,
+                   c.geoname_id, c.country_name, c.continent_name
+            FROM ips i JOIN blocks b ON i.ipn BETWEEN b.s AND b.e
+            JOIN countries c ON c.geoname_id = CAST(b.geoname_id AS VARCHAR)""",
+    ),
+)
+def geo_enrich_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The geo job over files: blocks and country names as headed CSV files."""
+    root = scratch_path(spark, "geo_job")
+    write_csv(fx.block_networks(spark, sf_dir), f"{root}/blocks", header=True)
+    write_csv(fx.countries(spark, sf_dir), f"{root}/names", header=True)
+    out = geo_enrich_files(fx.ip_text(spark, sf_dir), f"{root}/blocks", f"{root}/names", "ip")
+    return out.select("event_id", "ip", "network", "geoname_id", "country_name", "continent_name")
+
+
+@register("value_counts_index_job", ORACLE["value_counts"])
+def value_counts_index_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The value-count job over documents: JSON documents in, counts appended to an index."""
+    root = scratch_path(spark, "counts_job")
+    write_documents(fx.documents_map(spark, sf_dir), f"{root}/docs", mode="errorifexists")
+    value_counts_index(
+        spark, f"{root}/docs", f"{root}/counts", schema="event_type string, user_id string, props string"
+    )
+    return read_documents(spark, f"{root}/counts", schema="field string, val string, count bigint")
+
+
+@register(
+    "deid_text_job",
+    o.with_ctes(
+        ["patient_events", "deid_lookup"],
+        f"""SELECT '[' || e.id || ',' || e.pid || ',' || m.deid || ']' AS value FROM patient_events e
+            JOIN (SELECT * FROM deid_lookup UNION ALL {_NEW_IDS}) m ON e.pid = m.pid""",
+    ),
+)
+def deid_text_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The de-identification job: events get ids from a store (new ones appended), and are
+    dumped as text lines."""
+    root = scratch_path(spark, "deid_job")
+    fx.deid_lookup(spark, sf_dir).write.parquet(f"{root}/store")
+    deid_events_to_text(
+        fx.patient_events(spark, sf_dir), f"{root}/store", f"{root}/text", mode="hash", salt=fx.NEW_ID_SALT
+    )
+    return spark.read.text(f"{root}/text")
