@@ -110,6 +110,11 @@ def get_or_create_ids(
     """
     missing = missing_keys(events, lookup, key)
     created = new_ids(missing, key, mode, out, lookup, salt).select(key, out)
+    if mode == "hash":
+        # Pinned so that measuring the mapping, storing it and joining it do not each
+        # recompute the distinct and anti-join passes over the events.
+        ensure_checkpoint_dir(events.sparkSession)
+        created = created.checkpoint(eager=True)
     if store_path is not None:
         created.write.mode("append").format(store_format).save(store_path)
     mapping = lookup.select(key, out).unionByName(created)

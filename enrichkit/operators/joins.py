@@ -91,6 +91,23 @@ def skew_aware_join(
     if fits_broadcast(small, max_broadcast_bytes, small_size):
         return join_on(big, F.broadcast(small), on, how, condition)
 
+    if how == "left":
+        # Null keys never match, and in a shuffle they would all land in one task: keep
+        # those rows aside with null lookup columns.
+        any_null = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in on])
+        extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields if f.name not in on]
+        keyless = big.where(any_null).select(*[F.col(f"`{c}`") for c in big.columns], *extra)
+        keyed = _shuffled_join(big.where(~any_null), small, on, how, condition, max_broadcast_bytes,
+                               hot_key_rows, max_hot_keys, salt_buckets)
+        return keyed.unionByName(keyless)
+    return _shuffled_join(big, small, on, how, condition, max_broadcast_bytes, hot_key_rows, max_hot_keys, salt_buckets)
+
+
+def _shuffled_join(big, small, on, how, condition, max_broadcast_bytes, hot_key_rows, max_hot_keys, salt_buckets):
+    """Shuffle join with the big side's hot keys split off (steps 2-4 of the module doc).
+
+    Finding hot keys costs one partial-aggregated pass over the big side's key columns.
+    """
     min_rows = hot_key_rows or _conf_int(big, "enrichkit.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
     limit = max_hot_keys or _conf_int(big, "enrichkit.skew.maxHotKeys", DEFAULT_MAX_HOT_KEYS)
     hot = hot_keys(big, on, min_rows, limit)

@@ -57,3 +57,12 @@ def test_extra_condition(spark, skewed, lookup):
     expected = rows(skewed.join(lookup, "k").where(cond), "id", "k", "v")
     for kwargs in ({}, {"max_broadcast_bytes": 0, "hot_key_rows": 100}):
         assert rows(skew_aware_join(skewed, lookup, ["k"], "inner", cond, **kwargs), "id", "k", "v") == expected
+
+
+def test_left_join_null_keys_bypass_the_shuffle(spark, lookup):
+    big = spark.range(0, 3000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 1100).alias("k")
+    )
+    expected = rows(big.join(lookup, "k", "left"), "id", "k", "v")
+    for kwargs in ({"max_broadcast_bytes": 0, "hot_key_rows": 10**9}, {"max_broadcast_bytes": 0, "hot_key_rows": 50}):
+        assert rows(skew_aware_join(big, lookup, ["k"], "left", **kwargs), "id", "k", "v") == expected
