@@ -14,6 +14,7 @@ start, then smallest end; for CIDR blocks this is the longest prefix.
 from __future__ import annotations
 
 import uuid
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -125,7 +126,8 @@ def range_lookup(
     ``how="inner"`` drops keys without a range; ``how="left"`` keeps them with nulls.
     ``end_inclusive=False`` treats ``end`` as exclusive (the last address never matches).
     ``strategy``: ``bucket`` (default), ``between`` (nested-loop join against a broadcast
-    range table, for very small tables), ``prefix`` (CIDR only: one candidate network per
+    range table, for very small tables; over the broadcast bound it falls back to
+    ``bucket``), ``prefix`` (CIDR only: one candidate network per
     prefix length present, equi-join), ``pandas`` (sorted search per bucket in pandas,
     disjoint ranges only; groups are ``key >> group_bits``, so a group holds at most
     ``2^group_bits`` distinct keys).
@@ -152,9 +154,12 @@ def range_lookup(
     # with the key's (possibly costly) expression inlined a second time.
     in_range = F.coalesce(F.col(key).between(F.col(start), _last(end, end_inclusive)), F.lit(False))
 
+    if strategy == "between" and not fits_broadcast(ranges, max_broadcast_bytes):
+        # A nested loop against an unbounded table would compare every key with every
+        # range; the bucketed equi-join gives the same rows.
+        warnings.warn("range table over the broadcast bound: using strategy='bucket' instead of 'between'")
+        strategy = "bucket"
     if strategy == "between":
-        if not fits_broadcast(ranges, max_broadcast_bytes):
-            raise ValueError("strategy='between' needs a range table within the broadcast bound; use 'bucket'")
         joined = left.join(F.broadcast(ranges), in_range, how)
     else:
         bucket = F.coalesce(F.shiftright(F.col(key), bucket_bits), F.lit(_NO_BUCKET))
