@@ -86,17 +86,35 @@ def dns_alerts(
     ``listing`` holds the raw list fields; it is cleaned and reduced per host here. Lines
     that do not parse and entries without a host never match (they would otherwise meet
     on '' = ''). Batch input uses the skew-aware join; a stream joins the static list by
-    broadcast when the measured list fits, else by Spark's stream-static shuffle join.
+    broadcast when the measured list fits, else by Spark's stream-static shuffle join
+    (``start_dns_alert_stream`` switches to per-batch skew-aware joins in that case).
     """
-    parsed = _matchable(parse_dns(messages, message_col), normalize)
     listed = listed_domains(listing, normalize)
     is_stream = messages.isStreaming if streaming is None else streaming
     if is_stream:
         # The static side is reduced once and cached; every micro-batch reuses it.
         listed = listed.cache()
-        if fits_broadcast(listed, max_broadcast_bytes):
-            listed = F.broadcast(listed)
-        joined = parsed.join(listed, "domain", "inner")
+    return alerts_from_listed(
+        messages, listed, message_col=message_col, normalize=normalize,
+        max_broadcast_bytes=max_broadcast_bytes, streaming=is_stream,
+    )
+
+
+def alerts_from_listed(
+    messages: DataFrame,
+    listed: DataFrame,
+    *,
+    message_col: str = "message",
+    normalize: bool = False,
+    max_broadcast_bytes: int | None = None,
+    streaming: bool = False,
+    listed_fits: bool | None = None,
+) -> DataFrame:
+    """``dns_alerts`` against a list already reduced by ``listed_domains``."""
+    parsed = _matchable(parse_dns(messages, message_col), normalize)
+    if streaming:
+        fits = fits_broadcast(listed, max_broadcast_bytes) if listed_fits is None else listed_fits
+        joined = parsed.join(F.broadcast(listed) if fits else listed, "domain", "inner")
     else:
         joined = skew_aware_join(parsed, listed, ["domain"], "inner", max_broadcast_bytes=max_broadcast_bytes)
     first = [c for c in messages.columns if c != "domain"]

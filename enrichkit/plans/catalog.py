@@ -18,7 +18,7 @@ from enrichkit.operators.blocklist import MALWARE_LIST_SCHEMA, clean_domain_list
 from enrichkit.operators.geo import geo_enrich
 from enrichkit.operators.ids import dense_ids, distinct_keys, get_or_create_ids, hash_ids, missing_keys
 from enrichkit.operators.joins import skew_aware_join
-from enrichkit.operators.profile import value_counts
+from enrichkit.operators.profile import map_value_counts, value_counts
 from enrichkit.operators.ranges import cidr_ranges, range_lookup, with_match_status
 from enrichkit.session import scratch_path
 from enrichkit.sinks.files import create_table_as, keyed_overwrite, write_csv, write_documents, write_text
@@ -535,3 +535,16 @@ def deid_text_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         fx.patient_events(spark, sf_dir), f"{root}/store", f"{root}/text", mode="hash", salt=fx.NEW_ID_SALT
     )
     return spark.read.text(f"{root}/text")
+
+
+@register(
+    "map_value_counts",
+    """SELECT field, val, count(*) AS count FROM (
+         SELECT k AS field, json_extract_string(props, '$."' || k || '"') AS val
+         FROM (SELECT props, unnest(json_keys(props)) AS k FROM events))
+       GROUP BY field, val HAVING count(*) > 1""",
+)
+def map_value_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Value counts over schemaless documents: every key of every document is a field."""
+    docs = fx.table(spark, sf_dir, "events").select(F.from_json("props", "map<string,string>").alias("doc"))
+    return map_value_counts(docs, "doc")

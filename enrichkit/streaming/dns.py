@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from enrichkit.functions.records import row_json
-from enrichkit.operators.blocklist import dns_alerts
+from enrichkit.operators.blocklist import alerts_from_listed, listed_domains
+from enrichkit.operators.sizing import fits_broadcast
 from enrichkit.sources.messages import json_values_to_rows
 
 MESSAGE_SCHEMA = "message string"
@@ -58,26 +59,47 @@ def start_dns_alert_stream(
     trigger: dict | None = None,
     as_json: bool = True,
     query_name: str | None = None,
+    normalize: bool = False,
+    max_broadcast_bytes: int | None = None,
 ) -> StreamingQuery:
     """Start the alert stream. ``messages`` is a stream with a ``value`` column (see
     ``read_messages``); ``listing`` is the static list with its raw fields.
 
     For Kafka pass ``sink_options={"kafka.bootstrap.servers": ..., "topic": ALERT_TOPIC}``.
     ``trigger`` defaults to 2-second micro-batches.
+
+    The list is reduced per host, cached and measured once. Within the broadcast bound the
+    query is one streaming plan with a broadcast join. Over the bound each micro-batch
+    runs the batch skew-aware join inside ``foreachBatch`` (hot domains split, AQE on),
+    writing epoch ``n`` to ``path/epoch_id=n`` in overwrite mode so a replayed epoch
+    replaces its own output; Kafka output is appended (at-least-once).
     """
     rows = json_values_to_rows(messages, message_schema)
-    alerts = dns_alerts(rows, listing, streaming=True)
-    out = alert_values(alerts) if as_json else alerts
-    writer = (
-        out.writeStream.format(sink_format)
-        .options(**(sink_options or {}))
-        .option("checkpointLocation", checkpoint_location)
-        .outputMode("append")
-        .trigger(**(trigger or DEFAULT_TRIGGER))
-    )
+    listed = listed_domains(listing, normalize).cache()
+    fits = fits_broadcast(listed, max_broadcast_bytes)
+    trig = trigger or DEFAULT_TRIGGER
+    if fits:
+        alerts = alerts_from_listed(rows, listed, normalize=normalize, streaming=True, listed_fits=True)
+        out = alert_values(alerts) if as_json else alerts
+        writer = out.writeStream.format(sink_format).options(**(sink_options or {})).outputMode("append")
+    else:
+
+        def process(batch: DataFrame, epoch_id: int) -> None:
+            alerts = alerts_from_listed(batch, listed, normalize=normalize, max_broadcast_bytes=max_broadcast_bytes)
+            out = alert_values(alerts) if as_json else alerts
+            w = out.write.format(sink_format).options(**(sink_options or {}))
+            if sink_format == "kafka":
+                w.save()
+            else:
+                w.mode("overwrite").save(f"{path}/epoch_id={epoch_id}")
+
+        writer = rows.writeStream.foreachBatch(process)
+    writer = writer.option("checkpointLocation", checkpoint_location).trigger(**trig)
     if query_name:
         writer = writer.queryName(query_name)
-    return writer.start(path) if path is not None else writer.start()
+    if fits and path is not None:
+        return writer.start(path)
+    return writer.start()
 
 
 def foreach_batch_sink(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:

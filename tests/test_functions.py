@@ -110,3 +110,15 @@ def test_pick_field(spark):
     df = spark.createDataFrame([('{"k": 69, "z": "a"}',), ("{}",), ("junk",)], "props string")
     got = [r[0] for r in df.select(pick_field("props", "k", json_text=True)).collect()]
     assert got == ["69", None, None]
+
+
+def test_normalize_lower_cases_both_sides(spark):
+    from enrichkit.operators.blocklist import dns_alerts
+
+    msgs = spark.createDataFrame([(1, "Jan 22 15:26:31 dnsmasq[1]: reply Evil.Example.COM is 1.2.3.4")], "event_id bigint, message string")
+    listing = spark.createDataFrame(
+        [("d", "EVIL.example.com/a", "-", "-", "x", "-", "0", "0", "-")],
+        "date string, listed_domain string, ip string, reverse string, description string, registrant string, asn string, inactive string, country string",
+    )
+    assert dns_alerts(msgs, listing).count() == 0  # compared as given by default
+    assert [r["domain"] for r in dns_alerts(msgs, listing, normalize=True).collect()] == ["evil.example.com"]

@@ -68,3 +68,17 @@ def test_records_without_message_do_not_stop_parsing(spark):
     parsed = json_values_to_rows(df, SCHEMA)
     assert rows(parsed) == [(None, None), (1, None), (2, "x")]
     assert rows(dns_rejects(parsed), "event_id", "reason") == [(None, "no message"), (1, "no message"), (2, "unparsed line")]
+
+
+def test_stream_over_broadcast_bound_uses_per_batch_join(spark):
+    root, listing = _setup(spark)
+    messages = read_messages(spark, fmt="text", path=f"{root}/in", options={"maxFilesPerTrigger": "1"})
+    q = start_dns_alert_stream(
+        messages, listing, checkpoint_location=f"{root}/ckpt", message_schema=SCHEMA,
+        sink_format="parquet", path=f"{root}/out", trigger={"availableNow": True}, as_json=False,
+        max_broadcast_bytes=0,
+    )
+    q.awaitTermination()
+    batch = dns_alerts(fx.dns_messages(spark, SMALL), fx.domain_list(spark, SMALL))
+    got = _alert_rows(spark.read.parquet(f"{root}/out").drop("epoch_id"))
+    assert got == _alert_rows(batch) and len(got) > 0
