@@ -23,18 +23,29 @@ def scratch_root(spark: SparkSession) -> str:
     and registered as the checkpoint directory, so ``DataFrame.checkpoint`` works too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="enrichkit-")
-        spark.sparkContext.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session (None for a remote session)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make sure ``DataFrame.checkpoint()`` has a reliable directory to write to."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(scratch_root(spark) + "/rdd")
+    sc = _context(spark)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(scratch_root(spark) + "/rdd")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
