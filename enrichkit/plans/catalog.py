@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 from enrichkit.functions.net import ipv4_to_long
 from enrichkit.functions.records import null_to_empty, pick_field
 from enrichkit.functions.text import first_domain
-from enrichkit.operators.blocklist import MALWARE_LIST_SCHEMA, clean_domain_list, dns_alerts, dns_rejects, parse_dns
+from enrichkit.operators.blocklist import (
+    MALWARE_LIST_SCHEMA,
+    clean_domain_list,
+    dns_alerts,
+    dns_rejects,
+    parse_dns,
+    parse_matching_dns,
+)
 from enrichkit.operators.geo import geo_enrich
 from enrichkit.operators.ids import dense_ids, distinct_keys, get_or_create_ids, hash_ids, missing_keys
 from enrichkit.operators.joins import skew_aware_join
@@ -472,7 +479,7 @@ def stream_foreach_batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "dns_batches")
     source = _message_files(spark, sf_dir, root)
     messages = read_messages(spark, fmt="text", path=source, options={"maxFilesPerTrigger": "1"})
-    parsed = parse_dns(json_values_to_rows(messages, STREAM_MESSAGE_SCHEMA)).where(F.col("domain") != "")
+    parsed = parse_matching_dns(json_values_to_rows(messages, STREAM_MESSAGE_SCHEMA))
     query = (
         parsed.select("event_id", "query_type", "domain", "address")
         .writeStream.foreachBatch(foreach_batch_sink(f"{root}/out"))

@@ -122,3 +122,29 @@ def test_normalize_lower_cases_both_sides(spark):
     )
     assert dns_alerts(msgs, listing).count() == 0  # compared as given by default
     assert [r["domain"] for r in dns_alerts(msgs, listing, normalize=True).collect()] == ["evil.example.com"]
+
+
+def test_one_search_fields_equal_three_regexp_extracts(spark):
+    from enrichkit.functions.text import DNS_LINE_PATTERN
+
+    lines = [
+        SAMPLE_LINE,
+        SAMPLE_LINE + "\n",
+        SAMPLE_LINE + "\r\n",
+        "a: b c d\te\tf",
+        "x:y: reply host.example.com is 10.0.0.1:53 extra words",
+        "Jan 22 15:26:31 dnsmasq[1]: query[AAAA] a.b from 10.0.0.1  ",
+        "reply host is 1.2.3.4",
+        "k:  t d w ",
+        ":\t\tq\td\tw\t",
+        "",
+        None,
+        "no colon here at all",
+    ]
+    from enrichkit.functions.text import dns_line_matches
+
+    df = spark.createDataFrame([(x,) for x in lines], "message string").where(dns_line_matches("message"))
+    fast = df.select(*[c.alias(n) for n, c in dns_fields("message", assume_match=True).items()]).collect()
+    slow = df.select(*[F.regexp_extract("message", DNS_LINE_PATTERN, i) for i in (1, 2, 3)]).collect()
+    assert len(fast) == 8
+    assert [tuple(r) for r in fast] == [tuple(r) for r in slow]
