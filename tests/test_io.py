@@ -63,3 +63,8 @@ def test_create_table_as_limit(spark):
     assert rows(out) == [(i,) for i in range(10)]
     assert rows(read_table(spark, name)) == [(i,) for i in range(10)]
     assert create_table_as(df, name + "_u", limit=10).count() == 10
+
+
+def test_keep_last_ties_are_repeatable(spark):
+    df = spark.createDataFrame([(1, 5, "b"), (1, 5, "a"), (1, 5, "c"), (2, 1, "x")], "k int, seq int, v string")
+    assert rows(keep_last(df.repartition(3), "k", ["seq"])) == [(1, 5, "c"), (2, 1, "x")]
