@@ -3,9 +3,13 @@
 Plan, in order:
 1. the small side is measured; within the broadcast bound it is broadcast and the big
    side is never shuffled (skew cannot hurt a map-side join);
-2. otherwise the big side's hot keys (keys with at least ``hot_key_rows`` rows, at most
-   ``max_hot_keys`` of them) are found with one partial-aggregated count;
-3. rows with cold keys take a plain shuffle join (AQE's skew-join split stays on);
+2. otherwise, when hot-key detection is on, the big side's hot keys (keys with at least
+   ``hot_key_rows`` rows, at most ``max_hot_keys`` of them) are found with one
+   partial-aggregated count. Detection costs a pass over the big side's key columns, so
+   by default it runs only when AQE's skew-join split is off: with AQE on, the shuffle
+   join's skewed partitions are split at run time from the shuffle statistics at no
+   extra cost (``enrichkit.skew.detectHotKeys`` = ``auto`` / ``true`` / ``false``);
+3. rows with cold keys take a plain shuffle join;
 4. rows with hot keys join the small side's matching rows by broadcast when those are
    within the bound, else by a salted join that spreads every hot key over
    ``salt_buckets`` tasks.
@@ -80,16 +84,21 @@ def skew_aware_join(
     max_hot_keys: int | None = None,
     salt_buckets: int | None = None,
     small_size: Size | None = None,
+    detect_hot_keys: bool | None = None,
 ) -> DataFrame:
     """Join a big table with a lookup table on ``on`` (+ ``condition``).
 
     ``how`` is ``inner`` or ``left`` (big side preserved). Results equal a plain join.
     ``small_size`` passes a measurement of ``small`` made elsewhere (saves a pass).
+    ``detect_hot_keys`` forces the explicit hot-key split on or off; by default it is on
+    when ``hot_key_rows`` is given or AQE's skew-join split is not active.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_aware_join supports how='inner' or 'left'")
     if fits_broadcast(small, max_broadcast_bytes, small_size):
         return join_on(big, F.broadcast(small), on, how, condition)
+    if detect_hot_keys is None:
+        detect_hot_keys = hot_key_rows is not None or _detect_by_default(big)
 
     if how == "left":
         # Null keys never match, and in a shuffle they would all land in one task: keep
@@ -98,16 +107,32 @@ def skew_aware_join(
         extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields if f.name not in on]
         keyless = big.where(any_null).select(*[F.col(f"`{c}`") for c in big.columns], *extra)
         keyed = _shuffled_join(big.where(~any_null), small, on, how, condition, max_broadcast_bytes,
-                               hot_key_rows, max_hot_keys, salt_buckets)
+                               hot_key_rows, max_hot_keys, salt_buckets, detect_hot_keys)
         return keyed.unionByName(keyless)
-    return _shuffled_join(big, small, on, how, condition, max_broadcast_bytes, hot_key_rows, max_hot_keys, salt_buckets)
+    return _shuffled_join(
+        big, small, on, how, condition, max_broadcast_bytes, hot_key_rows, max_hot_keys, salt_buckets, detect_hot_keys
+    )
 
 
-def _shuffled_join(big, small, on, how, condition, max_broadcast_bytes, hot_key_rows, max_hot_keys, salt_buckets):
+def _detect_by_default(df: DataFrame) -> bool:
+    mode = df.sparkSession.conf.get("enrichkit.skew.detectHotKeys", "auto").lower()
+    if mode in ("true", "false"):
+        return mode == "true"
+    conf = df.sparkSession.conf
+    aqe = conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    split = conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true"
+    return not (aqe and split)
+
+
+def _shuffled_join(
+    big, small, on, how, condition, max_broadcast_bytes, hot_key_rows, max_hot_keys, salt_buckets, detect
+):
     """Shuffle join with the big side's hot keys split off (steps 2-4 of the module doc).
 
     Finding hot keys costs one partial-aggregated pass over the big side's key columns.
     """
+    if not detect:
+        return join_on(big, small, on, how, condition)
     min_rows = hot_key_rows or _conf_int(big, "enrichkit.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
     limit = max_hot_keys or _conf_int(big, "enrichkit.skew.maxHotKeys", DEFAULT_MAX_HOT_KEYS)
     hot = hot_keys(big, on, min_rows, limit)

@@ -66,3 +66,17 @@ def test_left_join_null_keys_bypass_the_shuffle(spark, lookup):
     expected = rows(big.join(lookup, "k", "left"), "id", "k", "v")
     for kwargs in ({"max_broadcast_bytes": 0, "hot_key_rows": 10**9}, {"max_broadcast_bytes": 0, "hot_key_rows": 50}):
         assert rows(skew_aware_join(big, lookup, ["k"], "left", **kwargs), "id", "k", "v") == expected
+
+
+def test_hot_key_detection_defaults(spark, skewed, lookup):
+    from enrichkit.operators.joins import _detect_by_default
+
+    assert not _detect_by_default(skewed)  # AQE's skew split is on in the test session
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        assert _detect_by_default(skewed)
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    expected = rows(skewed.join(lookup, "k"), "id", "k", "v")
+    got = rows(skew_aware_join(skewed, lookup, ["k"], max_broadcast_bytes=0, detect_hot_keys=True, hot_key_rows=100), "id", "k", "v")
+    assert got == expected

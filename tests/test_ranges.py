@@ -132,8 +132,10 @@ def test_hot_bucket_is_split(spark):
         if ip <= 999 or 5000 <= ip <= 5999
     )
     spark.conf.set("enrichkit.skew.hotKeyRows", "100")
+    spark.conf.set("enrichkit.skew.detectHotKeys", "true")
     try:
         got = rows(range_lookup(keys, ranges, "ipn", max_broadcast_bytes=0, bucket_bits=4), "id", "ipn", "g")
     finally:
         spark.conf.unset("enrichkit.skew.hotKeyRows")
+        spark.conf.unset("enrichkit.skew.detectHotKeys")
     assert got == expected
