@@ -68,3 +68,10 @@ def test_create_table_as_limit(spark):
 def test_keep_last_ties_are_repeatable(spark):
     df = spark.createDataFrame([(1, 5, "b"), (1, 5, "a"), (1, 5, "c"), (2, 1, "x")], "k int, seq int, v string")
     assert rows(keep_last(df.repartition(3), "k", ["seq"])) == [(1, 5, "c"), (2, 1, "x")]
+
+
+def test_documents_missing_fields_read_as_null(spark):
+    path = scratch_path(spark, "docs")
+    spark.createDataFrame([('{"passengerid": "1", "name": "a"}',), ('{"passengerid": "2"}',)], "value string").write.text(path)
+    docs = read_documents(spark, path, schema="passengerid string, name string, age string")
+    assert rows(docs) == [("1", "a", None), ("2", None, None)]

@@ -82,3 +82,11 @@ def test_stream_over_broadcast_bound_uses_per_batch_join(spark):
     batch = dns_alerts(fx.dns_messages(spark, SMALL), fx.domain_list(spark, SMALL))
     got = _alert_rows(spark.read.parquet(f"{root}/out").drop("epoch_id"))
     assert got == _alert_rows(batch) and len(got) > 0
+
+
+def test_unparsed_lines_never_meet_hostless_entries(spark):
+    msgs = spark.createDataFrame([(1, "not a dns line"), (2, None)], SCHEMA)
+    listing = spark.createDataFrame(
+        [("d", "-", "-", "-", "no host", "-", "0", "0", "-")], MALWARE_LIST_SCHEMA
+    )
+    assert dns_alerts(msgs, listing).count() == 0  # '' = '' would have matched
