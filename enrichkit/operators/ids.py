@@ -48,15 +48,18 @@ def dense_ids(
 ) -> DataFrame:
     """Number the distinct keys ``start, start+1, ...`` in key order, without gaps.
 
-    Distributed: keys are range-partitioned and sorted, then pinned with a reliable
+    Distributed: keys are range-partitioned (``num_partitions``, or the session's shuffle
+    partitions merged by AQE to fit the data) and sorted, then pinned with a reliable
     checkpoint (a recomputed range partitioning could place keys differently). Each row's
     id is its partition's offset plus its position in the partition; the offsets come
     from one count per partition (a table with one row per partition, broadcast).
     """
     spark = keys.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = distinct_keys(keys, key).repartitionByRange(n, F.col(key)).sortWithinPartitions(key)
+    distinct = distinct_keys(keys, key)
+    # Without an explicit count AQE may merge adjacent range partitions (order is kept).
+    ranged = distinct.repartitionByRange(num_partitions, F.col(key)) if num_partitions else distinct.repartitionByRange(F.col(key))
+    ordered = ranged.sortWithinPartitions(key)
     pinned = ordered.select(
         key, F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__mid")
     ).checkpoint(eager=True)

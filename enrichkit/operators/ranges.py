@@ -264,32 +264,26 @@ _NUMPY_DTYPES = {
 }
 
 
-def _empty_frame(schema: T.StructType) -> pd.DataFrame:
-    """Zero rows with dtypes matching ``schema`` (object columns would not convert)."""
-    cols = {}
-    for f in schema.fields:
-        dtype = next((d for t, d in _NUMPY_DTYPES.items() if isinstance(f.dataType, t)), "object")
-        cols[f.name] = pd.Series([], dtype=dtype)
-    return pd.DataFrame(cols)
-
-
-def _search_bucket(
-    keys: pd.DataFrame, rng: pd.DataFrame, key: str, start: str, last: str, out_schema: T.StructType
-) -> pd.DataFrame:
-    """Disjoint ranges of one bucket, sorted by start: the candidate for each key is the
-    last range starting at or before it; it matches when the key is within its end."""
-    out_cols = out_schema.fieldNames()
-    if keys.empty or rng.empty:
-        return _empty_frame(out_schema)
-    rng = rng.sort_values(start, kind="stable")
-    starts = rng[start].to_numpy()
-    k = keys[key].to_numpy()
-    idx = np.searchsorted(starts, k, side="right") - 1
-    ok = idx >= 0
-    ok[ok] = k[ok] <= rng[last].to_numpy()[idx[ok]]
-    hits = rng.iloc[idx[ok]].reset_index(drop=True)
-    hits.insert(0, key, k[ok])
-    return hits[out_cols]
+def _bucket_search(key: str, start: str, last: str, out_cols: list[str], dtypes: dict[str, str]):
+    """The per-group search as a closure over plain values: it ships to Python workers by
+    value, needing only numpy and pandas there (not this package)."""
+
+    def search(keys: pd.DataFrame, rng: pd.DataFrame) -> pd.DataFrame:
+        # Disjoint ranges sorted by start: the candidate for a key is the last range
+        # starting at or before it; it matches when the key is within that range's end.
+        if keys.empty or rng.empty:  # zero rows with typed columns (object would not convert)
+            return pd.DataFrame({c: pd.Series([], dtype=dtypes[c]) for c in out_cols})
+        rng = rng.sort_values(start, kind="stable")
+        starts = rng[start].to_numpy()
+        k = keys[key].to_numpy()
+        idx = np.searchsorted(starts, k, side="right") - 1
+        ok = idx >= 0
+        ok[ok] = k[ok] <= rng[last].to_numpy()[idx[ok]]
+        hits = rng.iloc[idx[ok]].reset_index(drop=True)
+        hits.insert(0, key, k[ok])
+        return hits[out_cols]
+
+    return search
 
 
 def _pandas_lookup(df, ranges, key, start, end, how, end_inclusive, bits, max_broadcast_bytes) -> DataFrame:
@@ -302,10 +296,11 @@ def _pandas_lookup(df, ranges, key, start, end, how, end_inclusive, bits, max_br
     exploded = _bucketed_ranges(ranges, start, end, bits, end_inclusive).withColumn(_LAST, _last(end, end_inclusive))
     key_field = df.schema[key]
     out_schema = T.StructType([T.StructField(key, key_field.dataType, True)] + list(ranges.schema.fields))
-
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _search_bucket(left, right, key, start, _LAST, out_schema)
-
+    dtypes = {
+        f.name: next((d for t, d in _NUMPY_DTYPES.items() if isinstance(f.dataType, t)), "object")
+        for f in out_schema.fields
+    }
+    search = _bucket_search(key, start, _LAST, out_schema.fieldNames(), dtypes)
     matches = keys.groupBy(_BUCKET).cogroup(exploded.groupBy(_BUCKET)).applyInPandas(search, out_schema)
     # Pinned once: measuring and joining would otherwise run the pandas search twice.
     ensure_checkpoint_dir(df.sparkSession)
