@@ -62,7 +62,7 @@ def test_create_table_as_limit(spark):
     out = create_table_as(df, name, limit=10, order_by=["k"], path=scratch_path(spark, name))
     assert rows(out) == [(i,) for i in range(10)]
     assert rows(read_table(spark, name)) == [(i,) for i in range(10)]
-    assert create_table_as(df, name + "_u", limit=10).count() == 10
+    assert create_table_as(df, name + "_u", limit=10, path=scratch_path(spark, name + "_u")).count() == 10
 
 
 def test_keep_last_ties_are_repeatable(spark):
