@@ -222,7 +222,9 @@ def _prefix_chain(df, ranges, key, start, end, plen, lengths, how, end_inclusive
     cols = ", ".join(f"d.`{c}`" for c in df.columns)
     hint = "/*+ BROADCAST(" + ", ".join(f"b{i}" for i in range(len(order))) + ") */"
     sql = f"SELECT {hint} {cols}, coalesce({', '.join(hits)}) AS __best FROM {keys_view} d " + " ".join(joins)
-    best = spark.sql(sql)
+    best = spark.sql(sql)  # analysed here; the views are no longer needed
+    spark.catalog.dropTempView(keys_view)
+    spark.catalog.dropTempView(nets_view)
     if how == "inner":
         best = best.where(F.col("__best").isNotNull())
     return best.select(*df.columns, *[F.col(f"__best.`{c}`").alias(c) for c in ranges.columns])
