@@ -19,6 +19,8 @@ from enrichkit.operators.blocklist import alerts_from_listed, listed_domains
 from enrichkit.operators.sizing import fits_broadcast
 from enrichkit.sources.messages import json_values_to_rows
 
+# The message field holding the DNS line, the topic alerts go to, and the
+# 2-second micro-batch interval.
 MESSAGE_SCHEMA = "message string"
 ALERT_TOPIC = "dnsMalware"
 DEFAULT_TRIGGER = {"processingTime": "2 seconds"}

@@ -24,11 +24,11 @@ def test_csv_round_trip_keeps_names_and_types(spark):
 
 
 def test_header_lowercase(spark):
-    df = spark.createDataFrame([(1, "x")], "PassengerId int, Name string")
-    path = scratch_path(spark, "passengers")
+    df = spark.createDataFrame([(1, "x")], "RecordId int, Name string")
+    path = scratch_path(spark, "records")
     write_csv(df, path, header=True)
     back = read_csv(spark, path, header=True, lowercase_columns=True)
-    assert back.columns == ["passengerid", "name"] and rows(back) == [("1", "x")]
+    assert back.columns == ["recordid", "name"] and rows(back) == [("1", "x")]
 
 
 def test_text_dump(spark):
@@ -39,12 +39,12 @@ def test_text_dump(spark):
 
 
 def test_keyed_overwrite_keeps_last(spark):
-    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (1, 0, "z")], "passengerid int, seq int, v string")
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (1, 0, "z")], "recordid int, seq int, v string")
     path = scratch_path(spark, "index")
-    keyed_overwrite(df, path, "passengerid", ["seq"])
-    keyed_overwrite(df.where(F.col("passengerid") == 2), path, "passengerid", ["seq"])  # drop and recreate
+    keyed_overwrite(df, path, "recordid", ["seq"])
+    keyed_overwrite(df.where(F.col("recordid") == 2), path, "recordid", ["seq"])  # drop and recreate
     assert rows(spark.read.parquet(path)) == [(2, 1, "c")]
-    assert rows(keep_last(df, "passengerid", ["seq"])) == [(1, 2, "b"), (2, 1, "c")]
+    assert rows(keep_last(df, "recordid", ["seq"])) == [(1, 2, "b"), (2, 1, "c")]
 
 
 def test_documents_round_trip(spark):
@@ -72,6 +72,6 @@ def test_keep_last_ties_are_repeatable(spark):
 
 def test_documents_missing_fields_read_as_null(spark):
     path = scratch_path(spark, "docs")
-    spark.createDataFrame([('{"passengerid": "1", "name": "a"}',), ('{"passengerid": "2"}',)], "value string").write.text(path)
-    docs = read_documents(spark, path, schema="passengerid string, name string, age string")
+    spark.createDataFrame([('{"recordid": "1", "name": "a"}',), ('{"recordid": "2"}',)], "value string").write.text(path)
+    docs = read_documents(spark, path, schema="recordid string, name string, age string")
     assert rows(docs) == [("1", "a", None), ("2", None, None)]

@@ -6,18 +6,18 @@ from tests.conftest import rows
 
 def test_load_keyed_index_keeps_last_row_in_file_order(spark):
     df = spark.createDataFrame(
-        [("1", "a"), ("2", "b"), ("1", "c"), ("3", "d"), ("1", "e")], "PassengerId string, Name string"
+        [("1", "a"), ("2", "b"), ("1", "c"), ("3", "d"), ("1", "e")], "RecordId string, Name string"
     )
     csv = scratch_path(spark, "train_csv")
     write_csv(df.coalesce(1), csv, header=True)
-    target = scratch_path(spark, "titanic")
-    check = load_keyed_index(spark, csv, target, "passengerid")
+    target = scratch_path(spark, "record_index")
+    check = load_keyed_index(spark, csv, target, "recordid")
     assert check.count() == 2
     assert rows(spark.read.parquet(target).drop("__pos")) == [("1", "e"), ("2", "b"), ("3", "d")]
 
 
 def test_report_table(spark):
-    spark.range(0, 100).createOrReplaceTempView("day1_events")
-    name = "airflowoutput_" + scratch_path(spark, "t").rsplit("-", 1)[1]
-    out = report_table(spark, "day1_events", name, limit=10, order_by=["id"], path=scratch_path(spark, name))
+    spark.range(0, 100).createOrReplaceTempView("source_events")
+    name = "report_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    out = report_table(spark, "source_events", name, limit=10, order_by=["id"], path=scratch_path(spark, name))
     assert rows(out) == [(i,) for i in range(10)]
