@@ -154,7 +154,11 @@ def range_lookup(
     # with the key's (possibly costly) expression inlined a second time.
     in_range = F.coalesce(F.col(key).between(F.col(start), _last(end, end_inclusive)), F.lit(False))
 
-    if strategy == "between" and not fits_broadcast(ranges, max_broadcast_bytes):
+    # The exploded table is never smaller than the ranges: if it fits, the ranges fit.
+    between_fits = strategy == "between" and (
+        (size is not None and within_limit(ranges, size, max_broadcast_bytes)) or fits_broadcast(ranges, max_broadcast_bytes)
+    )
+    if strategy == "between" and not between_fits:
         # A nested loop against an unbounded table would compare every key with every
         # range; the bucketed equi-join gives the same rows.
         warnings.warn("range table over the broadcast bound: using strategy='bucket' instead of 'between'")
