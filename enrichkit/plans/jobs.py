@@ -106,3 +106,36 @@ def report_table(
 ) -> DataFrame:
     """``CREATE TABLE target AS SELECT * FROM source [ORDER BY ..] LIMIT n``."""
     return create_table_as(spark.table(source_table), target_table, limit=limit, order_by=order_by, path=path)
+
+
+def dns_alert_job(
+    spark: SparkSession,
+    *,
+    list_path: str,
+    checkpoint_location: str,
+    source_format: str = "kafka",
+    source_options: dict[str, str] | None = None,
+    source_path: str | None = None,
+    sink_format: str = "kafka",
+    sink_options: dict[str, str] | None = None,
+    sink_path: str | None = None,
+    trigger: dict | None = None,
+):
+    """The DNS alert stream end to end: the bad-domain list (headerless CSV, nine fields),
+    messages from a stream source (Kafka topics by default, ``subscribe`` in
+    ``source_options``), alerts as JSON values to the sink (Kafka by default, ``topic`` in
+    ``sink_options``). Returns the running query."""
+    from enrichkit.operators.blocklist import MALWARE_LIST_SCHEMA
+    from enrichkit.streaming.dns import read_messages, start_dns_alert_stream
+
+    listing = read_csv(spark, list_path, schema=MALWARE_LIST_SCHEMA)
+    messages = read_messages(spark, fmt=source_format, path=source_path, options=source_options)
+    return start_dns_alert_stream(
+        messages,
+        listing,
+        checkpoint_location=checkpoint_location,
+        sink_format=sink_format,
+        sink_options=sink_options,
+        path=sink_path,
+        trigger=trigger,
+    )

@@ -21,3 +21,27 @@ def test_report_table(spark):
     name = "report_" + scratch_path(spark, "t").rsplit("-", 1)[1]
     out = report_table(spark, "source_events", name, limit=10, order_by=["id"], path=scratch_path(spark, name))
     assert rows(out) == [(i,) for i in range(10)]
+
+
+def test_dns_alert_job_over_files(spark):
+    from pyspark.sql import functions as F
+
+    from enrichkit.operators.blocklist import dns_alerts
+    from enrichkit.plans import fixtures as fx
+    from enrichkit.plans.jobs import dns_alert_job
+    from enrichkit.streaming import alert_values
+    from tests.conftest import SMALL
+
+    root = scratch_path(spark, "dns_job")
+    # messages carry only the DNS line, as the reference's records do
+    fx.dns_messages(spark, SMALL).select(F.to_json(F.struct("message")).alias("value")).write.text(f"{root}/in")
+    write_csv(fx.domain_list(spark, SMALL), f"{root}/list")
+    q = dns_alert_job(
+        spark, list_path=f"{root}/list", checkpoint_location=f"{root}/ckpt",
+        source_format="text", source_path=f"{root}/in", sink_format="text", sink_path=f"{root}/out",
+        trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    got = sorted(r[0] for r in spark.read.text(f"{root}/out").collect())
+    expected = alert_values(dns_alerts(fx.dns_messages(spark, SMALL).select("message"), fx.domain_list(spark, SMALL)))
+    assert got == sorted(r[0] for r in expected.collect()) and len(got) > 0
