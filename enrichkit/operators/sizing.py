@@ -44,8 +44,16 @@ def _parse_bytes(text: str) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    """Spark's broadcast threshold in bytes (-1 = never broadcast)."""
-    return _parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
+    """Bound for broadcasting a measured side, in bytes (-1 = never broadcast).
+
+    ``enrichkit.broadcast.maxBytes`` when set, else Spark's
+    ``spark.sql.autoBroadcastJoinThreshold``. The separate setting lets a cluster allow
+    larger broadcasts for sides this package measures exactly, without raising Spark's
+    threshold for sides it only estimates.
+    """
+    conf = df.sparkSession.conf
+    own = conf.get("enrichkit.broadcast.maxBytes", None)
+    return _parse_bytes(own if own else conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
 
 
 def _width(field: T.StructField):

@@ -80,3 +80,12 @@ def test_hot_key_detection_defaults(spark, skewed, lookup):
     expected = rows(skewed.join(lookup, "k"), "id", "k", "v")
     got = rows(skew_aware_join(skewed, lookup, ["k"], max_broadcast_bytes=0, detect_hot_keys=True, hot_key_rows=100), "id", "k", "v")
     assert got == expected
+
+
+def test_own_broadcast_bound(spark, lookup):
+    spark.conf.set("enrichkit.broadcast.maxBytes", "100b")
+    try:
+        assert not fits_broadcast(lookup)
+    finally:
+        spark.conf.unset("enrichkit.broadcast.maxBytes")
+    assert fits_broadcast(lookup)
