@@ -56,6 +56,26 @@ def cidr_ranges(
     return out.drop("__addr", "__host_bits")
 
 
+def store_ranges(
+    blocks: DataFrame,
+    path: str,
+    network_col: str = "network",
+    start: str = "start_ip",
+    end: str = "end_ip",
+    plen: str = "prefix_len",
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Parse a CIDR block table once and store it as a range table; returns the stored copy.
+
+    Later runs read the stored table instead of parsing the text again. Rows are sorted
+    by start (a distributed range sort), so scans filtered on addresses skip row groups
+    by their min/max statistics.
+    """
+    parsed = cidr_ranges(blocks, network_col, start, end, plen).where(F.col(start).isNotNull())
+    parsed.orderBy(start).write.mode("overwrite").format(fmt).save(path)
+    return blocks.sparkSession.read.format(fmt).load(path)
+
+
 def _check_names(df: DataFrame, ranges: DataFrame) -> None:
     clash = set(df.columns) & set(ranges.columns)
     if clash:

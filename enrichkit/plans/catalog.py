@@ -26,7 +26,7 @@ from enrichkit.operators.geo import geo_enrich
 from enrichkit.operators.ids import dense_ids, distinct_keys, get_or_create_ids, hash_ids, missing_keys
 from enrichkit.operators.joins import skew_aware_join
 from enrichkit.operators.profile import map_value_counts, value_counts
-from enrichkit.operators.ranges import cidr_ranges, range_lookup, with_match_status
+from enrichkit.operators.ranges import cidr_ranges, range_lookup, store_ranges, with_match_status
 from enrichkit.session import scratch_path
 from enrichkit.sinks.files import create_table_as, keyed_overwrite, write_csv, write_documents, write_text
 from enrichkit.sources.files import read_csv, read_documents
@@ -186,6 +186,13 @@ def ip_range_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lookup(spark, sf_dir, "bucket").select(*RANGE_COLS)
 
 
+@register("ip_range_stored", _RANGE_SQL)
+def ip_range_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bucket lookup against a range table parsed once and stored."""
+    stored = store_ranges(fx.block_networks(spark, sf_dir), scratch_path(spark, "ranges"), "network", "s", "e", "plen")
+    return range_lookup(_ip_keys(spark, sf_dir), stored, "ipn", start="s", end="e").select(*RANGE_COLS)
+
+
 @register("ip_range_between", _RANGE_SQL)
 def ip_range_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lookup(spark, sf_dir, "between").select(*RANGE_COLS)

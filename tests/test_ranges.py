@@ -139,3 +139,15 @@ def test_hot_bucket_is_split(spark):
         spark.conf.unset("enrichkit.skew.hotKeyRows")
         spark.conf.unset("enrichkit.skew.detectHotKeys")
     assert got == expected
+
+
+def test_stored_ranges_give_the_same_lookup(spark, blocks):
+    from enrichkit.operators.ranges import store_ranges
+    from enrichkit.session import scratch_path
+
+    bad = spark.createDataFrame([("not a network", "999")], "network string, geoname_id string")
+    stored = store_ranges(blocks.unionByName(bad), scratch_path(spark, "stored_ranges"))
+    assert stored.count() == 4  # the unparsable row is not stored
+    ips = spark.createDataFrame([("1.1.4.4",), ("8.8.8.8",), ("7.7.7.7",)], "ip string").withColumn("ipn", ipv4_to_long("ip"))
+    direct = range_lookup(ips, cidr_ranges(blocks), "ipn", how="left")
+    assert rows(range_lookup(ips, stored, "ipn", how="left")) == rows(direct.select(*stored.columns and direct.columns))
