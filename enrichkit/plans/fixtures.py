@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from enrichkit.functions.net import long_to_ipv4, shl
+from enrichkit.operators.joins import skew_aware_join
 
 # Fixture constants shared with the SQL oracle.
 HOST_PATTERN = r"^https?://([^/:?#]+)"
@@ -47,7 +48,8 @@ def dns_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id")
     n_pages = table(spark, sf_dir, "pages").select(F.count(F.lit(1))).scalar()
     events = events.withColumn("page_id", F.col("event_id") % n_pages)
-    joined = events.join(hosts(spark, sf_dir), "page_id")
+    # The pages side is measured and broadcast when small; events stream through.
+    joined = skew_aware_join(events, hosts(spark, sf_dir), ["page_id"], "inner")
     eid = F.col("event_id")
     line = F.concat(
         F.lit(DNS_PREFIX),
