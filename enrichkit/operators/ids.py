@@ -120,5 +120,9 @@ def get_or_create_ids(
         created = created.checkpoint(eager=True)
     if store_path is not None:
         created.write.mode("append").format(store_format).save(store_path)
-    mapping = lookup.select(key, out).unionByName(created)
+        # The store now holds every key once; read it afresh rather than adding the new
+        # ids to a lookup whose file listing may or may not already include them.
+        mapping = events.sparkSession.read.format(store_format).load(store_path).select(key, out)
+    else:
+        mapping = lookup.select(key, out).unionByName(created)
     return skew_aware_join(events, mapping, [key], how), created
