@@ -120,6 +120,8 @@ def dns_alert_job(
     sink_options: dict[str, str] | None = None,
     sink_path: str | None = None,
     trigger: dict | None = None,
+    normalize: bool = False,
+    max_broadcast_bytes: int | None = None,
 ):
     """The DNS alert stream end to end: the bad-domain list (headerless CSV, nine fields),
     messages from a stream source (Kafka topics by default, ``subscribe`` in
@@ -138,4 +140,6 @@ def dns_alert_job(
         sink_options=sink_options,
         path=sink_path,
         trigger=trigger,
+        normalize=normalize,
+        max_broadcast_bytes=max_broadcast_bytes,
     )
