@@ -3,7 +3,9 @@
 Plan, in order:
 1. the small side is measured; within the broadcast bound it is broadcast and the big
    side is never shuffled (skew cannot hurt a map-side join);
-2. otherwise, when hot-key detection is on, the big side's hot keys (keys with at least
+   otherwise, in a left join, rows with a null key (which cannot match, and would all
+   hash to one task) bypass the shuffle with null lookup columns;
+2. then, when hot-key detection is on, the big side's hot keys (keys with at least
    ``hot_key_rows`` rows, at most ``max_hot_keys`` of them) are found with one
    partial-aggregated count. Detection costs a pass over the big side's key columns, so
    by default it runs only when AQE's skew-join split is off: with AQE on, the shuffle
