@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from enrichkit.plans import catalog
 from tests.conftest import ORACLE_SF
 from tools.compare_oracle import compare, duck
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = dict(catalog.QUERIES)
+SQL = dict(catalog.ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +26,11 @@ def test_query_matches_oracle(spark, con, name):
     assert result["status"] == "ok", result
 
 
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
