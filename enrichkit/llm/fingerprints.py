@@ -219,7 +219,7 @@ def _records(pairs: Iterator[tuple[int, str, str]]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def fingerprint_documents(docs: DataFrame, buckets_per_partition: int = 4) -> DataFrame:
+def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Fingerprints of every whole text and of its edited text, which takes its second half from
     the next document in descending doc_id (after the last: the first).
 
@@ -231,7 +231,7 @@ def fingerprint_documents(docs: DataFrame, buckets_per_partition: int = 4) -> Da
     that follows it. Only the ranges' borders (a few numbers each) reach the driver.
     """
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions")) * buckets_per_partition
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     least = -(2**63)
     ids = docs.select(F.coalesce("doc_id", F.lit(least)).alias("id"))
     borders = np.unique(np.array(ids.approxQuantile("id", [i / n for i in range(1, n)], 0.2 / n) or [0], np.float64).astype(np.int64))
@@ -254,12 +254,12 @@ def fingerprint_documents(docs: DataFrame, buckets_per_partition: int = 4) -> Da
         docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(least)).alias("id"))
         .withColumn("to", F.explode(goes_to("id")))
         .select(
-            F.when(F.col("to") < 0, -1 - F.col("to")).otherwise(F.col("to")).alias("bucket"),
+            F.when(F.col("to") < 0, -1 - F.col("to")).otherwise(F.col("to")).cast("int").alias("bucket"),
             (F.col("to") < 0).alias("borrowed"),
             "doc_id",
             "text",
         )
-        .repartition("bucket")
+        .repartitionById(n, F.col("bucket"))
         .sortWithinPartitions("bucket", "borrowed", F.desc_nulls_last("doc_id"), "text")
     )
     return rows.mapInArrow(lambda batches: _records(_with_next(batches)), _SCHEMA)
