@@ -27,7 +27,7 @@ from enrichkit.llm.arrays import gather, slices, texts_of
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 #: Labelled documents used for training: at most so many of each label.
-MAX_ROWS = 2500
+MAX_ROWS = 2000
 _WORD = re.compile(r"[^\W_]+")
 _CACHE_WORDS = 400_000
 
@@ -105,18 +105,19 @@ def fit(
     if n == 0 or labels.min() == labels.max():
         return Model(np.zeros(BUCKETS, np.float32), 0.0 if n == 0 else 4.0 if labels[0] else -4.0)
     rng = np.random.default_rng(seed)
-    lengths = np.array([len(b) for b, _ in bags])
-    owner = np.repeat(np.arange(n), lengths)
-    bucket = np.concatenate([b for b, _ in bags]).astype(np.int64)
-    share = np.concatenate([w for _, w in bags])
-    seen_in = np.bincount(bucket, minlength=BUCKETS)
+    # The bags stay apart until the model's buckets are known: together they are large.
+    seen_in, of_ones = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for (b, _), label in zip(bags, labels):
+        seen_in[b] += 1
+        of_ones[b] += label
     ones = int(labels.sum())
-    of_ones = np.bincount(bucket, labels[owner], BUCKETS)
     expected = seen_in * (ones / n)
     spread = np.sqrt(expected * (1 - ones / n) * np.maximum(1, n - seen_in) / n + 1e-9)
     used = np.abs(of_ones - expected) >= np.maximum(least_z * spread, 2)
-    keep = used[bucket]
-    owner, bucket, share = owner[keep], bucket[keep], share[keep]
+    kept = [(b[used[b]], w[used[b]]) for b, w in bags]
+    owner = np.repeat(np.arange(n), [len(b) for b, _ in kept])
+    bucket = np.concatenate([b for b, _ in kept]).astype(np.int64)
+    share = np.concatenate([w for _, w in kept])
     share = share * (scale * np.log(n / seen_in[bucket])).astype(np.float32)
     ends = np.searchsorted(owner, np.arange(n + 1))
     vectors = np.zeros((BUCKETS, dims), np.float32)
@@ -211,10 +212,17 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     schema = f"doc_id bigint, toxic {sample.schema['toxic'].dataType.simpleString()}, buckets binary, weights binary"
     # A document that stands twice in the table has as many rows here: two per label at most are
     # kept of each id, so the sample stays bounded.
-    rows = sample.mapInArrow(bags, schema).dropDuplicates(["doc_id", "toxic"]).toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["doc_id"], r["toxic"]))
-    made = [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["weights"], np.float32)) for r in rows]
-    return fit(made, np.array([r["toxic"] for r in rows], np.int64))
+    rows = sample.mapInArrow(bags, schema).dropDuplicates(["doc_id", "toxic"]).toArrow()
+    ids, labelled = rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy().astype(np.int64)
+    order_of = np.lexsort((labelled, ids)).tolist()
+    made = [
+        (
+            np.frombuffer(rows.column("buckets")[i].as_py(), np.int32),
+            np.frombuffer(rows.column("weights")[i].as_py(), np.float32),
+        )
+        for i in order_of
+    ]
+    return fit(made, labelled[order_of])
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
