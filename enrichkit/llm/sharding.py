@@ -80,10 +80,11 @@ class Ends:
 def minimax_cuts(ends: DataFrame, total: int, n: int, blocks: int = BLOCKS) -> tuple[int, list[int]]:
     """(capacity, running sums after which to cut) for a table of group ends (column ``end``,
     distinct running sums of which ``total`` is the last). ``blocks`` bounds the rows that reach
-    the driver in each round."""
+    the driver in each round; it should be many times n (it grows if the brackets do not halve)."""
     known, windows = Ends(), [(1, total)]
     while True:
-        quantum = max(1, -(-sum(b - a + 1 for a, b in windows) // blocks))
+        width = sum(b - a + 1 for a, b in windows)
+        quantum = -(-width // blocks)
         inside = F.lit(False)
         for a, b in windows:
             inside = inside | F.col("end").between(a, b)
@@ -106,6 +107,8 @@ def minimax_cuts(ends: DataFrame, total: int, n: int, blocks: int = BLOCKS) -> t
             else:
                 merged.append([a, b])
         windows = [(max(1, a), min(total, b)) for a, b in merged]
+        if 2 * sum(b - a + 1 for a, b in windows) > width:
+            blocks *= 4
 
 
 def _running(batches):
