@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from enrichkit.llm.arrays import gather, slices, texts_of
+from enrichkit.session import scratch_path
 
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
@@ -83,6 +84,14 @@ class Model:
     bias: float
 
 
+def informative(seen_in: np.ndarray, of_ones: np.ndarray, n: int, ones: int, least_z: float = 6.0) -> np.ndarray:
+    """Buckets whose documents (``seen_in`` of n) are of label 1 (``of_ones`` of them) more or less
+    often than chance would have it, by ``least_z`` standard deviations or more."""
+    expected = seen_in * (ones / n)
+    spread = np.sqrt(expected * (1 - ones / n) * np.maximum(1, n - seen_in) / n + 1e-9)
+    return np.abs(of_ones - expected) >= np.maximum(least_z * spread, 2)
+
+
 def fit(
     bags: list[tuple[np.ndarray, np.ndarray]],
     labels: np.ndarray,
@@ -94,26 +103,27 @@ def fit(
     decay: float = 1e-5,
     clean_weight: float = 4.0,
     least_z: float = 6.0,
+    counts: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> Model:
     """Embeddings and softmax trained together by mini-batches with per-parameter step sizes.
 
     Buckets whose documents are of either label as often as chance would have it (under
     ``least_z`` standard deviations off) keep zero vectors. ``clean_weight``: the weight of all
     rows of label 0 against all of label 1, so that clean documents are left alone.
+    ``counts``: documents by bucket, all and of label 1, if the bags hold informative buckets only.
     With one label only, or no rows at all, the model is constant (0.5 if there are no rows)."""
     n = len(bags)
     if n == 0 or labels.min() == labels.max():
         return Model(np.zeros(BUCKETS, np.float32), 0.0 if n == 0 else 4.0 if labels[0] else -4.0)
     rng = np.random.default_rng(seed)
-    # The bags stay apart until the model's buckets are known: together they are large.
-    seen_in, of_ones = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for (b, _), label in zip(bags, labels):
-        seen_in[b] += 1
-        of_ones[b] += label
+    if counts is None:
+        counts = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        for (b, _), label in zip(bags, labels):
+            counts[0][b] += 1
+            counts[1][b] += label
+    seen_in = counts[0]
+    used = informative(*counts, n, int(labels.sum()), least_z)
     ones = int(labels.sum())
-    expected = seen_in * (ones / n)
-    spread = np.sqrt(expected * (1 - ones / n) * np.maximum(1, n - seen_in) / n + 1e-9)
-    used = np.abs(of_ones - expected) >= np.maximum(least_z * spread, 2)
     kept = [(b[used[b]], w[used[b]]) for b, w in bags]
     owner = np.repeat(np.arange(n), [len(b) for b, _ in kept])
     bucket = np.concatenate([b for b, _ in kept]).astype(np.int64)
@@ -199,30 +209,57 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     def bags(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text"):
             made = [bag(t) for t in texts_of(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("toxic").cast(pa.int32()),
+                    pa.array([b for b, _ in made], pa.list_(pa.int32())),
+                    pa.array([w for _, w in made], pa.list_(pa.float32())),
+                ],
+                ["doc_id", "toxic", "buckets", "weights"],
+            )
+
+    # A document that stands twice in the table is used once for each label.
+    path = scratch_path(docs.sparkSession, "toxic-bags")
+    schema = "doc_id bigint, toxic int, buckets array<int>, weights array<float>"
+    sample.mapInArrow(bags, schema).dropDuplicates(["doc_id", "toxic"]).write.parquet(path)
+    made = docs.sparkSession.read.parquet(path)
+    # At most BUCKETS rows of counts, then the few informative buckets of each bag.
+    totals = made.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    n, ones = int(totals[0]), int(totals[1])
+    if ones in (0, n):
+        return fit([(np.zeros(0, np.int64), np.zeros(0, np.float32))] * n, np.full(n, int(ones > 0)))
+    by_bucket = (
+        made.select(F.explode("buckets").alias("bucket"), "toxic")
+        .groupBy("bucket")
+        .agg(F.count("*").alias("n"), F.sum("toxic").alias("ones"))
+        .toArrow()
+    )
+    seen_in, of_ones = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    at = by_bucket.column("bucket").to_numpy()
+    seen_in[at], of_ones[at] = by_bucket.column("n").to_numpy(), by_bucket.column("ones").to_numpy()
+    used = informative(seen_in, of_ones, n, ones)
+
+    def thin(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            both = []
+            for b, w in zip(batch.column("buckets").to_pylist(), batch.column("weights").to_pylist()):
+                b, w = np.array(b or [], np.int64), np.array(w or [], np.float32)
+                both.append((b[used[b]], w[used[b]]))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("toxic"),
-                    pa.array([b.tobytes() for b, _ in made], pa.binary()),
-                    pa.array([w.tobytes() for _, w in made], pa.binary()),
+                    pa.array([b for b, _ in both], pa.list_(pa.int32())),
+                    pa.array([w for _, w in both], pa.list_(pa.float32())),
                 ],
                 ["doc_id", "toxic", "buckets", "weights"],
             )
 
-    schema = f"doc_id bigint, toxic {sample.schema['toxic'].dataType.simpleString()}, buckets binary, weights binary"
-    # A document that stands twice in the table has as many rows here: two per label at most are
-    # kept of each id, so the sample stays bounded.
-    rows = sample.mapInArrow(bags, schema).dropDuplicates(["doc_id", "toxic"]).toArrow()
-    ids, labelled = rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy().astype(np.int64)
-    order_of = np.lexsort((labelled, ids)).tolist()
-    made = [
-        (
-            np.frombuffer(rows.column("buckets")[i].as_py(), np.int32),
-            np.frombuffer(rows.column("weights")[i].as_py(), np.float32),
-        )
-        for i in order_of
-    ]
-    return fit(made, labelled[order_of])
+    rows = made.mapInArrow(thin, schema).collect()
+    rows.sort(key=lambda r: (r.doc_id, r.toxic))
+    kept = [(np.array(r.buckets, np.int64), np.array(r.weights, np.float32)) for r in rows]
+    return fit(kept, np.array([r.toxic for r in rows], np.int64), counts=(seen_in, of_ones))
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
