@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
+def quoted(name: str) -> str:
+    """A column name as a reference that may hold dots and backticks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def row_json(df: DataFrame, ignore_null_fields: bool = True) -> Column:
     """The whole row as one JSON object (field names = column names, in order).
 
     Null fields are left out by default; ``ignore_null_fields=False`` writes them as null.
     """
     options = {"ignoreNullFields": "true" if ignore_null_fields else "false"}
-    return F.to_json(F.struct(*[F.col(c) for c in df.columns]), options)
+    return F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns]), options)
 
 
 def row_text(df: DataFrame, sep: str = ",", style: str = "row", null_text: str = "null") -> Column:
@@ -23,10 +28,10 @@ def row_text(df: DataFrame, sep: str = ",", style: str = "row", null_text: str =
     ``v1,v2,...`` with nulls as empty fields.
     """
     if style == "row":
-        parts = [F.coalesce(F.col(c).cast("string"), F.lit(null_text)) for c in df.columns]
+        parts = [F.coalesce(F.col(quoted(c)).cast("string"), F.lit(null_text)) for c in df.columns]
         return F.concat(F.lit("["), F.concat_ws(sep, *parts), F.lit("]"))
     if style == "plain":
-        parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+        parts = [F.coalesce(F.col(quoted(c)).cast("string"), F.lit("")) for c in df.columns]
         return F.concat_ws(sep, *parts)
     raise ValueError(f"unknown style {style!r}")
 
@@ -35,7 +40,7 @@ def null_to_empty(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Replace nulls by '' in the given (default: all string) columns."""
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in cols})
+    return df.withColumns({c: F.coalesce(F.col(quoted(c)), F.lit("")) for c in cols})
 
 
 def lower_columns(df: DataFrame) -> DataFrame:

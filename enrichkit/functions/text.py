@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 # The DNS line layout is "<time> <process>: <type> <domain> <word> <address>",
 # e.g. "Jan 22 15:26:31 dnsmasq[9958]: reply houzz.map.fastly.net is 151.101.192.93".
-# Groups: 1 = query type, 2 = domain, 3 = address (without the leading blank).
-DNS_LINE_PATTERN = r"^.*?:\s+([/\w\[\]]+)\s+(\S+)\s+\w+\s+(.*)$"
+# Groups: 1 = query type, 2 = domain, 3 = address (without the leading blank). The word and
+# the address may be missing.
+DNS_LINE_PATTERN = r"^.*?:\s+([/\w\[\]]+)\s+(\S+)(?:\s+(?:\w+(?:\s+|$))?(.*))?$"
 
 # A host name is one or more labels of 1-63 letters, digits or inner hyphens,
-# each followed by a dot, then a top-level domain of 2 to ``max_tld`` letters (default 6).
+# each followed by a dot, then a top-level domain of 2 to ``max_tld`` letters (default 63, the longest label).
 _LABEL = r"[A-Za-z0-9]([A-Za-z0-9-]{0,61}[A-Za-z0-9])?\."
-DEFAULT_MAX_TLD = 6
+DEFAULT_MAX_TLD = 63
 
 
 def _col(c: Column | str) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from enrichkit.functions.records import quoted
+
 
 def value_counts(
     df: DataFrame,
@@ -23,8 +25,8 @@ def value_counts(
     a value of its own unless ``include_nulls=False``.
     """
     cols = list(cols or df.columns)
-    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
-    pairs = text.unpivot([], cols, field_col, value_col)
+    text = df.select(*[F.col(quoted(c)).cast("string").alias(c) for c in cols])
+    pairs = text.unpivot([], [quoted(c) for c in cols], field_col, value_col)
     if not include_nulls:
         pairs = pairs.where(F.col(value_col).isNotNull())
     counts = pairs.groupBy(field_col, value_col).agg(F.count(F.lit(1)).alias(count_col))

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from enrichkit.operators.geo import geo_enrich
 from enrichkit.operators.ids import get_or_create_ids
+from enrichkit.operators.keyed import keep_last
 from enrichkit.operators.profile import value_counts
-from enrichkit.sinks.files import create_table_as, keyed_overwrite, write_documents, write_text
+from enrichkit.sinks.files import create_table_as, write_documents, write_text
 from enrichkit.sources.files import read_csv, read_documents
 
 
@@ -88,10 +89,16 @@ def load_keyed_index(
     """A headed CSV, names lower-cased, loaded into a recreated keyed store where a key
     seen again keeps its last row in file order; returns two stored rows as a check."""
     df = read_csv(spark, csv_path, header=True, lowercase_columns=True)
-    # Row position in the file: partitions follow file offsets, ids grow within each.
-    positioned = df.withColumn("__pos", F.monotonically_increasing_id())
-    keyed_overwrite(positioned, target, key, ["__pos"], fmt=fmt)
-    stored = spark.read.format(fmt).load(target).drop("__pos")
+    # Partitions need not follow the files' order: a row's place is its file, its block of the
+    # file, and its number within the split (the low bits of the increasing id).
+    order = {
+        "__file": F.col("_metadata.file_path"),
+        "__block": F.col("_metadata.file_block_start"),
+        "__pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
+    }
+    last = keep_last(df.withColumns(order), key, list(order)).drop(*order)
+    last.write.format(fmt).mode("overwrite").save(target)
+    stored = spark.read.format(fmt).load(target)
     return stored.limit(2)
 
 

@@ -7,10 +7,9 @@ here again in DuckDB's dialect as CTEs.
 
 from __future__ import annotations
 
-from enrichkit.functions.text import DNS_LINE_PATTERN, domain_pattern
-
-DNS = DNS_LINE_PATTERN
-DOM = domain_pattern()
+# Spelled here on their own, not taken from the code that they check.
+DNS = r"^.*?:\s+([/\w\[\]]+)\s+(\S+)(?:\s+(?:\w+(?:\s+|$))?(.*))?$"
+DOM = r"([A-Za-z0-9]([A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,63}"
 
 _QUAD = (
     "CAST({x} // 16777216 AS VARCHAR) || '.' || CAST({x} // 65536 % 256 AS VARCHAR) || '.' || "

@@ -27,6 +27,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if sc is None or not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="enrichkit-")
         if sc is not None:
             sc.setCheckpointDir(root)

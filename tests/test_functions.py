@@ -1,5 +1,9 @@
 from pyspark.sql import functions as F
 
+from enrichkit.functions.records import null_to_empty, row_json, row_text
+from enrichkit.functions.text import dns_fields
+from enrichkit.operators.profile import value_counts
+
 from enrichkit.functions import (
     cidr_end,
     cidr_prefix_len,
@@ -75,10 +79,27 @@ def test_first_domain_and_tld_limit(spark):
         [("http://evil.example.com/x.php",), ("-",), ("nothing here",), ("a.b.museum",), ("host.technology",)], "t string"
     )
     got = [r[0] for r in df.select(first_domain("t")).collect()]
-    # the top-level domain holds 2 to 6 letters: longer ones are cut
-    assert got == ["evil.example.com", "", "", "a.b.museum", "host.techno"]
-    longer = [r[0] for r in df.select(first_domain("t", max_tld=10)).collect()]
-    assert longer[-1] == "host.technology"
+    assert got == ["evil.example.com", "", "", "a.b.museum", "host.technology"]
+    # an explicit bound cuts longer ones
+    shorter = [r[0] for r in df.select(first_domain("t", max_tld=6)).collect()]
+    assert shorter[-1] == "host.techno"
+
+
+def test_dns_lines_without_a_tail(spark):
+    lines = ["Jan 1 d[1]: reply bad.example.com is", "Jan 1 d[1]: /etc/hosts bad.example.com <HOST> 1.2.3.4", "Jan 1 d[1]: reply x.org"]
+    df = spark.createDataFrame([(x,) for x in lines], "message string")
+    want = [("reply", "bad.example.com", ""), ("/etc/hosts", "bad.example.com", "<HOST> 1.2.3.4"), ("reply", "x.org", "")]
+    for matched in (False, True):
+        fields = dns_fields("message", assume_match=matched)
+        assert [tuple(r) for r in df.select(*fields.values()).collect()] == want
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([("1", None), ("1", "b")], "`a.b` string, `c``d` string")
+    assert df.select(row_json(df)).first()[0] == '{"a.b":"1"}'
+    assert df.select(row_text(df)).first()[0] == "[1,null]"
+    assert null_to_empty(df).first()[1] == ""
+    assert [tuple(r) for r in value_counts(df).collect()] == [("a.b", "1", 2)]
 
 
 def test_clean_domain_fallback(spark):

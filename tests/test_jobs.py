@@ -13,7 +13,7 @@ def test_load_keyed_index_keeps_last_row_in_file_order(spark):
     target = scratch_path(spark, "record_index")
     check = load_keyed_index(spark, csv, target, "recordid")
     assert check.count() == 2
-    assert rows(spark.read.parquet(target).drop("__pos")) == [("1", "e"), ("2", "b"), ("3", "d")]
+    assert rows(spark.read.parquet(target)) == [("1", "e"), ("2", "b"), ("3", "d")]
 
 
 def test_report_table(spark):
@@ -45,3 +45,15 @@ def test_dns_alert_job_over_files(spark):
     got = sorted(r[0] for r in spark.read.text(f"{root}/out").collect())
     expected = alert_values(dns_alerts(fx.dns_messages(spark, SMALL).select("message"), fx.domain_list(spark, SMALL)))
     assert got == sorted(r[0] for r in expected.collect()) and len(got) > 0
+
+
+def test_load_keyed_index_goes_by_file_and_place(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("Key,V\na,first\nb,small\n")
+    (folder / "part-1.csv").write_text("Key,V\n" + "".join(f"k{i},{i}\n" for i in range(2000)) + "a,last\n")
+    target = str(tmp_path / "store")
+    load_keyed_index(spark, str(folder), target, "key")
+    stored = {r.key: r.v for r in spark.read.parquet(target).collect()}
+    assert spark.read.parquet(target).columns == ["key", "v"]
+    assert stored["a"] == "last" and stored["b"] == "small" and len(stored) == 2002
