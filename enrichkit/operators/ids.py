@@ -100,29 +100,26 @@ def get_or_create_ids(
     mode: str = "uuid",
     out: str = "deid",
     salt: str = "",
-    how: str = "inner",
+    how: str = "left",
     store_path: str | None = None,
     store_format: str = "parquet",
 ) -> tuple[DataFrame, DataFrame]:
     """Give every row of ``events`` the id of its key; create ids for unknown keys.
 
     Returns ``(events with out column, new mappings)``. With ``store_path`` the new
-    mappings are appended to the lookup store, which then holds every key seen. One id
+    mappings are appended to the lookup store. Every event stays once: one with a null key
+    has no id (``how="inner"`` drops it), and of a key that the lookup holds twice, as after
+    two concurrent runs, the smallest id counts. One id
     per distinct key within a run; concurrent runs need a transactional table to stay
     unique.
     """
     missing = missing_keys(events, lookup, key)
-    created = new_ids(missing, key, mode, out, lookup, salt).select(key, out)
-    if mode == "hash":
-        # Pinned so that measuring the mapping, storing it and joining it do not each
-        # recompute the distinct and anti-join passes over the events.
-        ensure_checkpoint_dir(events.sparkSession)
-        created = created.checkpoint(eager=True)
+    # The final (key, id) pairs are pinned: storing, measuring and joining them must see the
+    # same ids, also after the store (and so a lookup read from it) has grown.
+    ensure_checkpoint_dir(events.sparkSession)
+    created = new_ids(missing, key, mode, out, lookup, salt).select(key, out).checkpoint(eager=True)
+    known = lookup.select(key, out).unionByName(created).where(F.col(key).isNotNull())
+    mapping = known.groupBy(key).agg(F.min(out).alias(out))
     if store_path is not None:
         created.write.mode("append").format(store_format).save(store_path)
-        # The store now holds every key once; read it afresh rather than adding the new
-        # ids to a lookup whose file listing may or may not already include them.
-        mapping = events.sparkSession.read.format(store_format).load(store_path).select(key, out)
-    else:
-        mapping = lookup.select(key, out).unionByName(created)
     return skew_aware_join(events, mapping, [key], how), created

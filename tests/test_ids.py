@@ -73,3 +73,23 @@ def test_missing_keys_drops_null_and_known(spark):
     events = spark.createDataFrame([("1", "a"), ("2", None), ("3", "b"), ("4", "b")], "id string, pid string")
     lookup = spark.createDataFrame([("a", "x")], "pid string, deid string")
     assert rows(missing_keys(events, lookup, "pid")) == [("b",)]
+
+
+def test_every_event_stays_once(spark):
+    events = spark.createDataFrame([("e1", "k1"), ("e2", None), ("e3", "k2")], "id string, pid string")
+    lookup = spark.createDataFrame([("k1", "old-b"), ("k1", "old-a")], "pid string, deid string")
+    out, new = get_or_create_ids(events, lookup, "pid", mode="hash", salt="s")
+    got = {r.id: r.deid for r in out.collect()}
+    assert out.count() == 3 and got["e1"] == "old-a" and got["e2"] is None and got["e3"]
+    assert [r.pid for r in new.collect()] == ["k2"]
+
+
+def test_sequence_ids_stay_after_the_store_grew(spark, tmp_path):
+    store = str(tmp_path / "store")
+    spark.createDataFrame([("a", 1), ("b", 2)], "pid string, deid bigint").write.parquet(store)
+    events = spark.createDataFrame([("a",), ("c",), ("d",)], "pid string")
+    out, new = get_or_create_ids(events, spark.read.parquet(store), "pid", mode="sequence", store_path=store)
+    want = {"a": 1, "c": 3, "d": 4}
+    assert {r.pid: r.deid for r in out.collect()} == want
+    assert {r.pid: r.deid for r in new.collect()} == {"c": 3, "d": 4}
+    assert {r.pid: r.deid for r in spark.read.parquet(store).collect()} == want | {"b": 2}
