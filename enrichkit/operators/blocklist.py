@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from enrichkit.functions.text import DEFAULT_MAX_TLD, clean_domain, dns_fields, dns_line_matches
 from enrichkit.operators.joins import skew_aware_join
 from enrichkit.operators.sizing import fits_broadcast
+from enrichkit.session import ensure_checkpoint_dir
 
 # Field order of the malware domain list (CSV without header). The second
 # field is the listed domain, called ``listed_domain`` here so that ``domain`` can hold the
@@ -23,6 +24,8 @@ MALWARE_LIST_FIELDS = [
     "inactive",
     "country",
 ]
+_ALERT_FIELDS = ("query_type", "domain", "address", "listing_count")
+STREAM_SALT_BUCKETS = 8
 MALWARE_LIST_SCHEMA = ", ".join(f"{f} string" for f in MALWARE_LIST_FIELDS)
 
 
@@ -57,18 +60,16 @@ def clean_domain_list(
     return listing.withColumn("domain", domain).where(F.col("domain") != F.lit(""))
 
 
-def listed_domains(listing: DataFrame, normalize: bool = False) -> DataFrame:
-    """One row per listed host: ``domain``, ``listing_count`` and ``listings`` (the list
-    entries naming that host, as a sorted array of structs of the raw list fields).
+def listed_domains(listing: DataFrame, normalize: bool = False, max_tld: int = DEFAULT_MAX_TLD) -> DataFrame:
+    """One row per listed host: ``domain`` and ``listing_count``, the entries naming it.
 
-    Reducing the list per host before the join keeps the join one-to-one: an alert per
-    matching lookup, never one row per (lookup, list entry) pair.
+    Counting the list per host before the join (with map-side combine, so a host listed very
+    often is no hot group) keeps the join one-to-one: an alert per matching lookup, never one
+    row per (lookup, list entry) pair. The entries themselves are ``clean_domain_list``: one
+    row per entry, to be joined by ``domain`` where they are wanted.
     """
-    cleaned = clean_domain_list(listing, normalize=normalize)
-    entry = F.struct(*[F.col(f"`{c}`") for c in listing.columns if c != "domain"])
-    return cleaned.groupBy("domain").agg(
-        F.count(F.lit(1)).alias("listing_count"), F.array_sort(F.collect_list(entry)).alias("listings")
-    )
+    cleaned = clean_domain_list(listing, max_tld=max_tld, normalize=normalize)
+    return cleaned.groupBy("domain").agg(F.count(F.lit(1)).alias("listing_count"))
 
 
 def _matchable(messages: DataFrame, message_col: str, normalize: bool) -> DataFrame:
@@ -84,49 +85,50 @@ def dns_alerts(
     *,
     message_col: str = "message",
     normalize: bool = False,
+    max_tld: int = DEFAULT_MAX_TLD,
     max_broadcast_bytes: int | None = None,
-    streaming: bool | None = None,
 ) -> DataFrame:
-    """One alert per DNS lookup whose domain is on the list.
-
-    Columns: the message columns, ``query_type``, ``domain``, ``address``, and from the
-    list ``listing_count`` and ``listings`` (every list entry naming the domain).
-    ``listing`` holds the raw list fields; it is cleaned and reduced per host here. Lines
-    that do not parse and entries without a host never match (they would otherwise meet
-    on '' = ''). Batch input uses the skew-aware join; a stream joins the static list by
-    broadcast when the measured list fits, else by Spark's stream-static shuffle join
-    (``start_dns_alert_stream`` switches to per-batch skew-aware joins in that case).
-    """
-    listed = listed_domains(listing, normalize)
-    is_stream = messages.isStreaming if streaming is None else streaming
-    if is_stream:
-        # The static side is reduced once and cached; every micro-batch reuses it.
-        listed = listed.cache()
-    return alerts_from_listed(
-        messages, listed, message_col=message_col, normalize=normalize,
-        max_broadcast_bytes=max_broadcast_bytes, streaming=is_stream,
-    )
+    """One alert per DNS lookup whose domain is on the list, batch or stream.
 
+    Columns: the message columns (a message field called like one of the following gives way
+    to it), ``query_type``, ``domain``, ``address`` and ``listing_count``. ``listing`` holds
+    the raw list fields; it is cleaned and counted per host here. Lines that do not parse and
+    entries without a host never match (they would otherwise meet on '' = '').
 
-def alerts_from_listed(
-    messages: DataFrame,
-    listed: DataFrame,
-    *,
-    message_col: str = "message",
-    normalize: bool = False,
-    max_broadcast_bytes: int | None = None,
-    streaming: bool = False,
-    listed_fits: bool | None = None,
-) -> DataFrame:
-    """``dns_alerts`` against a list already reduced by ``listed_domains``."""
-    parsed = _matchable(messages, message_col, normalize)
-    if streaming:
-        fits = fits_broadcast(listed, max_broadcast_bytes) if listed_fits is None else listed_fits
-        joined = parsed.join(F.broadcast(listed) if fits else listed, "domain", "inner")
-    else:
+    The list's size changes only how the join runs. Within the broadcast bound it is
+    broadcast. Over it a batch takes the skew-aware join, and a stream, where skewed
+    partitions are not split at run time, a salted shuffle join.
+    """
+    listed = listed_domains(listing, normalize, max_tld)
+    first = [c for c in messages.columns if c not in _ALERT_FIELDS]
+    parsed = _matchable(messages.select(*[F.col(f"`{c}`") for c in messages.columns if c in first]), message_col, normalize)
+    if not messages.isStreaming:
         joined = skew_aware_join(parsed, listed, ["domain"], "inner", max_broadcast_bytes=max_broadcast_bytes)
-    first = [c for c in messages.columns if c != "domain"]
-    return joined.select(*first, "query_type", "domain", "address", "listing_count", "listings")
+    else:
+        # The list is static: pinned once in the shared folder, read by every micro-batch.
+        ensure_checkpoint_dir(listing.sparkSession)
+        listed = listed.checkpoint(eager=True)
+        if fits_broadcast(listed, max_broadcast_bytes):
+            joined = parsed.join(F.broadcast(listed), "domain", "inner")
+        else:
+            joined = _salted_stream_join(parsed, listed)
+    return joined.select(*[F.col(f"`{c}`") for c in first], *_ALERT_FIELDS)
+
+
+def _salted_stream_join(parsed: DataFrame, listed: DataFrame) -> DataFrame:
+    """Shuffle join of a stream with a list too big to broadcast, every domain spread over
+    ``enrichkit.skew.streamSaltBuckets`` tasks so that one looked up very often fills none.
+
+    The salt is a hash of the whole message, so a retried task deals its rows alike. The list,
+    one narrow row per host, is copied once per salt and stored already partitioned.
+    """
+    spark = parsed.sparkSession
+    buckets = int(spark.conf.get("enrichkit.skew.streamSaltBuckets", str(STREAM_SALT_BUCKETS)))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salted = listed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    salted = salted.repartition(parts, "domain", "__salt").checkpoint(eager=True)
+    salt = F.pmod(F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in parsed.columns]))), F.lit(buckets))
+    return parsed.withColumn("__salt", salt.cast("int")).join(salted, ["domain", "__salt"], "inner")
 
 
 def dns_rejects(messages: DataFrame, message_col: str = "message") -> DataFrame:

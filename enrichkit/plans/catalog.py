@@ -15,6 +15,7 @@ from enrichkit.functions.net import ipv4_to_long
 from enrichkit.functions.records import null_to_empty, pick_field
 from enrichkit.functions.text import first_domain
 from enrichkit.operators.blocklist import (
+    MALWARE_LIST_FIELDS,
     MALWARE_LIST_SCHEMA,
     clean_domain_list,
     dns_alerts,
@@ -31,10 +32,16 @@ from enrichkit.session import scratch_path
 from enrichkit.sinks.files import create_table_as, keyed_overwrite, write_csv, write_documents, write_text
 from enrichkit.sources.files import read_csv, read_documents
 from enrichkit.plans import fixtures as fx
-from enrichkit.plans.jobs import deid_events_to_text, geo_enrich_files, value_counts_index
+from enrichkit.plans.jobs import deid_events_to_text, dns_alert_job, geo_enrich_files, value_counts_index
 from enrichkit.plans import oracle as o
 from enrichkit.sources.messages import json_values_to_rows
-from enrichkit.streaming.dns import alert_values, foreach_batch_sink, read_messages, start_dns_alert_stream
+from enrichkit.streaming.dns import (
+    alert_values,
+    foreach_batch_sink,
+    read_messages,
+    start_dns_alert_stream,
+    start_dns_reject_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,22 +89,17 @@ def clean_domain_list_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ALERT_COLS = ["event_id", "message", "query_type", "domain", "address", "listing_count"]
 _ALERTS_SQL = o.with_ctes(
     ["alerts"],
-    f"SELECT {', '.join(_ALERT_COLS)}, CAST(to_json(listings) AS VARCHAR) AS listings_json FROM alerts",
+    f"SELECT {', '.join(_ALERT_COLS)} FROM alerts",
 )
 
 
-def _alert_rows(alerts: DataFrame) -> DataFrame:
-    """Alerts with the listing array as JSON text (a scalar column for comparison)."""
-    return alerts.select(*_ALERT_COLS, F.to_json("listings").alias("listings_json"))
-
-
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dns_alerts(fx.dns_messages(spark, sf_dir), fx.domain_list(spark, sf_dir))
 
 
 @register("dns_blocklist_join", _ALERTS_SQL)
 def dns_blocklist_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _alert_rows(_alerts(spark, sf_dir))
+    return _alerts(spark, sf_dir)
 
 
 @register(
@@ -131,8 +133,7 @@ def dns_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     o.with_ctes(
         ["alerts"],
         """SELECT CAST(to_json({'event_id': event_id, 'message': message, 'query_type': query_type,
-                  'domain': domain, 'address': address, 'listing_count': listing_count,
-                  'listings': listings}) AS VARCHAR) AS value
+                  'domain': domain, 'address': address, 'listing_count': listing_count}) AS VARCHAR) AS value
            FROM alerts""",
     ),
 )
@@ -454,27 +455,103 @@ def _message_files(spark: SparkSession, sf_dir: str, root: str, files: int = 4)
     return path
 
 
-@register("stream_dns_alerts", _ALERTS_SQL)
-def stream_dns_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The alert stream over file-delivered messages (one file per micro-batch), the list
-    read from a headerless CSV, alerts written to parquet and read back."""
+def _stream_alerts(spark: SparkSession, sf_dir: str, max_broadcast_bytes: int | None = None) -> DataFrame:
     root = scratch_path(spark, "dns_stream")
     source = _message_files(spark, sf_dir, root)
     write_csv(fx.domain_list(spark, sf_dir), f"{root}/list")
-    listing = read_csv(spark, f"{root}/list", schema=MALWARE_LIST_SCHEMA)
-    messages = read_messages(spark, fmt="text", path=source, options={"maxFilesPerTrigger": "1"})
     query = start_dns_alert_stream(
-        messages,
-        listing,
+        read_messages(spark, fmt="text", path=source, options={"maxFilesPerTrigger": "1"}),
+        read_csv(spark, f"{root}/list", schema=MALWARE_LIST_SCHEMA),
         checkpoint_location=f"{root}/checkpoint",
         message_schema=STREAM_MESSAGE_SCHEMA,
         sink_format="parquet",
         path=f"{root}/out",
         trigger={"availableNow": True},
         as_json=False,
+        max_broadcast_bytes=max_broadcast_bytes,
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_dns_alerts", _ALERTS_SQL)
+def stream_dns_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert stream over file-delivered messages (one file per micro-batch), the list
+    read from a headerless CSV, alerts written to parquet and read back."""
+    return _stream_alerts(spark, sf_dir)
+
+
+@register("stream_dns_alerts_large_list", _ALERTS_SQL)
+def stream_dns_alerts_large_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with no list small enough to broadcast."""
+    return _stream_alerts(spark, sf_dir, max_broadcast_bytes=0)
+
+
+@register(
+    "stream_dns_rejects",
+    o.with_ctes(
+        ["dns_raw"],
+        """SELECT value, CASE WHEN event_id % 19 = 0 THEN 'broken record'
+                              WHEN message IS NULL THEN 'no message' ELSE 'unparsed line' END AS reason
+           FROM dns_raw WHERE event_id % 19 = 0 OR message IS NULL OR domain = ''""",
+    ),
+)
+def stream_dns_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream of records that cannot be matched: raw text and reason."""
+    root = scratch_path(spark, "dns_rejects")
+    fx.dns_raw_values(spark, sf_dir).repartition(4).write.text(f"{root}/in")
+    query = start_dns_reject_stream(
+        read_messages(spark, fmt="text", path=f"{root}/in", options={"maxFilesPerTrigger": "1"}),
+        checkpoint_location=f"{root}/checkpoint",
+        message_schema=STREAM_MESSAGE_SCHEMA,
+        path=f"{root}/out",
+        trigger={"availableNow": True},
     )
     query.awaitTermination()
-    return _alert_rows(spark.read.parquet(f"{root}/out"))
+    return spark.read.schema("value string, reason string").json(f"{root}/out")
+
+
+def _alert_job(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The alert job over records with a further field; the folders of alerts and listings."""
+    root = scratch_path(spark, "dns_job")
+    fx.dns_raw_values(spark, sf_dir).repartition(4).write.text(f"{root}/in")
+    write_csv(fx.domain_list(spark, sf_dir), f"{root}/list")
+    dns_alert_job(
+        spark,
+        list_path=f"{root}/list",
+        checkpoint_location=f"{root}/checkpoint",
+        source_format="text",
+        source_path=f"{root}/in",
+        sink_format="text",
+        sink_path=f"{root}/out",
+        trigger={"availableNow": True},
+        message_schema="event_id bigint, host string, message string",
+        listings_path=f"{root}/listings",
+    ).awaitTermination()
+    return f"{root}/out", f"{root}/listings"
+
+
+@register(
+    "dns_alert_job",
+    o.with_ctes(
+        ["alerts"],
+        f"""SELECT {', '.join(_ALERT_COLS)}, 'ns' || event_id % 7 AS host
+            FROM alerts WHERE event_id % 19 <> 0""",
+    ),
+)
+def dns_alert_job_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert job end to end: JSON records in, JSON alerts out with all of their fields."""
+    schema = "event_id bigint, host string, message string, query_type string, domain string, address string, listing_count bigint"
+    return spark.read.schema(schema).json(_alert_job(spark, sf_dir)[0])
+
+
+@register(
+    "dns_alert_listings",
+    o.with_ctes(["clean_list"], f"SELECT domain, {', '.join(MALWARE_LIST_FIELDS)} FROM clean_list"),
+)
+def dns_alert_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert job's second output: the list entries by domain."""
+    return spark.read.parquet(_alert_job(spark, sf_dir)[1]).select("domain", *MALWARE_LIST_FIELDS)
 
 
 @register(

@@ -8,13 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from enrichkit.functions.text import DEFAULT_MAX_TLD
+from enrichkit.operators.blocklist import MALWARE_LIST_SCHEMA, clean_domain_list
 from enrichkit.operators.geo import geo_enrich
 from enrichkit.operators.ids import get_or_create_ids
 from enrichkit.operators.keyed import keep_last
 from enrichkit.operators.profile import value_counts
 from enrichkit.sinks.files import create_table_as, write_documents, write_text
 from enrichkit.sources.files import read_csv, read_documents
+from enrichkit.streaming.dns import MESSAGE_SCHEMA, read_messages, start_dns_alert_stream
 
 
 def geo_enrich_files(
@@ -127,17 +131,22 @@ def dns_alert_job(
     sink_options: dict[str, str] | None = None,
     sink_path: str | None = None,
     trigger: dict | None = None,
+    message_schema: StructType | str = MESSAGE_SCHEMA,
+    listings_path: str | None = None,
     normalize: bool = False,
+    max_tld: int = DEFAULT_MAX_TLD,
     max_broadcast_bytes: int | None = None,
 ):
     """The DNS alert stream end to end: the bad-domain list (headerless CSV, nine fields),
     messages from a stream source (Kafka topics by default, ``subscribe`` in
     ``source_options``), alerts as JSON values to the sink (Kafka by default, ``topic`` in
-    ``sink_options``). Returns the running query."""
-    from enrichkit.operators.blocklist import MALWARE_LIST_SCHEMA
-    from enrichkit.streaming.dns import read_messages, start_dns_alert_stream
-
+    ``sink_options``). All fields of ``message_schema`` stay in the alerts. With
+    ``listings_path`` the cleaned list is written there, one row per entry with its
+    ``domain``, to look up an alert's entries. Returns the running query."""
     listing = read_csv(spark, list_path, schema=MALWARE_LIST_SCHEMA)
+    if listings_path is not None:
+        entries = clean_domain_list(listing, max_tld=max_tld, normalize=normalize)
+        entries.write.mode("overwrite").parquet(listings_path)
     messages = read_messages(spark, fmt=source_format, path=source_path, options=source_options)
     return start_dns_alert_stream(
         messages,
@@ -147,6 +156,8 @@ def dns_alert_job(
         sink_options=sink_options,
         path=sink_path,
         trigger=trigger,
+        message_schema=message_schema,
         normalize=normalize,
+        max_tld=max_tld,
         max_broadcast_bytes=max_broadcast_bytes,
     )

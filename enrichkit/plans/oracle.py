@@ -51,15 +51,14 @@ CTES: dict[str, str] = {
                          ELSE regexp_extract(listed_domain, '{DOM}', 0) END AS domain
           FROM domain_list) WHERE domain <> ''""",
     "listed": """
-        SELECT domain, count(*) AS listing_count,
-               list({'date': date, 'listed_domain': listed_domain, 'ip': ip, 'reverse': reverse,
-                     'description': description, 'registrant': registrant, 'asn': asn,
-                     'inactive': inactive, 'country': country}
-                    ORDER BY date, listed_domain, ip, reverse, description, registrant, asn,
-                             inactive, country) AS listings
-        FROM clean_list GROUP BY domain""",
+        SELECT domain, count(*) AS listing_count FROM clean_list GROUP BY domain""",
+    "dns_raw": """
+        SELECT *, CASE WHEN event_id % 19 = 0 THEN left(whole, 12) ELSE whole END AS value
+        FROM (SELECT *, '{"event_id":' || event_id || ',"host":"ns' || event_id % 7 || '"'
+                || CASE WHEN message IS NULL THEN '' ELSE ',"message":"' || message || '"' END || '}' AS whole
+              FROM dns_parsed)""",
     "alerts": """
-        SELECT d.event_id, d.message, d.query_type, d.domain, d.address, l.listing_count, l.listings
+        SELECT d.event_id, d.message, d.query_type, d.domain, d.address, l.listing_count
         FROM dns_parsed d JOIN listed l ON d.domain = l.domain
         WHERE d.domain <> ''""",
     "ips": "SELECT event_id, (event_id * 2654435761) % 268435456 AS ipn FROM events",
@@ -87,6 +86,7 @@ _DEPS: dict[str, list[str]] = {
     "domain_list": ["hosts"],
     "dns_parsed": ["dns_messages"],
     "clean_list": ["domain_list"],
+    "dns_raw": ["dns_parsed"],
     "listed": ["clean_list"],
     "alerts": ["dns_parsed", "listed"],
 }

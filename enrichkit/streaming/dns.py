@@ -2,7 +2,7 @@
 
 One streaming plan for the life of the query: read (key, value) records, parse the JSON
 value with a declared schema (a record without ``message`` gets null instead of stopping
-the batch), parse the DNS line, join the static list (reduced per host and cached once; broadcast
+the batch), parse the DNS line, join the static list (counted per host and pinned once; broadcast
 when its measured size allows), and write each alert as a JSON value. The checkpoint makes the query
 restartable: a file sink is exactly-once, a Kafka sink at-least-once.
 """
@@ -12,11 +12,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from enrichkit.functions.records import row_json
-from enrichkit.operators.blocklist import alerts_from_listed, listed_domains
-from enrichkit.operators.sizing import fits_broadcast
+from enrichkit.functions.text import DEFAULT_MAX_TLD, dns_line_matches
+from enrichkit.operators.blocklist import dns_alerts
 from enrichkit.sources.messages import json_values_to_rows
 
 # The message field holding the DNS line, the topic alerts go to, and the
@@ -24,6 +26,7 @@ from enrichkit.sources.messages import json_values_to_rows
 MESSAGE_SCHEMA = "message string"
 ALERT_TOPIC = "dnsMalware"
 DEFAULT_TRIGGER = {"processingTime": "2 seconds"}
+_BROKEN = "__broken"
 
 
 def read_messages(
@@ -54,7 +57,7 @@ def start_dns_alert_stream(
     listing: DataFrame,
     *,
     checkpoint_location: str,
-    message_schema: str = MESSAGE_SCHEMA,
+    message_schema: StructType | str = MESSAGE_SCHEMA,
     sink_format: str = "kafka",
     sink_options: dict[str, str] | None = None,
     path: str | None = None,
@@ -62,6 +65,7 @@ def start_dns_alert_stream(
     as_json: bool = True,
     query_name: str | None = None,
     normalize: bool = False,
+    max_tld: int = DEFAULT_MAX_TLD,
     max_broadcast_bytes: int | None = None,
 ) -> StreamingQuery:
     """Start the alert stream. ``messages`` is a stream with a ``value`` column (see
@@ -70,38 +74,65 @@ def start_dns_alert_stream(
     For Kafka pass ``sink_options={"kafka.bootstrap.servers": ..., "topic": ALERT_TOPIC}``.
     ``trigger`` defaults to 2-second micro-batches.
 
-    The list is reduced per host, cached and measured once. Within the broadcast bound the
-    query is one streaming plan with a broadcast join. Over the bound each micro-batch
-    runs the batch skew-aware join inside ``foreachBatch`` (hot domains split, AQE on),
-    writing epoch ``n`` to ``path/epoch_id=n`` in overwrite mode so a replayed epoch
-    replaces its own output; Kafka output is appended (at-least-once).
+    The list is counted per host and pinned once. Its size decides only how the join runs
+    (broadcast, or salted shuffle over the bound): columns, sink, options and the meaning of
+    ``path`` are the same. Records that cannot be matched go to ``start_dns_reject_stream``.
     """
     rows = json_values_to_rows(messages, message_schema)
-    listed = listed_domains(listing, normalize).cache()
-    fits = fits_broadcast(listed, max_broadcast_bytes)
-    trig = trigger or DEFAULT_TRIGGER
-    if fits:
-        alerts = alerts_from_listed(rows, listed, normalize=normalize, streaming=True, listed_fits=True)
-        out = alert_values(alerts) if as_json else alerts
-        writer = out.writeStream.format(sink_format).options(**(sink_options or {})).outputMode("append")
-    else:
-
-        def process(batch: DataFrame, epoch_id: int) -> None:
-            alerts = alerts_from_listed(batch, listed, normalize=normalize, max_broadcast_bytes=max_broadcast_bytes)
-            out = alert_values(alerts) if as_json else alerts
-            w = out.write.format(sink_format).options(**(sink_options or {}))
-            if sink_format == "kafka":
-                w.save()
-            else:
-                w.mode("overwrite").save(f"{path}/epoch_id={epoch_id}")
-
-        writer = rows.writeStream.foreachBatch(process)
-    writer = writer.option("checkpointLocation", checkpoint_location).trigger(**trig)
+    alerts = dns_alerts(
+        rows, listing, normalize=normalize, max_tld=max_tld, max_broadcast_bytes=max_broadcast_bytes
+    )
+    return _start(
+        alert_values(alerts) if as_json else alerts,
+        checkpoint_location, sink_format, sink_options, path, trigger, query_name,
+    )
+
+
+def _start(out, checkpoint_location, sink_format, sink_options, path, trigger, query_name) -> StreamingQuery:
+    writer = out.writeStream.format(sink_format).options(**(sink_options or {})).outputMode("append")
+    writer = writer.option("checkpointLocation", checkpoint_location).trigger(**(trigger or DEFAULT_TRIGGER))
     if query_name:
         writer = writer.queryName(query_name)
-    if fits and path is not None:
-        return writer.start(path)
-    return writer.start()
+    return writer.start(path) if path is not None else writer.start()
+
+
+def message_rejects(
+    messages: DataFrame, message_schema: StructType | str = MESSAGE_SCHEMA, message_col: str = "message"
+) -> DataFrame:
+    """``value`` (the raw text) and ``reason`` of each record that cannot be matched, batch or
+    stream: ``no record`` (null), ``broken record`` (not JSON of the declared schema), ``no
+    message`` (the field is absent or null), ``unparsed line``."""
+    declared = StructType.fromDDL(message_schema) if isinstance(message_schema, str) else message_schema
+    schema = StructType([*declared.fields, StructField(_BROKEN, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    parsed = messages.select("value", F.from_json("value", schema, options).alias("__rec"))
+    message = F.col("__rec")[message_col]
+    reason = (
+        F.when(F.col("value").isNull(), "no record")
+        .when(F.col("__rec")[_BROKEN].isNotNull(), "broken record")
+        .when(message.isNull(), "no message")
+        .when(~dns_line_matches(message), "unparsed line")
+    )
+    return parsed.select("value", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def start_dns_reject_stream(
+    messages: DataFrame,
+    *,
+    checkpoint_location: str,
+    message_schema: StructType | str = MESSAGE_SCHEMA,
+    sink_format: str = "json",
+    sink_options: dict[str, str] | None = None,
+    path: str | None = None,
+    trigger: dict | None = None,
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Start the stream of ``message_rejects``, beside the alert stream with a checkpoint of
+    its own. A Kafka sink gets each reject as a JSON ``value``."""
+    out = message_rejects(messages, message_schema)
+    if sink_format == "kafka":
+        out = out.select(row_json(out).alias("value"))
+    return _start(out, checkpoint_location, sink_format, sink_options, path, trigger, query_name)
 
 
 def foreach_batch_sink(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:

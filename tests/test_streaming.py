@@ -1,4 +1,4 @@
-from pyspark.sql import functions as F
+import pytest
 
 from enrichkit.operators.blocklist import MALWARE_LIST_SCHEMA, dns_alerts, dns_rejects
 from enrichkit.plans import fixtures as fx
@@ -6,14 +6,14 @@ from enrichkit.session import scratch_path
 from enrichkit.sinks import write_csv
 from enrichkit.sources import read_csv
 from enrichkit.sources.messages import json_values_to_rows
-from enrichkit.streaming import alert_values, foreach_batch_sink, read_messages, start_dns_alert_stream
+from enrichkit.streaming import alert_values, foreach_batch_sink, message_rejects, read_messages, start_dns_alert_stream
 from tests.conftest import SMALL, rows
 
 SCHEMA = "event_id bigint, message string"
 
 
 def _alert_rows(df):
-    return rows(df.select("event_id", "domain", "listing_count", F.to_json("listings")))
+    return rows(df.select("event_id", "domain", "listing_count"))
 
 
 def _setup(spark):
@@ -23,25 +23,28 @@ def _setup(spark):
     return root, read_csv(spark, f"{root}/list", schema=MALWARE_LIST_SCHEMA)
 
 
-def _run(spark, root, listing, as_json=False):
+def _run(spark, root, listing, as_json=False, max_broadcast_bytes=None):
     messages = read_messages(spark, fmt="text", path=f"{root}/in", options={"maxFilesPerTrigger": "1"})
     q = start_dns_alert_stream(
         messages, listing, checkpoint_location=f"{root}/ckpt", message_schema=SCHEMA,
         sink_format="text" if as_json else "parquet", path=f"{root}/out", trigger={"availableNow": True},
-        as_json=as_json,
+        as_json=as_json, max_broadcast_bytes=max_broadcast_bytes,
     )
     q.awaitTermination()
     return q
 
 
-def test_stream_equals_batch_and_restart_adds_nothing(spark):
+@pytest.mark.parametrize("bound", [None, 0])
+def test_stream_equals_batch_and_restart_adds_nothing(spark, bound):
     root, listing = _setup(spark)
-    q = _run(spark, root, listing)
+    q = _run(spark, root, listing, max_broadcast_bytes=bound)
     assert len(q.recentProgress) >= 3  # one micro-batch per file
     batch = dns_alerts(fx.dns_messages(spark, SMALL), fx.domain_list(spark, SMALL))
-    first = _alert_rows(spark.read.parquet(f"{root}/out"))
+    written = spark.read.parquet(f"{root}/out")
+    assert written.columns == batch.columns  # whatever the list's size
+    first = _alert_rows(written)
     assert first == _alert_rows(batch) and len(first) > 0
-    _run(spark, root, listing)  # restart from the checkpoint: no new input, no new rows
+    _run(spark, root, listing, max_broadcast_bytes=bound)  # restart from the checkpoint: no new input, no new rows
     assert _alert_rows(spark.read.parquet(f"{root}/out")) == first
 
 
@@ -70,18 +73,29 @@ def test_records_without_message_do_not_stop_parsing(spark):
     assert rows(dns_rejects(parsed), "event_id", "reason") == [(None, "no message"), (1, "no message"), (2, "unparsed line")]
 
 
-def test_stream_over_broadcast_bound_uses_per_batch_join(spark):
-    root, listing = _setup(spark)
-    messages = read_messages(spark, fmt="text", path=f"{root}/in", options={"maxFilesPerTrigger": "1"})
-    q = start_dns_alert_stream(
-        messages, listing, checkpoint_location=f"{root}/ckpt", message_schema=SCHEMA,
-        sink_format="parquet", path=f"{root}/out", trigger={"availableNow": True}, as_json=False,
-        max_broadcast_bytes=0,
+def test_rejects_keep_the_raw_record_and_say_why(spark):
+    values = [(None,), ("not json",), ('{"event_id": 2}',), ('{"event_id": 3, "message": "x"}',),
+              ('{"event_id": 4, "message": "d: reply a.example is 1.2.3.4"}',), ("",)]
+    df = spark.createDataFrame(values, "value string")
+    assert dict(rows(message_rejects(df, SCHEMA))) == {
+        None: "no record",
+        "": "no message",
+        "not json": "broken record",
+        '{"event_id": 2}': "no message",
+        '{"event_id": 3, "message": "x"}': "unparsed line",
+    }
+
+
+def test_alert_fields_win_over_message_fields_of_their_name(spark):
+    df = spark.createDataFrame(
+        [(1, "d: reply a.technology is 1.2.3.4", "mine", "mine")], "event_id bigint, message string, address string, listing_count string"
     )
-    q.awaitTermination()
-    batch = dns_alerts(fx.dns_messages(spark, SMALL), fx.domain_list(spark, SMALL))
-    got = _alert_rows(spark.read.parquet(f"{root}/out").drop("epoch_id"))
-    assert got == _alert_rows(batch) and len(got) > 0
+    entry = ("d", "a.technology/x", "-", "-", "listed", "-", "0", "0", "-")
+    listing = spark.createDataFrame([entry, entry], MALWARE_LIST_SCHEMA)
+    out = dns_alerts(df, listing)
+    assert out.columns == ["event_id", "message", "query_type", "domain", "address", "listing_count"]
+    assert rows(out, "event_id", "domain", "address", "listing_count") == [(1, "a.technology", "1.2.3.4", 2)]
+    assert rows(dns_alerts(df, listing, max_tld=6), "event_id") == []
 
 
 def test_unparsed_lines_never_meet_hostless_entries(spark):
