@@ -32,7 +32,13 @@ from enrichkit.session import scratch_path
 from enrichkit.sinks.files import create_table_as, keyed_overwrite, write_csv, write_documents, write_text
 from enrichkit.sources.files import read_csv, read_documents
 from enrichkit.plans import fixtures as fx
-from enrichkit.plans.jobs import deid_events_to_text, dns_alert_job, geo_enrich_files, value_counts_index
+from enrichkit.plans.jobs import (
+    deid_events_to_text,
+    dns_alert_job,
+    geo_enrich_files,
+    load_keyed_index,
+    value_counts_index,
+)
 from enrichkit.plans import oracle as o
 from enrichkit.sources.messages import json_values_to_rows
 from enrichkit.streaming.dns import (
@@ -384,6 +390,15 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schema=nation.schema)
 
 
+@register("documents_csv_round_trip", "SELECT * FROM documents")
+def documents_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks, quotes and blanks through CSV and back."""
+    docs = fx.table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "documents_csv")
+    write_csv(docs, path, multiline=True)
+    return read_csv(spark, path, schema=docs.schema, multiline=True, options={"lineSep": "\n"})
+
+
 @register("csv_header_scan", "SELECT CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name FROM region")
 def csv_header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "region_csv")
@@ -435,6 +450,29 @@ def keyed_overwrite_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@register(
+    "keyed_index_csv_job",
+    """SELECT CAST(o_custkey AS VARCHAR) AS recordid, CAST(o_orderkey AS VARCHAR) AS n,
+              'say ""' || o_orderkey || '", ' || chr(10) || ' twice ' AS note
+       FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders)
+       WHERE rn = 1""",
+)
+def keyed_index_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed load over several headed CSV files in order, of unequal size, with quotes and
+    line breaks; the whole store is read back."""
+    root = scratch_path(spark, "keyed_job")
+    key = F.col("o_orderkey")
+    orders = fx.table(spark, sf_dir, "orders").repartitionByRange(4, F.sqrt(key), key).sortWithinPartitions(key)
+    rows = orders.select(
+        F.col("o_custkey").alias("RecordId"),
+        key.alias("N"),
+        F.concat(F.lit('say ""'), key.cast("string"), F.lit('", \n twice ')).alias("Note"),
+    )
+    write_csv(rows, f"{root}/in", header=True, multiline=True)
+    load_keyed_index(spark, f"{root}/in", f"{root}/store", "recordid", multiline=True)
+    return spark.read.parquet(f"{root}/store")
+
+
 @register("ctas_limit", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10")
 def ctas_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "report_" + scratch_path(spark, "t").rsplit("-", 1)[1]

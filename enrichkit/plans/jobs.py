@@ -89,10 +89,11 @@ def load_keyed_index(
     key: str,
     *,
     fmt: str = "parquet",
+    multiline: bool = False,
 ) -> DataFrame:
     """A headed CSV, names lower-cased, loaded into a recreated keyed store where a key
     seen again keeps its last row in file order; returns two stored rows as a check."""
-    df = read_csv(spark, csv_path, header=True, lowercase_columns=True)
+    df = read_csv(spark, csv_path, header=True, lowercase_columns=True, multiline=multiline)
     # Partitions need not follow the files' order: a row's place is its file, its block of the
     # file, and its number within the split (the low bits of the increasing id).
     order = {

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from enrichkit.functions.records import row_text
 from enrichkit.operators.keyed import keep_last
+from enrichkit.sources.files import CSV_OPTIONS
 
 
 def write_csv(
@@ -15,10 +17,25 @@ def write_csv(
     *,
     header: bool = False,
     mode: str = "errorifexists",
+    multiline: bool = False,
     options: dict[str, str] | None = None,
 ) -> None:
-    """Write CSV; by default without header and failing when ``path`` exists."""
-    df.write.mode(mode).options(**(options or {})).option("header", str(header).lower()).csv(path)
+    """Write CSV; by default without header and failing when ``path`` exists.
+
+    ``read_csv`` with ``options={"lineSep": "\\n"}`` reads every value back as it was. A text with a line break fails the write
+    unless ``multiline`` is set, which the reader must set as well.
+    """
+    if not multiline:
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+        df = df.withColumns({c: _one_line(c) for c in texts}) if texts else df
+    given = CSV_OPTIONS | (options or {})
+    df.write.mode(mode).options(**given).option("header", str(header).lower()).csv(path)
+
+
+def _one_line(name: str) -> Column:
+    c = F.col(f"`{name}`")
+    broken = F.raise_error(F.lit(f"line break in column {name}: write and read with multiline=True"))
+    return F.when(c.contains("\n") | c.contains("\r"), broken).otherwise(c)
 
 
 def write_text(

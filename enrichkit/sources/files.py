@@ -8,6 +8,11 @@ from pyspark.sql.types import StructType
 from enrichkit.functions.records import lower_columns
 
 
+CSV_OPTIONS = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# Stands for an empty unquoted field, so that '' stays apart from null.
+_NO_TEXT = "\x00"
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -16,15 +21,23 @@ def read_csv(
     schema: StructType | str | None = None,
     names: list[str] | None = None,
     lowercase_columns: bool = False,
+    multiline: bool = False,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Read CSV with or without a header row.
 
+    Quotes inside a quoted field are doubled, blanks are kept, an empty field is null and a
+    quoted empty one is an empty text. ``multiline`` allows line breaks in quoted fields; such
+    a file cannot be split, so one task reads it whole: keep its files small. Line ends are
+    found by the reader, and CR LF inside a text becomes LF; for files with LF line ends, such
+    as ``write_csv`` makes, ``options={"lineSep": "\\n"}`` keeps both apart.
+
     ``schema`` types the columns (no inference pass over the data); ``names`` renames
     positional columns of a headerless file; ``lowercase_columns`` lower-cases header names.
     Without a schema every column is a string, as in the file.
     """
-    reader = spark.read.options(**(options or {})).option("header", str(header).lower())
+    given = CSV_OPTIONS | {"nullValue": _NO_TEXT, "emptyValue": "", "multiLine": str(multiline).lower()} | (options or {})
+    reader = spark.read.options(**given).option("header", str(header).lower())
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(path)

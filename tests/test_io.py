@@ -7,7 +7,7 @@ from enrichkit.sinks import create_table_as, keyed_overwrite, write_csv, write_d
 from enrichkit.sources import read_csv, read_documents, read_table
 from tests.conftest import rows
 
-PAIRS = [("First", 1), ("Second", 2), ("Third", 3), ("Fourth", 4), ("Fifth", 5)]
+PAIRS = [("oak", 11), ("ash", 12), ("elm", 13), ("fir", 14)]
 
 
 def test_csv_round_trip_keeps_names_and_types(spark):
@@ -23,6 +23,21 @@ def test_csv_round_trip_keeps_names_and_types(spark):
     assert named.columns == ["w", "k"]
 
 
+def test_csv_keeps_hard_texts(spark):
+    texts = [None, "", " outer blanks ", 'O\'Hara, "Nell"', '""', "back\\slash", "two\nlines", "a\r\nb", "\\N", ","]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, v string")
+    path = scratch_path(spark, "hard")
+    write_csv(df, path, multiline=True)
+    back = read_csv(spark, path, schema=df.schema, multiline=True, options={"lineSep": "\n"})
+    assert dict(rows(back)) == dict(enumerate(texts))
+    with pytest.raises(Exception, match="multiline"):
+        write_csv(df, scratch_path(spark, "hard"))
+    plain = df.where(~F.coalesce(F.col("v").rlike("[\r\n]"), F.lit(False)))
+    path = scratch_path(spark, "hard")
+    write_csv(plain, path)
+    assert dict(rows(read_csv(spark, path, schema=df.schema))) == dict(rows(plain))
+
+
 def test_header_lowercase(spark):
     df = spark.createDataFrame([(1, "x")], "RecordId int, Name string")
     path = scratch_path(spark, "records")
