@@ -8,13 +8,13 @@ measured size allows; otherwise the join is shuffled on the bucket with hot buck
 off (see ``joins.skew_aware_join``).
 
 When ranges may overlap (checked, not assumed), the innermost range wins: greatest
-start, then smallest end; for CIDR blocks this is the longest prefix.
+start, then smallest end; for CIDR blocks this is the longest prefix. Of equal ranges the one
+with the greatest other columns, taken in their order, wins in every strategy.
 """
 
 from __future__ import annotations
 
 import uuid
-import warnings
 
 import numpy as np
 import pandas as pd
@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from enrichkit.functions.net import cidr_prefix_len, ipv4_to_long, shl, shr
 from enrichkit.operators.joins import skew_aware_join
-from enrichkit.operators.sizing import Size, fits_broadcast, row_width, within_limit
+from enrichkit.operators.sizing import Size, fits_broadcast, measure, row_width, within_limit
 from enrichkit.session import ensure_checkpoint_dir
 
 STRATEGIES = ("bucket", "between", "prefix", "pandas")
@@ -118,8 +118,10 @@ def ranges_overlap(ranges: DataFrame, start: str, end: str, bucket_bits: int = 1
 
 
 def _innermost(joined: DataFrame, df_cols: list[str], range_cols: list[str], start: str, end: str) -> DataFrame:
-    """One row per input row (``_ROW``): the matching range with greatest start, smallest end."""
-    best = F.max_by(F.struct(*[F.col(c) for c in range_cols]), F.struct(F.col(start), -F.col(end)))
+    """One row per input row (``_ROW``): the matching range with greatest start, smallest end,
+    then greatest columns."""
+    row = [F.col(f"`{c}`") for c in range_cols]
+    best = F.max_by(F.struct(*row), F.struct(F.col(start), -F.col(end), *row))
     first = [F.first(F.col(c)).alias(c) for c in df_cols]
     agg = joined.groupBy(_ROW).agg(*first, best.alias("__best"))
     return agg.select(*df_cols, *[F.col(f"__best.`{c}`").alias(c) for c in range_cols])
@@ -146,8 +148,7 @@ def range_lookup(
     ``how="inner"`` drops keys without a range; ``how="left"`` keeps them with nulls.
     ``end_inclusive=False`` treats ``end`` as exclusive (the last address never matches).
     ``strategy``: ``bucket`` (default), ``between`` (nested-loop join against a broadcast
-    range table, for very small tables; over the broadcast bound it falls back to
-    ``bucket``), ``prefix`` (CIDR only: one candidate network per
+    range table, for very small tables; over the broadcast bound it raises), ``prefix`` (CIDR only: one candidate network per
     prefix length present, equi-join), ``pandas`` (sorted search per bucket in pandas,
     disjoint ranges only; groups are ``key >> group_bits``, so a group holds at most
     ``2^group_bits`` distinct keys).
@@ -179,14 +180,15 @@ def range_lookup(
         (size is not None and within_limit(ranges, size, max_broadcast_bytes)) or fits_broadcast(ranges, max_broadcast_bytes)
     )
     if strategy == "between" and not between_fits:
-        # A nested loop against an unbounded table would compare every key with every
-        # range; the bucketed equi-join gives the same rows.
-        warnings.warn("range table over the broadcast bound: using strategy='bucket' instead of 'between'")
-        strategy = "bucket"
+        raise ValueError("strategy='between' compares every key with every range; the range table is over the broadcast bound: use 'bucket'")
     if strategy == "between":
         joined = left.join(F.broadcast(ranges), in_range, how)
     else:
-        bucket = F.coalesce(F.shiftright(F.col(key), bucket_bits), F.lit(_NO_BUCKET))
+        size = size or measure(exploded)
+        bucket = F.shiftright(F.col(key), bucket_bits)
+        if within_limit(exploded, size, max_broadcast_bytes):
+            bucket = F.coalesce(bucket, F.lit(_NO_BUCKET))
+        # In a shuffle null buckets would meet in one task: the join leaves or drops them before it.
         keyed = left.withColumn(_BUCKET, bucket)
         joined = skew_aware_join(
             keyed, exploded, [_BUCKET], how, in_range, max_broadcast_bytes=max_broadcast_bytes, small_size=size
@@ -264,7 +266,8 @@ def _prefix_shuffled(df, ranges, key, start, end, plen, lengths, how, end_inclus
     nets = ranges.withColumns({"__net": F.col(start), "__plen": F.col(plen)})
     cond = None if end_inclusive else F.col(key) < F.col(end)
     matched = skew_aware_join(cand, nets, ["__net", "__plen"], "inner", cond, max_broadcast_bytes=max_broadcast_bytes)
-    best = F.max_by(F.struct(*[F.col(c) for c in ranges.columns]), F.col("__plen"))
+    row = [F.col(f"`{c}`") for c in ranges.columns]
+    best = F.max_by(F.struct(*row), F.struct(F.col("__plen"), *row))
     per_key = matched.groupBy(key).agg(best.alias("__best"))
     per_key = per_key.select(key, *[F.col(f"__best.`{c}`").alias(c) for c in ranges.columns])
     ensure_checkpoint_dir(df.sparkSession)

@@ -151,3 +151,28 @@ def test_stored_ranges_give_the_same_lookup(spark, blocks):
     ips = spark.createDataFrame([("1.1.4.4",), ("8.8.8.8",), ("7.7.7.7",)], "ip string").withColumn("ipn", ipv4_to_long("ip"))
     direct = range_lookup(ips, cidr_ranges(blocks), "ipn", how="left")
     assert rows(range_lookup(ips, stored, "ipn", how="left")) == rows(direct)
+
+
+@pytest.mark.parametrize("order", [1, -1])
+@pytest.mark.parametrize("strategy, bound", [("bucket", None), ("bucket", 0), ("between", None), ("prefix", None), ("prefix", 0)])
+def test_equal_ranges_resolve_alike_in_every_form(spark, strategy, bound, order):
+    nets = [("10.0.0.0/24", v) for v in ("5", "9", "1")][::order]
+    ranges = cidr_ranges(spark.createDataFrame(nets, "network string, g string")).drop("network")
+    keys = spark.createDataFrame([(1, 167772163), (2, None), (3, 5)], "id int, ipn bigint")
+    out = range_lookup(keys, ranges, "ipn", strategy=strategy, how="left", max_broadcast_bytes=bound)
+    assert sorted((r.id, r.g) for r in out.collect()) == [(1, "9"), (2, None), (3, None)]
+
+
+def test_between_raises_over_the_bound(spark, blocks):
+    keys = spark.createDataFrame([(1,)], "ipn bigint")
+    with pytest.raises(ValueError, match="bound"):
+        range_lookup(keys, cidr_ranges(blocks), "ipn", strategy="between", max_broadcast_bytes=0)
+
+
+def test_invalid_keys_stay_out_of_the_shuffle(spark, blocks):
+    keys = spark.createDataFrame([(None,), (134744072,), (None,)], "ipn bigint")
+    for how, n in (("inner", 1), ("left", 3)):
+        out = range_lookup(keys, cidr_ranges(blocks), "ipn", how=how, max_broadcast_bytes=0)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert str(-(2**63)) not in plan and "isnotnull" in plan.lower()
+        assert out.count() == n
