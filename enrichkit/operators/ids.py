@@ -83,6 +83,8 @@ def new_ids(
     """Ids for keys the lookup lacks: ``uuid``, ``hash`` (with ``salt``) or ``sequence``
     (continuing after the lookup's greatest id)."""
     if mode == "hash":
+        if not salt:
+            raise ValueError("mode='hash' needs a secret salt: ids without one are found by hashing every possible key")
         return hash_ids(missing, key, salt, out)
     if mode == "uuid":
         return uuid_ids(missing, out)

@@ -5,9 +5,9 @@ Plan, in order:
    side is never shuffled (skew cannot hurt a map-side join);
    otherwise, in a left join, rows with a null key (which cannot match, and would all
    hash to one task) bypass the shuffle with null lookup columns;
-2. then, when hot-key detection is on, the big side's hot keys (keys with at least
-   ``hot_key_rows`` rows, at most ``max_hot_keys`` of them) are found with one
-   partial-aggregated count. Detection costs a pass over the big side's key columns, so
+2. then, when hot-key detection is on, the big side's hot keys (keys with more rows than
+   an even share of a shuffle task, or with ``hot_key_rows`` rows if given) are found with
+   one partial-aggregated count. Detection costs a pass over the big side's key columns, so
    by default it runs only when AQE's skew-join split is off: with AQE on, the shuffle
    join's skewed partitions are split at run time from the shuffle statistics at no
    extra cost (``enrichkit.skew.detectHotKeys`` = ``auto`` / ``true`` / ``false``);
@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from enrichkit.operators.sizing import Size, fits_broadcast
 
-DEFAULT_HOT_KEY_ROWS = 1_000_000
-DEFAULT_MAX_HOT_KEYS = 256
+# A key with less than this share of all rows never counts as hot, so the list of hot keys has
+# a proven bound whatever ``hot_key_rows`` says.
+LEAST_HOT_SHARE = 4096
 DEFAULT_SALT_BUCKETS = 32
 _SALT = "__salt"
 
@@ -60,14 +61,19 @@ def join_on(
     return joined.select(*keep)
 
 
-def hot_keys(df: DataFrame, on: list[str], min_rows: int, limit: int) -> DataFrame | None:
-    """Keys of ``df`` holding at least ``min_rows`` rows (top ``limit``), or None.
+def hot_keys(df: DataFrame, on: list[str], min_rows: int | None = None) -> DataFrame | None:
+    """Keys of ``df`` with at least ``min_rows`` rows, or None if there are none.
 
-    One aggregation with map-side combine; only the bounded top list reaches the driver.
+    Without ``min_rows`` a key is hot with as many rows as an even share of the session's
+    shuffle partitions. All of them are found: at most one key per share of all rows can
+    be hot, so the list that reaches the driver is bounded by the number of shares
+    (``LEAST_HOT_SHARE`` with ``min_rows``). One aggregation with map-side combine.
     """
-    counts = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on]))
-    counts = counts.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= min_rows)
-    top = counts.orderBy(F.desc("__n")).limit(limit).select(*on).collect()
+    shares = LEAST_HOT_SHARE if min_rows else max(_conf_int(df, "spark.sql.shuffle.partitions", 200), 2)
+    counts = df.where(reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in on]))
+    counts = counts.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    share = counts.select(F.sum("__n") / F.lit(shares)).scalar()
+    top = counts.where((F.col("__n") >= F.lit(min_rows or 1)) & (F.col("__n") >= share)).select(*on).collect()
     if not top:
         return None
     schema = df.select(*on).schema
@@ -83,7 +89,6 @@ def skew_aware_join(
     *,
     max_broadcast_bytes: int | None = None,
     hot_key_rows: int | None = None,
-    max_hot_keys: int | None = None,
     salt_buckets: int | None = None,
     small_size: Size | None = None,
     detect_hot_keys: bool | None = None,
@@ -109,10 +114,10 @@ def skew_aware_join(
         extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields if f.name not in on]
         keyless = big.where(any_null).select(*[F.col(f"`{c}`") for c in big.columns], *extra)
         keyed = _shuffled_join(big.where(~any_null), small, on, how, condition, max_broadcast_bytes,
-                               hot_key_rows, max_hot_keys, salt_buckets, detect_hot_keys)
+                               hot_key_rows, salt_buckets, detect_hot_keys)
         return keyed.unionByName(keyless)
     return _shuffled_join(
-        big, small, on, how, condition, max_broadcast_bytes, hot_key_rows, max_hot_keys, salt_buckets, detect_hot_keys
+        big, small, on, how, condition, max_broadcast_bytes, hot_key_rows, salt_buckets, detect_hot_keys
     )
 
 
@@ -127,7 +132,7 @@ def _detect_by_default(df: DataFrame) -> bool:
 
 
 def _shuffled_join(
-    big, small, on, how, condition, max_broadcast_bytes, hot_key_rows, max_hot_keys, salt_buckets, detect
+    big, small, on, how, condition, max_broadcast_bytes, hot_key_rows, salt_buckets, detect
 ):
     """Shuffle join with the big side's hot keys split off (steps 2-4 of the module doc).
 
@@ -135,9 +140,7 @@ def _shuffled_join(
     """
     if not detect:
         return join_on(big, small, on, how, condition)
-    min_rows = hot_key_rows or _conf_int(big, "enrichkit.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
-    limit = max_hot_keys or _conf_int(big, "enrichkit.skew.maxHotKeys", DEFAULT_MAX_HOT_KEYS)
-    hot = hot_keys(big, on, min_rows, limit)
+    hot = hot_keys(big, on, hot_key_rows or _conf_int(big, "enrichkit.skew.hotKeyRows", 0) or None)
     if hot is None:
         return join_on(big, small, on, how, condition)
 

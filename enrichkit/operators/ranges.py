@@ -7,13 +7,16 @@ and the join keeps pairs that pass the range test. The range side is broadcast w
 measured size allows; otherwise the join is shuffled on the bucket with hot buckets split
 off (see ``joins.skew_aware_join``).
 
-When ranges may overlap (checked, not assumed), the innermost range wins: greatest
+When ranges overlap (checked, not assumed), the innermost range wins: greatest
 start, then smallest end; for CIDR blocks this is the longest prefix. Of equal ranges the one
-with the greatest other columns, taken in their order, wins in every strategy.
+with the greatest other columns, taken in their order, wins in every strategy. Overlaps are
+resolved on the range side: it is cut once into disjoint pieces, each with its winning range,
+so a key meets at most one piece and the key side is neither shuffled nor grouped for it.
 """
 
 from __future__ import annotations
 
+import heapq
 import uuid
 
 import numpy as np
@@ -25,13 +28,13 @@ from pyspark.sql.window import Window
 
 from enrichkit.functions.net import cidr_prefix_len, ipv4_to_long, shl, shr
 from enrichkit.operators.joins import skew_aware_join
-from enrichkit.operators.sizing import Size, fits_broadcast, measure, row_width, within_limit
+from enrichkit.operators.sizing import Size, measure, row_width, within_limit
 from enrichkit.session import ensure_checkpoint_dir
 
 STRATEGIES = ("bucket", "between", "prefix", "pandas")
 _BUCKET = "__bucket"
-_ROW = "__row"
-_LAST = "__last"
+_FROM = "__from"
+_TO = "__to"
 # Bucket of a null key: below every real bucket (x >> bits >= -2^(63 - bits) for bigint x).
 _NO_BUCKET = -(2**63)
 
@@ -64,15 +67,22 @@ def store_ranges(
     end: str = "end_ip",
     plen: str = "prefix_len",
     fmt: str = "parquet",
+    rejects_path: str | None = None,
 ) -> DataFrame:
     """Parse a CIDR block table once and store it as a range table; returns the stored copy.
 
+    Rows whose network does not parse are not in it; ``rejects_path`` names a folder that
+    receives them as they came.
+
     Later runs read the stored table instead of parsing the text again. Rows are sorted
     by start (a distributed range sort), so scans filtered on addresses skip row groups
     by their min/max statistics.
     """
     parsed = cidr_ranges(blocks, network_col, start, end, plen).where(F.col(start).isNotNull())
     parsed.orderBy(start).write.mode("overwrite").format(fmt).save(path)
+    if rejects_path is not None:
+        unparsed = cidr_ranges(blocks, network_col, start, end, plen).where(F.col(start).isNull())
+        unparsed.select(*blocks.columns).write.mode("overwrite").format(fmt).save(rejects_path)
     return blocks.sparkSession.read.format(fmt).load(path)
 
 
@@ -117,14 +127,73 @@ def ranges_overlap(ranges: DataFrame, start: str, end: str, bucket_bits: int = 1
     return _profile_buckets(exploded, start, end, end_inclusive)[1]
 
 
-def _innermost(joined: DataFrame, df_cols: list[str], range_cols: list[str], start: str, end: str) -> DataFrame:
-    """One row per input row (``_ROW``): the matching range with greatest start, smallest end,
-    then greatest columns."""
-    row = [F.col(f"`{c}`") for c in range_cols]
-    best = F.max_by(F.struct(*row), F.struct(F.col(start), -F.col(end), *row))
-    first = [F.first(F.col(c)).alias(c) for c in df_cols]
-    agg = joined.groupBy(_ROW).agg(*first, best.alias("__best"))
-    return agg.select(*df_cols, *[F.col(f"__best.`{c}`").alias(c) for c in range_cols])
+def _bounds_sweep(bucket: str, lo: str, hi: str, start: str, last: str):
+    """The per-bucket sweep as a closure over plain values (ships to Python workers by value)."""
+    out_cols = [bucket, _FROM, _TO, lo, hi]
+
+    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(lo, kind="stable")
+        los, his = pdf[lo].tolist(), pdf[hi].tolist()
+        starts, lasts = pdf[start].tolist(), pdf[last].tolist()
+        points = sorted(set(los) | {h + 1 for h in his})
+        pieces, active, i = [], [], 0
+        for p, q in zip(points, points[1:]):
+            while i < len(los) and los[i] == p:
+                heapq.heappush(active, (-starts[i], lasts[i], i))
+                i += 1
+            while active and his[active[0][2]] < p:
+                heapq.heappop(active)
+            if not active:
+                continue
+            win = active[0][2]
+            if pieces and pieces[-1][2] == win and pieces[-1][1] == p - 1:
+                pieces[-1][1] = q - 1
+            else:
+                pieces.append([p, q - 1, win])
+        b = pdf[bucket].iloc[0]
+        rows = [(b, f, t, los[w], his[w]) for f, t, w in pieces]
+        return pd.DataFrame(rows, columns=out_cols).astype("int64")
+
+    return sweep
+
+
+def _disjoint_pieces(exploded: DataFrame, range_cols: list[str], start: str, end: str, bits: int, end_inclusive: bool) -> DataFrame:
+    """The bucketed ranges cut into disjoint pieces ``[_FROM, _TO]`` with the columns of the
+    innermost range on each, pinned by a checkpoint.
+
+    Ranges are clipped to their bucket, and of those with equal clipped bounds only the
+    winner is kept (map-side combined), so a bucket's group holds each pair of bounds once:
+    for CIDR blocks at most ``2^(bits + 1)`` rows whatever the table's size. Empty ranges
+    (start after end) take no part.
+    """
+    lo, hi, first, last = "__lo", "__hi", "__first", "__last"
+    ends = exploded.withColumns({first: F.col(start).cast("bigint"), last: _last(end, end_inclusive).cast("bigint")})
+    low = F.shiftleft(F.col(_BUCKET).cast("bigint"), bits)
+    clipped = ends.where(F.col(first) <= F.col(last)).select(
+        F.col(_BUCKET).cast("bigint").alias(_BUCKET),
+        F.greatest(F.col(first), low).alias(lo),
+        F.least(F.col(last), low + F.lit((1 << bits) - 1)).alias(hi),
+        F.struct(F.col(first), (-F.col(last)).alias("__neg"), *[F.col(f"`{c}`") for c in range_cols]).alias("__r"),
+    )
+    best = clipped.groupBy(_BUCKET, lo, hi).agg(F.max("__r").alias("__r"))
+    schema = ", ".join(f"`{c}` bigint" for c in (_BUCKET, _FROM, _TO, lo, hi))
+    bounds = best.select(_BUCKET, lo, hi, F.col(f"__r.{first}").alias(first), (-F.col("__r.__neg")).alias(last))
+    pieces = bounds.groupBy(_BUCKET).applyInPandas(_bounds_sweep(_BUCKET, lo, hi, first, last), schema)
+    won = pieces.join(best, [_BUCKET, lo, hi])
+    ensure_checkpoint_dir(exploded.sparkSession)
+    out = won.select(_BUCKET, _FROM, _TO, *[F.col(f"__r.`{c}`").alias(c) for c in range_cols])
+    return out.checkpoint(eager=True)  # measured and joined without sweeping again
+
+
+def _pieces(ranges, start, end, bits, end_inclusive, resolve_overlaps) -> tuple[DataFrame, Size | None]:
+    """The range table by bucket as disjoint pieces, and its size where it is known."""
+    exploded = _bucketed_ranges(ranges, start, end, bits, end_inclusive)
+    size, resolve = None, resolve_overlaps
+    if resolve_overlaps == "auto":
+        size, resolve = _profile_buckets(exploded, start, end, end_inclusive)
+    if resolve:
+        return _disjoint_pieces(exploded, ranges.columns, start, end, bits, end_inclusive), None
+    return exploded.withColumns({_FROM: F.col(start), _TO: _last(end, end_inclusive)}), size
 
 
 def range_lookup(
@@ -141,7 +210,7 @@ def range_lookup(
     resolve_overlaps: str | bool = "auto",
     prefix_len: str = "prefix_len",
     max_broadcast_bytes: int | None = None,
-    group_bits: int = 24,
+    group_bits: int = 16,
 ) -> DataFrame:
     """Rows of ``df`` with the columns of the range containing ``df[key]``.
 
@@ -149,9 +218,10 @@ def range_lookup(
     ``end_inclusive=False`` treats ``end`` as exclusive (the last address never matches).
     ``strategy``: ``bucket`` (default), ``between`` (nested-loop join against a broadcast
     range table, for very small tables; over the broadcast bound it raises), ``prefix`` (CIDR only: one candidate network per
-    prefix length present, equi-join), ``pandas`` (sorted search per bucket in pandas,
-    disjoint ranges only; groups are ``key >> group_bits``, so a group holds at most
-    ``2^group_bits`` distinct keys).
+    prefix length present, equi-join), ``pandas`` (sorted search per bucket in pandas;
+    groups are ``key >> group_bits``, so a group holds at most ``2^group_bits`` distinct keys).
+    ``resolve_overlaps``: ``auto`` looks for overlaps, ``True`` and ``False`` say that there are
+    some or none (with ``False`` a key in two ranges comes twice).
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
@@ -161,48 +231,45 @@ def range_lookup(
     if strategy == "prefix":
         return _prefix_lookup(df, ranges, key, start, end, prefix_len, how, end_inclusive, max_broadcast_bytes)
     if strategy == "pandas":
-        return _pandas_lookup(df, ranges, key, start, end, how, end_inclusive, group_bits, max_broadcast_bytes)
+        pieces, _ = _pieces(ranges, start, end, group_bits, end_inclusive, resolve_overlaps)
+        return _pandas_lookup(df, ranges, pieces, key, how, group_bits, max_broadcast_bytes)
 
-    exploded = _bucketed_ranges(ranges, start, end, bucket_bits, end_inclusive)
-    size = None
-    if resolve_overlaps == "auto":
-        size, resolve = _profile_buckets(exploded, start, end, end_inclusive)
-    else:
-        resolve = bool(resolve_overlaps)
-    left = df.withColumn(_ROW, F.monotonically_increasing_id()) if resolve else df
+    pieces, size = _pieces(ranges, start, end, bucket_bits, end_inclusive, resolve_overlaps)
+    size = size or measure(pieces)
+    small = within_limit(pieces, size, max_broadcast_bytes)
     # Null-tolerant forms of the bucket and the range test: a null-intolerant join key or
     # condition makes the optimizer infer ``isnotnull`` filters and push them into the scan
     # with the key's (possibly costly) expression inlined a second time.
-    in_range = F.coalesce(F.col(key).between(F.col(start), _last(end, end_inclusive)), F.lit(False))
-
-    # The exploded table is never smaller than the ranges: if it fits, the ranges fit.
-    between_fits = strategy == "between" and (
-        (size is not None and within_limit(ranges, size, max_broadcast_bytes)) or fits_broadcast(ranges, max_broadcast_bytes)
-    )
-    if strategy == "between" and not between_fits:
-        raise ValueError("strategy='between' compares every key with every range; the range table is over the broadcast bound: use 'bucket'")
+    in_range = F.coalesce(F.col(key).between(F.col(_FROM), F.col(_TO)), F.lit(False))
     if strategy == "between":
-        joined = left.join(F.broadcast(ranges), in_range, how)
-    else:
-        size = size or measure(exploded)
-        bucket = F.shiftright(F.col(key), bucket_bits)
-        if within_limit(exploded, size, max_broadcast_bytes):
-            bucket = F.coalesce(bucket, F.lit(_NO_BUCKET))
-        # In a shuffle null buckets would meet in one task: the join leaves or drops them before it.
-        keyed = left.withColumn(_BUCKET, bucket)
-        joined = skew_aware_join(
-            keyed, exploded, [_BUCKET], how, in_range, max_broadcast_bytes=max_broadcast_bytes, small_size=size
-        ).drop(_BUCKET)
-    if resolve:
-        return _innermost(joined, df.columns, ranges.columns, start, end)
+        if not small:
+            raise ValueError(
+                "strategy='between' compares every key with every range; "
+                "the range table is over the broadcast bound: use 'bucket'"
+            )
+        # A range stands in every bucket that it touches: the key's own bucket counts.
+        own = F.coalesce(F.shiftright(F.col(key), bucket_bits) == F.col(_BUCKET), F.lit(False))
+        joined = df.join(F.broadcast(pieces), own & in_range, how)
+        return joined.select(*df.columns, *ranges.columns)
+    bucket = F.shiftright(F.col(key), bucket_bits)
+    if small:
+        bucket = F.coalesce(bucket, F.lit(_NO_BUCKET))
+    # In a shuffle null buckets would meet in one task: the join leaves or drops them before it.
+    joined = skew_aware_join(
+        df.withColumn(_BUCKET, bucket), pieces, [_BUCKET], how, in_range,
+        max_broadcast_bytes=max_broadcast_bytes, small_size=size,
+    )
     return joined.select(*df.columns, *ranges.columns)
 
 
 def _prefix_lookup(df, ranges, key, start, end, plen, how, end_inclusive, max_broadcast_bytes) -> DataFrame:
     """Longest-prefix match by candidate networks, one per prefix length present."""
-    # One job: the range table's size and its distinct prefix lengths (at most 33: 0..32).
+    # One job: a bound on the bytes of the table that would be broadcast, whose map entries
+    # take 8-byte slots per field, padding and headers; and the distinct prefix lengths (at
+    # most 33: 0..32).
+    entry = row_width(ranges) + F.lit(96 + 15 * len(ranges.columns))
     prof = ranges.agg(
-        F.sum(row_width(ranges)).alias("b"),
+        F.sum(entry).alias("b"),
         F.array_sort(F.collect_set(F.col(plen))).alias("lengths"),
     ).first()
     lengths = [int(x) for x in (prof["lengths"] or [])]
@@ -228,7 +295,8 @@ def _prefix_chain(df, ranges, key, start, end, plen, lengths, how, end_inclusive
     # One range per (start, prefix length), then per start a map: prefix length -> range.
     one = ranges.groupBy(start, plen).agg(F.max(F.struct(*[F.col(f"`{c}`") for c in ranges.columns])).alias("__r"))
     by_start = one.groupBy(F.col(start).alias("__start")).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(plen), F.col("__r")))).alias("__rs")
+        # a network that did not parse has no length and is left out
+        F.map_from_entries(F.collect_list(F.when(F.col(plen).isNotNull(), F.struct(F.col(plen), F.col("__r"))))).alias("__rs")
     )
     order = sorted(lengths, reverse=True)
     masked = {
@@ -315,22 +383,19 @@ def _bucket_search(key: str, start: str, last: str, out_cols: list[str], dtypes:
     return search
 
 
-def _pandas_lookup(df, ranges, key, start, end, how, end_inclusive, bits, max_broadcast_bytes) -> DataFrame:
-    """Sorted search per group: distinct keys and the ranges touching the same
+def _pandas_lookup(df, ranges, pieces, key, how, bits, max_broadcast_bytes) -> DataFrame:
+    """Sorted search per group: distinct keys and the disjoint pieces in the same
     ``2^bits``-wide group meet in one pandas call (group size bounded by ``2^bits``)."""
-    if ranges_overlap(ranges, start, end, bits, end_inclusive):
-        raise ValueError("strategy='pandas' needs disjoint ranges; use 'bucket'")
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
     keys = keys.withColumn(_BUCKET, F.shiftright(F.col(key), bits))
-    exploded = _bucketed_ranges(ranges, start, end, bits, end_inclusive).withColumn(_LAST, _last(end, end_inclusive))
     key_field = df.schema[key]
     out_schema = T.StructType([T.StructField(key, key_field.dataType, True)] + list(ranges.schema.fields))
     dtypes = {
         f.name: next((d for t, d in _NUMPY_DTYPES.items() if isinstance(f.dataType, t)), "object")
         for f in out_schema.fields
     }
-    search = _bucket_search(key, start, _LAST, out_schema.fieldNames(), dtypes)
-    matches = keys.groupBy(_BUCKET).cogroup(exploded.groupBy(_BUCKET)).applyInPandas(search, out_schema)
+    search = _bucket_search(key, _FROM, _TO, out_schema.fieldNames(), dtypes)
+    matches = keys.groupBy(_BUCKET).cogroup(pieces.groupBy(_BUCKET)).applyInPandas(search, out_schema)
     # Pinned once: measuring and joining would otherwise run the pandas search twice.
     ensure_checkpoint_dir(df.sparkSession)
     matches = matches.checkpoint(eager=True)

@@ -93,3 +93,9 @@ def test_sequence_ids_stay_after_the_store_grew(spark, tmp_path):
     assert {r.pid: r.deid for r in out.collect()} == want
     assert {r.pid: r.deid for r in new.collect()} == {"c": 3, "d": 4}
     assert {r.pid: r.deid for r in spark.read.parquet(store).collect()} == want | {"b": 2}
+
+
+def test_hash_mode_needs_a_salt(spark, events):
+    lookup = spark.createDataFrame(KNOWN, "pid string, deid string")
+    with pytest.raises(ValueError, match="salt"):
+        get_or_create_ids(events, lookup, "pid", mode="hash")

@@ -27,8 +27,16 @@ def test_measure_and_bound(spark, lookup):
 
 
 def test_hot_keys(skewed):
-    hot = hot_keys(skewed, ["k"], min_rows=100, limit=10)
-    assert [r[0] for r in hot.collect()] == [7]
+    assert [r[0] for r in hot_keys(skewed, ["k"], min_rows=100).collect()] == [7]
+    # an even share of the shuffle partitions: only the key with a third of the rows is above it
+    assert [r[0] for r in hot_keys(skewed, ["k"]).collect()] == [7]
+    assert hot_keys(skewed.where("k <> 7"), ["k"]) is None
+
+
+def test_every_hot_key_is_found(spark):
+    many = spark.range(0, 6000).select((F.col("id") % 300).alias("k"))
+    assert hot_keys(many, ["k"], min_rows=20).count() == 300
+    assert hot_keys(many.where("k < 0"), ["k"]) is None
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])

@@ -59,7 +59,7 @@ def test_match_status(spark, blocks):
     ]
 
 
-@pytest.mark.parametrize("strategy", ["bucket", "between", "prefix"])
+@pytest.mark.parametrize("strategy", STRATEGIES)
 def test_overlapping_blocks_innermost_wins(spark, strategy):
     blocks = spark.createDataFrame(
         [("10.0.0.0/8", "outer"), ("10.1.0.0/16", "mid"), ("10.1.2.0/24", "inner"), ("10.0.0.0/16", "first16")],
@@ -79,11 +79,52 @@ def test_overlapping_blocks_innermost_wins(spark, strategy):
     ]
 
 
-def test_pandas_strategy_refuses_overlaps(spark):
-    blocks = spark.createDataFrame([("10.0.0.0/8", "a"), ("10.1.0.0/16", "b")], "network string, geoname_id string")
-    keyed = spark.createDataFrame([(167837953,)], "ipn bigint")
-    with pytest.raises(ValueError):
-        range_lookup(keyed, cidr_ranges(blocks), "ipn", strategy="pandas").collect()
+@pytest.mark.parametrize("strategy, bound, bits", [
+    ("bucket", None, 16), ("bucket", 0, 6), ("bucket", None, 3), ("between", None, 8), ("pandas", None, 16), ("pandas", 0, 5),
+])
+@pytest.mark.parametrize("end_inclusive", [True, False])
+def test_overlapping_ranges_agree_with_brute_force(spark, strategy, bound, bits, end_inclusive):
+    """Crossing, nested, equal, empty and null ranges; keys on every border, null and repeated."""
+    rnd = random.Random(bits)
+    ranges = []
+    for i in range(150):
+        s = rnd.randrange(0, 900)
+        ranges.append((s, s + rnd.choice([-3, 0, 1, 5, 40, 300]), f"g{rnd.randrange(40)}"))
+    ranges += [(None, 5, "n"), (7, None, "n"), (100, 1000, None)]
+    keys = [(i, k) for i, k in enumerate([None, None, *range(-2, 1300), 50, 50])]
+
+    def best(k):
+        hits = [(s, -e, g is not None, g or "", (s, e, g)) for s, e, g in ranges
+                if k is not None and s is not None and e is not None and s <= k <= (e if end_inclusive else e - 1)]
+        return max(hits)[-1] if hits else (None, None, None)
+
+    want = {i: best(k) for i, k in keys}
+    keys_df = spark.createDataFrame(keys, "id int, ipn bigint")
+    ranges_df = spark.createDataFrame(ranges, "start_ip bigint, end_ip bigint, g string")
+    for how in ("left", "inner"):
+        out = range_lookup(keys_df, ranges_df, "ipn", strategy=strategy, how=how, max_broadcast_bytes=bound,
+                           bucket_bits=bits, group_bits=bits, end_inclusive=end_inclusive).collect()
+        got = {r.id: (r.start_ip, r.end_ip, r.g) for r in out}
+        assert len(out) == len(got)
+        assert got == {i: v for i, v in want.items() if how == "left" or v[0] is not None}
+
+
+def test_overlaps_do_not_shuffle_the_keys(spark):
+    ranges = spark.createDataFrame([(0, 99, "a"), (10, 19, "b")], "start_ip bigint, end_ip bigint, g string")
+    keys = spark.range(0, 200).select(F.col("id").alias("ipn"))
+    out = range_lookup(keys, ranges, "ipn", how="left")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert "Exchange rangepartitioning" not in plan and "Aggregate" not in plan
+    assert out.where("g = 'b'").count() == 10 and out.where("g = 'a'").count() == 90
+
+
+def test_prefix_leaves_out_networks_that_do_not_parse(spark):
+    nets = spark.createDataFrame([("10.0.0.0/8", "a"), ("nonsense", "b"), (None, "c")], "network string, g string")
+    keys = spark.createDataFrame([(167837953,), (None,)], "ipn bigint")
+    for bound in (None, 0):
+        out = range_lookup(keys, cidr_ranges(nets), "ipn", strategy="prefix", how="left", max_broadcast_bytes=bound)
+        assert sorted((r.ipn or 0, r.g) for r in out.collect()) == [(0, None), (167837953, "a")]
 
 
 def _random_blocks(rnd, n):
@@ -146,7 +187,9 @@ def test_stored_ranges_give_the_same_lookup(spark, blocks):
     from enrichkit.session import scratch_path
 
     bad = spark.createDataFrame([("not a network", "999")], "network string, geoname_id string")
-    stored = store_ranges(blocks.unionByName(bad), scratch_path(spark, "stored_ranges"))
+    rejects = scratch_path(spark, "rejected_ranges")
+    stored = store_ranges(blocks.unionByName(bad), scratch_path(spark, "stored_ranges"), rejects_path=rejects)
+    assert rows(spark.read.parquet(rejects)) == [("not a network", "999")]
     assert stored.count() == 4  # the unparsable row is not stored
     ips = spark.createDataFrame([("1.1.4.4",), ("8.8.8.8",), ("7.7.7.7",)], "ip string").withColumn("ipn", ipv4_to_long("ip"))
     direct = range_lookup(ips, cidr_ranges(blocks), "ipn", how="left")
