@@ -127,32 +127,35 @@ def ranges_overlap(ranges: DataFrame, start: str, end: str, bucket_bits: int = 1
     return _profile_buckets(exploded, start, end, end_inclusive)[1]
 
 
-def _bounds_sweep(bucket: str, lo: str, hi: str, start: str, last: str):
-    """The per-bucket sweep as a closure over plain values (ships to Python workers by value)."""
-    out_cols = [bucket, _FROM, _TO, lo, hi]
-
-    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(lo, kind="stable")
-        los, his = pdf[lo].tolist(), pdf[hi].tolist()
-        starts, lasts = pdf[start].tolist(), pdf[last].tolist()
-        points = sorted(set(los) | {h + 1 for h in his})
-        pieces, active, i = [], [], 0
-        for p, q in zip(points, points[1:]):
-            while i < len(los) and los[i] == p:
-                heapq.heappush(active, (-starts[i], lasts[i], i))
-                i += 1
-            while active and his[active[0][2]] < p:
-                heapq.heappop(active)
-            if not active:
-                continue
-            win = active[0][2]
-            if pieces and pieces[-1][2] == win and pieces[-1][1] == p - 1:
-                pieces[-1][1] = q - 1
-            else:
-                pieces.append([p, q - 1, win])
-        b = pdf[bucket].iloc[0]
-        rows = [(b, f, t, los[w], his[w]) for f, t, w in pieces]
-        return pd.DataFrame(rows, columns=out_cols).astype("int64")
+def _bounds_sweep(cols: list[str], out_cols: list[str]):
+    """The sweep over rows sorted by clipped start, as a closure over plain values (ships to
+    Python workers by value). Rows of a bucket end within it, so buckets need no groups."""
+
+    def sweep(batches):
+        active = []  # heap of (-start, last, hi, lo, bucket): the innermost open range first
+        at = None  # first address not yet given to a range
+
+        def upto(stop, out):
+            nonlocal at
+            while active and (stop is None or at < stop):
+                _, _, hi, lo, bucket = active[0]
+                if hi < at:
+                    heapq.heappop(active)
+                    continue
+                to = hi if stop is None else min(hi, stop - 1)
+                out.append((bucket, at, to, lo, hi))
+                at = to + 1
+            at = stop
+
+        for pdf in batches:
+            out = []
+            for bucket, lo, hi, start, last in zip(*(pdf[c].tolist() for c in cols)):
+                upto(lo, out)
+                heapq.heappush(active, (-start, last, hi, lo, bucket))
+            yield pd.DataFrame(out, columns=out_cols).astype("int64")
+        out = []
+        upto(None, out)
+        yield pd.DataFrame(out, columns=out_cols).astype("int64")
 
     return sweep
 
@@ -162,9 +165,10 @@ def _disjoint_pieces(exploded: DataFrame, range_cols: list[str], start: str, end
     innermost range on each, pinned by a checkpoint.
 
     Ranges are clipped to their bucket, and of those with equal clipped bounds only the
-    winner is kept (map-side combined), so a bucket's group holds each pair of bounds once:
-    for CIDR blocks at most ``2^(bits + 1)`` rows whatever the table's size. Empty ranges
-    (start after end) take no part.
+    winner is kept (map-side combined), so a bucket holds each pair of bounds once: for CIDR
+    blocks at most ``2^(bits + 1)`` rows whatever the table's size. A task sweeps its sorted
+    buckets as a stream and holds the open ranges only. Empty ranges (start after end) take
+    no part.
     """
     lo, hi, first, last = "__lo", "__hi", "__first", "__last"
     ends = exploded.withColumns({first: F.col(start).cast("bigint"), last: _last(end, end_inclusive).cast("bigint")})
@@ -178,7 +182,9 @@ def _disjoint_pieces(exploded: DataFrame, range_cols: list[str], start: str, end
     best = clipped.groupBy(_BUCKET, lo, hi).agg(F.max("__r").alias("__r"))
     schema = ", ".join(f"`{c}` bigint" for c in (_BUCKET, _FROM, _TO, lo, hi))
     bounds = best.select(_BUCKET, lo, hi, F.col(f"__r.{first}").alias(first), (-F.col("__r.__neg")).alias(last))
-    pieces = bounds.groupBy(_BUCKET).applyInPandas(_bounds_sweep(_BUCKET, lo, hi, first, last), schema)
+    ordered = bounds.repartition(F.col(_BUCKET)).sortWithinPartitions(lo)
+    sweep = _bounds_sweep([_BUCKET, lo, hi, first, last], [_BUCKET, _FROM, _TO, lo, hi])
+    pieces = ordered.mapInPandas(sweep, schema)
     won = pieces.join(best, [_BUCKET, lo, hi])
     ensure_checkpoint_dir(exploded.sparkSession)
     out = won.select(_BUCKET, _FROM, _TO, *[F.col(f"__r.`{c}`").alias(c) for c in range_cols])
@@ -218,8 +224,10 @@ def range_lookup(
     ``end_inclusive=False`` treats ``end`` as exclusive (the last address never matches).
     ``strategy``: ``bucket`` (default), ``between`` (nested-loop join against a broadcast
     range table, for very small tables; over the broadcast bound it raises), ``prefix`` (CIDR only: one candidate network per
-    prefix length present, equi-join), ``pandas`` (sorted search per bucket in pandas;
-    groups are ``key >> group_bits``, so a group holds at most ``2^group_bits`` distinct keys).
+    prefix length present, equi-join), ``pandas`` (sorted search in pandas;
+    address blocks ``key >> group_bits`` are dealt over groups, four a shuffle partition and 256
+    at least, so IPv4 keys give a group at most ``2^32 / 256`` distinct keys and blocks with
+    many of them spread).
     ``resolve_overlaps``: ``auto`` looks for overlaps, ``True`` and ``False`` say that there are
     some or none (with ``False`` a key in two ranges comes twice).
     """
@@ -384,10 +392,14 @@ def _bucket_search(key: str, start: str, last: str, out_cols: list[str], dtypes:
 
 
 def _pandas_lookup(df, ranges, pieces, key, how, bits, max_broadcast_bytes) -> DataFrame:
-    """Sorted search per group: distinct keys and the disjoint pieces in the same
-    ``2^bits``-wide group meet in one pandas call (group size bounded by ``2^bits``)."""
+    """Sorted search per group: distinct keys and the disjoint pieces of the same ``2^bits``-wide
+    blocks meet in one pandas call. A call costs some 10 ms whatever its rows, so a group takes
+    the blocks with one remainder instead of one block."""
+    groups = max(256, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    dealt = F.pmod(F.col(_BUCKET), F.lit(groups))
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    keys = keys.withColumn(_BUCKET, F.shiftright(F.col(key), bits))
+    keys = keys.withColumn(_BUCKET, F.shiftright(F.col(key), bits)).withColumn(_BUCKET, dealt)
+    pieces = pieces.withColumn(_BUCKET, dealt)
     key_field = df.schema[key]
     out_schema = T.StructType([T.StructField(key, key_field.dataType, True)] + list(ranges.schema.fields))
     dtypes = {

@@ -108,6 +108,24 @@ def dns_blocklist_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerts(spark, sf_dir)
 
 
+@register(
+    "dns_long_tld",
+    o.with_ctes(
+        ["alerts"],
+        "SELECT event_id, domain, listing_count FROM alerts",
+        extra={
+            "hosts": """SELECT page_id, regexp_replace(regexp_extract(url, '^https?://([^/:?#]+)', 1),
+                               '[^.]+$', 'technology') AS h FROM pages"""
+        },
+    ),
+)
+def dns_long_tld(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts over hosts with a top-level domain of ten letters, in the lines and in the list."""
+    messages = fx.dns_messages(spark, sf_dir, "technology")
+    alerts = dns_alerts(messages, fx.domain_list(spark, sf_dir, "technology"))
+    return alerts.select("event_id", "domain", "listing_count")
+
+
 @register(
     "null_to_empty",
     o.with_ctes(["dns_messages"], "SELECT event_id, coalesce(message, '') AS message FROM dns_messages"),
@@ -215,6 +233,75 @@ def ip_range_pandas_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lookup(spark, sf_dir, "pandas").select(*RANGE_COLS)
 
 
+_NESTED_SQL = o.with_ctes(
+    ["ips", "nested_blocks"],
+    """SELECT event_id, ipn, s, e, plen, geoname_id FROM (
+         SELECT i.event_id, i.ipn, b.s, b.e, b.plen, b.geoname_id, row_number() OVER (
+           PARTITION BY i.event_id ORDER BY b.s DESC, b.e, b.geoname_id DESC) AS place
+         FROM ips i LEFT JOIN nested_blocks b ON i.ipn BETWEEN b.s AND b.e)
+       WHERE place = 1""",
+)
+
+
+def _nested_lookup(spark: SparkSession, sf_dir: str, strategy: str, bound: int | None = None) -> DataFrame:
+    """Overlapping and equal ranges: the innermost one, of equal ones that with the greatest columns."""
+    ranges = cidr_ranges(fx.nested_networks(spark, sf_dir), "network", "s", "e", "plen").drop("network")
+    out = range_lookup(
+        _ip_keys(spark, sf_dir), ranges, "ipn", start="s", end="e", prefix_len="plen",
+        strategy=strategy, how="left", max_broadcast_bytes=bound,
+    )
+    return out.select(*RANGE_COLS)
+
+
+@register("ip_range_overlaps", _NESTED_SQL)
+def ip_range_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nested_lookup(spark, sf_dir, "bucket")
+
+
+@register("ip_range_overlaps_large", _NESTED_SQL)
+def ip_range_overlaps_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with no range table small enough to broadcast."""
+    return _nested_lookup(spark, sf_dir, "bucket", 0)
+
+
+@register("ip_prefix_overlaps", _NESTED_SQL)
+def ip_prefix_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nested_lookup(spark, sf_dir, "prefix")
+
+
+@register("ip_prefix_overlaps_large", _NESTED_SQL)
+def ip_prefix_overlaps_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nested_lookup(spark, sf_dir, "prefix", 0)
+
+
+@register("ip_pandas_overlaps", _NESTED_SQL)
+def ip_pandas_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nested_lookup(spark, sf_dir, "pandas")
+
+
+@register(
+    "ip_lookup_status_invalid",
+    o.with_ctes(
+        ["ips", "blocks"],
+        """SELECT i.event_id, CASE WHEN i.event_id % 3 <> 0 THEN i.ipn END AS ipn,
+                  CASE WHEN i.event_id % 3 <> 0 THEN CAST(b.geoname_id AS VARCHAR) END AS geoname_id,
+                  CASE WHEN i.event_id % 3 = 0 THEN 'invalid'
+                       WHEN b.s IS NOT NULL THEN 'matched'
+                       WHEN i.ipn < (SELECT min(s) FROM blocks) THEN 'below'
+                       ELSE 'gap' END AS match_status
+           FROM ips i LEFT JOIN blocks b ON i.ipn BETWEEN b.s AND b.e""",
+    ),
+)
+def ip_lookup_status_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the addresses is no address; the range table is over the broadcast bound."""
+    eid = F.col("event_id")
+    text = F.when(eid % 6 == 0, F.lit(None)).when(eid % 3 == 0, F.concat("ip", F.lit(".7"))).otherwise(F.col("ip"))
+    keys = fx.ip_text(spark, sf_dir).select("event_id", ipv4_to_long(text).alias("ipn"))
+    ranges = _range_table(spark, sf_dir)
+    looked = range_lookup(keys, ranges, "ipn", start="s", end="e", how="left", max_broadcast_bytes=0)
+    return with_match_status(looked, ranges, "ipn", start="s").select("event_id", "ipn", "geoname_id", "match_status")
+
+
 @register(
     "ip_lookup_status",
     o.with_ctes(
@@ -275,6 +362,22 @@ def value_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return value_counts(fx.documents_map(spark, sf_dir))
 
 
+@register(
+    "value_counts_dotted_names",
+    o.with_ctes(
+        ["documents_map"],
+        """SELECT field, val, count(*) AS count FROM (
+             SELECT 'event.type' AS field, event_type AS val FROM documents_map
+             UNION ALL SELECT 'user.id', user_id FROM documents_map)
+           GROUP BY field, val HAVING count(*) > 1""",
+    ),
+)
+def value_counts_dotted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields whose names hold dots, as in search documents."""
+    docs = fx.documents_map(spark, sf_dir)
+    return value_counts(docs.select(F.col("event_type").alias("event.type"), F.col("user_id").alias("user.id")))
+
+
 @register("map_field_pick", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def map_field_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = fx.table(spark, sf_dir, "events")
@@ -346,6 +449,35 @@ def deid_get_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched.select("id", "pid", "deid")
 
 
+@register(
+    "deid_null_keys",
+    o.with_ctes(
+        ["patient_events_with_nulls", "deid_lookup"],
+        """SELECT e.id, e.pid, coalesce(l.deid, sha256('salt|' || e.pid)) AS deid
+           FROM patient_events_with_nulls e LEFT JOIN deid_lookup l ON e.pid = l.pid""",
+    ),
+)
+def deid_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without a key stay, without an id."""
+    events, lookup = fx.patient_events_with_nulls(spark, sf_dir), fx.deid_lookup(spark, sf_dir)
+    return get_or_create_ids(events, lookup, "pid", mode="hash", salt=fx.NEW_ID_SALT)[0].select("id", "pid", "deid")
+
+
+@register(
+    "deid_duplicate_lookup",
+    o.with_ctes(
+        ["patient_events", "deid_lookup_doubled"],
+        """SELECT e.id, e.pid, coalesce(l.deid, sha256('salt|' || e.pid)) AS deid
+           FROM patient_events e
+           LEFT JOIN (SELECT pid, min(deid) AS deid FROM deid_lookup_doubled GROUP BY pid) l ON e.pid = l.pid""",
+    ),
+)
+def deid_duplicate_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup with two ids a key: each event still comes once, with the smaller id."""
+    events, lookup = fx.patient_events(spark, sf_dir), fx.deid_lookup_doubled(spark, sf_dir)
+    return get_or_create_ids(events, lookup, "pid", mode="hash", salt=fx.NEW_ID_SALT)[0].select("id", "pid", "deid")
+
+
 @register(
     "sequence_ids",
     o.with_ctes(
@@ -379,6 +511,33 @@ def sequence_ids_continue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return earlier.unionByName(created)
 
 
+@register(
+    "deid_sequence_store",
+    o.with_ctes(
+        ["patient_events", "keys", "known", "numbered"],
+        """SELECT e.id, e.pid, n.seq_id, (SELECT count(*) FROM numbered) AS stored
+           FROM patient_events e JOIN numbered n ON e.pid = n.pid""",
+        extra={
+            "keys": "SELECT DISTINCT pid FROM patient_events",
+            "known": """SELECT pid, row_number() OVER (ORDER BY pid) AS seq_id
+                        FROM keys WHERE CAST(pid AS BIGINT) % 3 = 0""",
+            "numbered": """SELECT * FROM known UNION ALL
+                           SELECT pid, (SELECT count(*) FROM known) + row_number() OVER (ORDER BY pid) AS seq_id
+                           FROM keys WHERE pid NOT IN (SELECT pid FROM known)""",
+        },
+    ),
+)
+def deid_sequence_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The returned ids, read after the lookup's own store has grown by the new ones."""
+    events, store = fx.patient_events(spark, sf_dir), scratch_path(spark, "sequence_store")
+    dense_ids(events.where(F.col("pid").cast("bigint") % 3 == 0), "pid").write.parquet(store)
+    enriched, _ = get_or_create_ids(
+        events, spark.read.parquet(store), "pid", mode="sequence", out="seq_id", store_path=store
+    )
+    stored = spark.read.parquet(store).select(F.count(F.lit(1))).scalar()
+    return enriched.select("id", "pid", "seq_id", stored.alias("stored"))
+
+
 # --- Files, documents and tables ----------------------------------------------------------
 
 

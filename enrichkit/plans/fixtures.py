@@ -31,9 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    return pages.select("page_id", F.regexp_extract("url", HOST_PATTERN, 1).alias("h"))
+def hosts(spark: SparkSession, sf_dir: str, tld: str | None = None) -> DataFrame:
+    """``(page_id, h)``: the host of each page's address, its last label replaced by ``tld`` if given."""
+    h = F.regexp_extract("url", HOST_PATTERN, 1)
+    if tld is not None:
+        h = F.regexp_replace(h, "[^.]+$", tld)
+    return table(spark, sf_dir, "pages").select("page_id", h.alias("h"))
 
 
 def _pick(index: F.Column, words: list[str]) -> F.Column:
@@ -43,13 +46,13 @@ def _pick(index: F.Column, words: list[str]) -> F.Column:
     return expr
 
 
-def dns_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dns_messages(spark: SparkSession, sf_dir: str, tld: str | None = None) -> DataFrame:
     """``(event_id, message)``: one dnsmasq line per event, some null or unparsable."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id")
     n_pages = table(spark, sf_dir, "pages").select(F.count(F.lit(1))).scalar()
     events = events.withColumn("page_id", F.col("event_id") % n_pages)
     # The pages side is measured and broadcast when small; events stream through.
-    joined = skew_aware_join(events, hosts(spark, sf_dir), ["page_id"], "inner")
+    joined = skew_aware_join(events, hosts(spark, sf_dir, tld), ["page_id"], "inner")
     eid = F.col("event_id")
     line = F.concat(
         F.lit(DNS_PREFIX),
@@ -86,9 +89,9 @@ def dns_raw_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def domain_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+def domain_list(spark: SparkSession, sf_dir: str, tld: str | None = None) -> DataFrame:
     """The bad-domain list: every seventh page's host, in the nine string fields of the list."""
-    h = hosts(spark, sf_dir).where(F.col("page_id") % 7 == 0)
+    h = hosts(spark, sf_dir, tld).where(F.col("page_id") % 7 == 0)
     pid = F.col("page_id")
     return h.select(
         F.lit(LIST_DATE).alias("date"),
@@ -131,6 +134,20 @@ def block_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(network.alias("network"), F.col("geoname_id").cast("string").alias("geoname_id"))
 
 
+def nested_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(network, geoname_id)``: every block and, around it, the network 16 times its size.
+
+    The wider networks overlap the blocks, each other, and (for neighbours) are equal but for
+    their ``geoname_id``.
+    """
+    b = blocks(spark, sf_dir)
+    wide = b.select(
+        F.concat(long_to_ipv4("s"), F.lit("/"), (F.col("plen") - 4).cast("string")).alias("network"),
+        (F.col("geoname_id") + 100).cast("string").alias("geoname_id"),
+    )
+    return block_networks(spark, sf_dir).unionByName(wide)
+
+
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(geoname_id, country_name, continent_name)`` from nation and region."""
     nation = table(spark, sf_dir, "nation")
@@ -155,6 +172,19 @@ def patient_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("string").alias("pid"))
 
 
+def patient_events_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The patient events, where every fifth order names no patient."""
+    ev = patient_events(spark, sf_dir)
+    return ev.select("id", F.when(F.col("id").cast("bigint") % 5 != 0, F.col("pid")).alias("pid"))
+
+
+def deid_lookup_doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup that two runs wrote at the same time: each of its keys has two ids."""
+    lookup = deid_lookup(spark, sf_dir)
+    again = F.sha2(F.concat(F.lit(NEW_ID_SALT), F.col("pid")), 256)
+    return lookup.unionByName(lookup.select("pid", again.alias("deid")))
+
+
 def deid_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(pid, deid)``: an existing lookup holding a third of the customers."""
     cust = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 3 == 0)

@@ -68,6 +68,15 @@ CTES: dict[str, str] = {
                CAST(15 + p_size % 10 AS INTEGER) AS plen,
                p_partkey % 25 AS geoname_id
         FROM part""",
+    "nested_blocks": """
+        SELECT s, e, plen, CAST(geoname_id AS VARCHAR) AS geoname_id FROM blocks
+        UNION ALL
+        SELECT s // w * w AS s, s // w * w + w - 1 AS e, plen - 4 AS plen, CAST(geoname_id + 100 AS VARCHAR) AS geoname_id
+        FROM (SELECT *, CAST(pow(2, 36 - plen) AS BIGINT) AS w FROM blocks)""",
+    "patient_events_with_nulls": """
+        SELECT id, CASE WHEN CAST(id AS BIGINT) % 5 <> 0 THEN pid END AS pid FROM patient_events""",
+    "deid_lookup_doubled": """
+        SELECT pid, deid FROM deid_lookup UNION ALL SELECT pid, sha256('salt|' || pid) AS deid FROM deid_lookup""",
     "countries": """
         SELECT CAST(n_nationkey AS VARCHAR) AS geoname_id, n_name AS country_name, r_name AS continent_name
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
@@ -88,6 +97,9 @@ _DEPS: dict[str, list[str]] = {
     "clean_list": ["domain_list"],
     "dns_raw": ["dns_parsed"],
     "listed": ["clean_list"],
+    "nested_blocks": ["blocks"],
+    "patient_events_with_nulls": ["patient_events"],
+    "deid_lookup_doubled": ["deid_lookup"],
     "alerts": ["dns_parsed", "listed"],
 }
 
