@@ -49,8 +49,19 @@ BASE_RULES = (
     # [0-9a-f]+ of 24 or more: its matches are maximal runs, so the bound can stand in the pattern.
     Rule("hex", r"[0-9a-f]{24,}", 24),
 )
+# A whole key: through its END line, if no other BEGIN or END stands before it; else through the
+# encryption headers and base64 that follow, as lines (also quoted or with a spelled-out \n) or as
+# runs of 32 or more.
+_PEM_LINE = r"(?:\r?\n|(?:\\r)?\\n)[\x20\t>]*+"
+_PEM = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    r"(?:(?:[^-]|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:(?:{_PEM_LINE}(?:Proc-Type|DEK-Info):[A-Za-z0-9\x20,-]*+)++(?:{_PEM_LINE}(?=\r?\n|(?:\\r)?\\n))?)?"
+    r"(?:(?:[\x20\t\r\n>]|\\[rn])*+[A-Za-z0-9+/]{32,}+={0,2}+"
+    rf"|{_PEM_LINE}[A-Za-z0-9+/]++={{0,2}}+(?=[\x20\t]*+(?:[\r\n\"']|\\[rn]|\Z)))*+)"
+)
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", _PEM),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 15),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40),
