@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from enrichkit.llm.arrays import slices, texts_of
 from enrichkit.session import scratch_path
@@ -257,22 +258,8 @@ def link_classes(members: DataFrame, sets: DataFrame, percent: int, wave_pairs:
     return labels
 
 
-def near_duplicates(
-    docs: DataFrame,
-    words: int = 2,
-    percent: int = 80,
-    bands: int = BANDS,
-    per_band: int = PER_BAND,
-    wave_pairs: int = WAVE_PAIRS,
-) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document.
-
-    Texts are linked if 100 * intersection >= percent * union of their shingle sets; the
-    component is the smallest id reachable over links, kept is doc_id = component_id. Null,
-    empty and blank texts are linked with nothing. Rows of one id are one document for the
-    component and each gets a row. A row without an id is linked with nothing either: its
-    component is null and it is kept. Other columns are not read.
-    """
+def _linked(docs: DataFrame, words: int, percent: int, bands: int, per_band: int, wave_pairs: int):
+    """(signatures of the rows; classes: key, least id, n rows, bands; labels of the linked classes)."""
     signed = _kept(signatures(docs, words, bands, per_band), "signatures")
     able = signed.filter("key IS NOT NULL AND doc_id IS NOT NULL")
     classes = _kept(
@@ -292,13 +279,50 @@ def near_duplicates(
     sets = _kept(
         _sets(texts, words).join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "sets"
     )
-    labels = link_classes(members, sets, percent, wave_pairs)
+    return signed, classes, link_classes(members, sets, percent, wave_pairs)
+
+
+def _components(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, label, component (the smallest id) of the classes whose component holds several rows."""
     named = _labelled(classes.select("key", "least", "n"), labels, "key", "label")
     least = named.groupBy("label").agg(F.min("least").alias("component"), F.sum("n").alias("n")).filter("n > 1").drop("n")
-    components = named.join(least, "label").select("key", "component")
+    return named.join(least, "label").select("key", "label", "component")
+
+
+def _repeated(signed: DataFrame) -> DataFrame:
+    """The ids of several rows."""
+    return _kept(signed.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    words: int = 2,
+    percent: int = 80,
+    bands: int = BANDS,
+    per_band: int = PER_BAND,
+    wave_pairs: int = WAVE_PAIRS,
+) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document.
+
+    Texts are linked if 100 * intersection >= percent * union of their shingle sets; the
+    component is the smallest id reachable over links, kept is doc_id = component_id. Null,
+    empty and blank texts are linked with nothing. Rows of one id are one document for the
+    component, whatever their texts, and each gets a row. A row without an id is linked with
+    nothing either: its component is null and it is kept. Other columns are not read.
+    """
+    signed, classes, labels = _linked(docs, words, percent, bands, per_band, wave_pairs)
+    rows = signed.select("doc_id", "n_shingles", "key")
+    repeated = _repeated(signed)
+    if not repeated.isEmpty():
+        # All classes of an id are linked with its least one; its rows without words go with that.
+        own = rows.filter("key IS NOT NULL").join(repeated, "doc_id", "left_semi")
+        first = _kept(own.groupBy("doc_id").agg(F.min("key").alias("first")), "first")
+        edges = own.join(first, "doc_id").filter("key != first").select("key", "first").distinct()
+        labels = _kept(connected(edges.toDF("a", "b").union(labels.select("key", "label"))), "labels")
+        blank = rows.filter("key IS NULL").join(first, "doc_id", "left").select("doc_id", "n_shingles", F.col("first").alias("key"))
+        rows = rows.filter("key IS NOT NULL").union(blank)
     return (
-        signed.select("doc_id", "n_shingles", "key")
-        .join(components, "key", "left")
+        rows.join(_components(classes, labels).drop("label"), "key", "left")
         .select(
             "doc_id",
             "n_shingles",
@@ -308,13 +332,47 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, without near duplicates: the smallest id of each
-    component stays, and one row of each id (that of the least text). Rows without an id stay."""
-    keep = near_duplicates(docs, words, percent).filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_n"))
-    keep = _kept(keep, "kept")
-    named = docs.join(keep, "doc_id").select(*docs.columns, "_n")
-    once = named.filter("_n = 1").select(docs.columns)
-    twice = named.filter("_n > 1").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.col("text")).alias("_row"))
+def _with_keys(docs: DataFrame, words: int) -> DataFrame:
+    """All columns of ``docs`` and _key, the key of the row's set (null if empty)."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in slices(batches, "text"):
+            sets = [shingle_set(t, words) for t in texts_of(batch)]
+            keys = pa.array([_key(s) if len(s) else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, "_key"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_key", BinaryType())]))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, one_row: bool = True) -> DataFrame:
+    """The rows of ``docs``, all columns, without near duplicates.
+
+    Of the texts that links join, one row of the smallest id stays, that of the least text; a
+    text without words stays once for its id. What else an id's other rows hold plays no part.
+    ``one_row``: of an id's remaining rows only that of the least text stays, one without words
+    only if there is no other; else all of them, as they are unlike. Rows without an id stay."""
+    signed, classes, labels = _linked(docs, words, percent, BANDS, PER_BAND, WAVE_PAIRS)
+    stays = (
+        signed.filter("doc_id IS NOT NULL")
+        .select("doc_id", "key")
+        .join(_components(classes, labels), "key", "left")
+        .filter("component IS NULL OR component = doc_id")
+        .select("doc_id", "key", F.coalesce("label", "key").alias("label"))
+    )
+    stays = _kept(stays.distinct(), "kept")
+    repeated = _repeated(signed)
     nameless = docs.filter(F.col("doc_id").isNull())
-    return once.union(twice.select("_row.*")).union(nameless)
+    kept = docs.join(stays.select("doc_id").distinct(), "doc_id", "left_semi")
+    if repeated.isEmpty():
+        return kept.union(nameless)
+    once = kept.join(repeated, "doc_id", "left_anti")
+    keys = stays.join(repeated, "doc_id", "left_semi").select(
+        F.col("doc_id").alias("_id"), F.col("key").alias("_its"), F.col("label").alias("_label")
+    )
+    # Rows, not ids: each row of a repeated id by the key of its own text.
+    several = _with_keys(kept.join(repeated, "doc_id", "left_semi"), words)
+    several = several.join(keys, (F.col("doc_id") == F.col("_id")) & F.col("_key").eqNullSafe(F.col("_its")))
+    order = F.struct(F.col("_key").isNull(), F.col("text").isNull(), F.col("text"))
+    parts = ["doc_id"] if one_row else ["doc_id", "_label", F.when(F.col("_key").isNull(), F.col("text"))]
+    chosen = several.groupBy(*parts).agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))
+    return once.union(chosen.select("_row.*")).union(nameless)

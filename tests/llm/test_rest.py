@@ -144,6 +144,45 @@ def test_one_of_each_and_empty(spark, docs_of):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def some_words(seed, n=60):
+    rng = random.Random(seed)
+    return [f"w{rng.randint(0, 100_000)}" for _ in range(n)]
+
+
+def test_repeated_ids_keep_rows_not_ids(spark, docs_of):
+    a, b, c = some_words(1), some_words(2), some_words(3)
+    near = " ".join([*a[:-1], "other"])
+    a, b, c = (" ".join(x) for x in (a, b, c))
+    # The near copy goes, the unlike text of its id stays.
+    docs = docs_of([(3, a), (8, near), (8, b)])
+    for one_row in (True, False):
+        out = neardup.one_of_each(docs, one_row=one_row)
+        assert out.columns == docs.columns
+        assert sorted((r.doc_id, r.text) for r in out.collect()) == [(3, a), (8, b)]
+    # Unlike texts under one id are no near copies; copies under one id are.
+    rows = [(8, b), (8, c), (8, c), (9, a), (9, near), (4, None), (4, None), (4, ""), (None, None), (5, None), (5, b + " x")]
+    whole = sorted((r.doc_id or 0, r.text or "", r.text is None, r.lang is None, r.size) for r in neardup.one_of_each(docs_of(rows), one_row=False).collect())
+    want = [(8, c), (9, min(a, near)), (4, None), (4, ""), (None, None), (5, None), (5, b + " x")]
+    assert [(i, t, n) for i, t, n, _, _ in whole] == sorted((i or 0, t or "", t is None) for i, t in want)
+    assert all(size == 1 for *_, size in whole)
+    unlike = neardup.one_of_each(docs_of([(8, b), (8, c), (8, c)]), one_row=False).collect()
+    assert sorted(r.text for r in unlike) == sorted([b, c])
+    # One row of each id: no column is lost if all its texts are null.
+    out = neardup.one_of_each(docs_of([(4, None), (4, None), (5, None), (5, b)])).collect()
+    assert sorted((r.doc_id, r.text or "", r.source, r.size) for r in out) == [(4, "", "s", 1), (5, b, "s", 1)]
+
+
+def test_an_id_with_two_texts_joins_their_components(spark, docs_of):
+    a, b, c = (" ".join(some_words(k)) for k in (1, 2, 3))
+    rows = [(3, a), (8, a), (8, b), (9, b + " more"), (8, None), (10, c), (11, c), (12, None), (12, "")]
+    got = neardup.near_duplicates(docs_of(rows)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [
+        (3, 3), (8, 3), (8, 3), (8, 3), (9, 3), (10, 10), (11, 10), (12, 12), (12, 12)
+    ]
+    assert {r.doc_id: r.component_id for r in got} == components(rows, 2)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
 # ---- 3 chat
 
 
