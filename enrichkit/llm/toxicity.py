@@ -28,7 +28,7 @@ from enrichkit.session import scratch_path
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 #: Labelled documents used for training: at most so many of each label.
-MAX_ROWS = 2000
+MAX_ROWS = 2500
 _WORD = re.compile(r"[^\W_]+")
 _CACHE_WORDS = 400_000
 

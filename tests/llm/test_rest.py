@@ -345,6 +345,14 @@ def test_toxicity_hard_rows(spark, docs_of):
     assert toxicity.train(docs.limit(0), labels.limit(0)).bias == 0.0
 
 
+def test_training_takes_2500_documents_of_each_label(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(toxicity, "fit", lambda bags, labels, **_: sizes.append((len(bags), int(sum(labels)))))
+    docs = spark.range(6600).selectExpr("id AS doc_id", "concat('w', id % 7, IF(id % 2 = 1, ' idiot', ' fine')) AS text")
+    toxicity.train(docs, docs.selectExpr("doc_id", "1 AS quality", "CAST(doc_id % 2 AS int) AS toxic"))
+    assert sizes == [(5000, 2500)]
+
+
 # ---- 10 secrets
 
 
