@@ -45,9 +45,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents, packed into sequences of 1024 tokens."""
+    """Pieces of the documents with their ids, packed into sequences of 1024 tokens."""
     bound_batches(spark)
-    return pack_documents(docs, tokenizer_path())
+    return pack_documents(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [

@@ -455,3 +455,16 @@ def test_pipeline_against_brute_force(spark):
     assert got == want
     for _, stage in p.STAGES[:-1]:
         assert stage(spark, docs, SMALL).columns == docs.columns
+
+
+def test_packing_stage_returns_the_tokens(spark, docs_of, tokenizer_file):
+    import corpus_pipeline as p
+    from tokenizers import Tokenizer
+
+    rows = [(i, t) for i, t in HARD if i in (2, 4, 9, 10)]
+    got = {}
+    for r in sorted(p.packing(spark, docs_of(rows), "").collect(), key=lambda r: (r.doc_id, r.piece)):
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<i4").tobytes()) == r.ids_crc32
+        got[r.doc_id] = got.get(r.doc_id, []) + r.ids
+    enc = Tokenizer.from_file(tokenizer_file)
+    assert got == {i: [*enc.encode(t, add_special_tokens=False).ids, 2] for i, t in rows}
