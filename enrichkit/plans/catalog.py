@@ -593,6 +593,29 @@ def text_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path)
 
 
+_SOME_NULLS = "CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS status"
+
+
+@register("orders_csv_header_scan", f"SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, {_SOME_NULLS} FROM orders")
+def orders_csv_header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The header scan over a growing table with nulls."""
+    path = scratch_path(spark, "orders_csv")
+    write_csv(fx.table(spark, sf_dir, "orders").selectExpr("o_orderkey", _SOME_NULLS), path, header=True)
+    return read_csv(spark, path, header=True)
+
+
+@register(
+    "orders_text_dump",
+    f"""SELECT '[' || o_orderkey || ',' || o_custkey || ',' || coalesce(status, 'null') || ']' AS value
+        FROM (SELECT o_orderkey, o_custkey, {_SOME_NULLS} FROM orders)""",
+)
+def orders_text_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text dump over a growing table with nulls."""
+    path = scratch_path(spark, "orders_text")
+    write_text(fx.table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey", _SOME_NULLS), path)
+    return spark.read.text(path)
+
+
 @register(
     "keyed_overwrite_keep_last",
     o.with_ctes(

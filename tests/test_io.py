@@ -90,3 +90,10 @@ def test_documents_missing_fields_read_as_null(spark):
     spark.createDataFrame([('{"recordid": "1", "name": "a"}',), ('{"recordid": "2"}',)], "value string").write.text(path)
     docs = read_documents(spark, path, schema="recordid string, name string, age string")
     assert rows(docs) == [("1", "a", None), ("2", None, None)]
+
+
+def test_header_scan_and_text_dump_grow_with_their_table():
+    import __spark_entry__ as entry
+
+    for name in ("orders_csv_header_scan", "orders_text_dump"):
+        assert name in entry.queries() and "FROM orders" in entry.oracle_sql()[name]
