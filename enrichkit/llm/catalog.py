@@ -16,15 +16,19 @@ from enrichkit.llm.bpe import round_trip_digests
 from enrichkit.llm.chat import conversation_digests, probe_conversation
 from enrichkit.llm.counting import edited_counts, sample_edits
 from enrichkit.llm.fingerprints import fingerprint_documents
+from enrichkit.llm.lexical import ranked_search
 from enrichkit.llm.neardup import near_duplicates
 from enrichkit.llm.packing import pack_documents
+from enrichkit.llm.pieces import piece_digests
 from enrichkit.llm.quality import passes, quality_ledger
+from enrichkit.llm.runs import run_digests
 from enrichkit.llm.secrets import scan_documents
 from enrichkit.llm.sharding import shard_documents
 from enrichkit.llm.tables import table
 from enrichkit.llm.toxicity import score_documents, train
 
 BPE_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def tokenizer_path() -> str:
@@ -101,6 +105,18 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_FILE))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -120,6 +136,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_toxicity,
         op10_secret_scans,
+        op11_sentencepiece,
+        op12_ranked_search,
+        op13_periodic_runs,
         pipeline,
     )
 }

@@ -112,8 +112,38 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM texts LEFT JOIN found USING (r)
 """
 
+# A term: ASCII letters and digits and all characters past ASCII; only A-Z become lower case.
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')"""
+
+SEARCH = f"""
+WITH wanted AS (
+  SELECT item_id, term, count(*) AS q FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item_id, term
+),
+texts AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+totals AS (SELECT count(*) FILTER (len(t) > 0)::BIGINT AS nn, sum(len(t))::BIGINT AS ll FROM texts),
+held AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM texts)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY r, term
+),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM held, totals GROUP BY term, nn
+),
+parts AS (
+  SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * len(t)::BIGINT * nn) // ll))) AS part
+  FROM held JOIN texts USING (r) JOIN weights USING (term), totals
+),
+scores AS (SELECT item_id, r, sum(q * part)::BIGINT AS score FROM wanted JOIN parts USING (term) GROUP BY item_id, r),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scores JOIN texts USING (r) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 SQL: dict[str, str] = {
     "op3_chat_formatting": CHAT,
     "op8_quality_rules": QUALITY,
     "op10_secret_scans": SECRETS,
+    "op12_ranked_search": SEARCH,
 }
