@@ -38,7 +38,6 @@ def geo_enrich(
         _IPN,
         start="__start",
         end="__end",
-        prefix_len="__plen",
         strategy=strategy,
         how=how,
         end_inclusive=end_inclusive,

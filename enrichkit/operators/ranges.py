@@ -1,24 +1,28 @@
 """Range lookup: find, for each key, the range ``[start, end]`` that contains it.
 
-Spark plans a join on ``key BETWEEN start AND end`` as a nested loop. The default
-``bucket`` strategy turns it into an equi-join: each range is exploded over the buckets
-``start >> bits .. end >> bits`` it touches, each key goes to bucket ``key >> bits``,
-and the join keeps pairs that pass the range test. The range side is broadcast when its
-measured size allows; otherwise the join is shuffled on the bucket with hot buckets split
-off (see ``joins.skew_aware_join``).
-
-When ranges overlap (checked, not assumed), the innermost range wins: greatest
-start, then smallest end; for CIDR blocks this is the longest prefix. Of equal ranges the one
-with the greatest other columns, taken in their order, wins in every strategy. Overlaps are
-resolved on the range side: it is cut once into disjoint pieces, each with its winning range,
-so a key meets at most one piece and the key side is neither shuffled nor grouped for it.
+Spark plans a join on ``key BETWEEN start AND end`` as a nested loop. Two forms avoid it:
+
+- Disjoint ranges: an equi-join on buckets. A range stands in each bucket of ``2^bits`` keys
+  that it touches, a key in its own, and the join keeps pairs that pass the range test. A range
+  that would stand in more than ``_MOST_BUCKETS`` buckets takes a coarser width (8 bits more, as
+  often as needed), so ranges of any width are copied a bounded number of times; each width
+  present is one join.
+- Overlapping ranges: aligned blocks. Every range is the union of at most 126 blocks of
+  ``2^level`` keys that begin at a multiple of their size; a CIDR network is one. Of a block's
+  ranges the innermost stays, and a block inside others takes the innermost of all. The widest
+  to the narrowest level are searched by halving: a block leaves a mark at each wider level
+  where the search for it turns to the narrower side, so ``log2(levels + 1)`` probes (6 for
+  all IPv4 prefix lengths) find the narrowest block that holds a key.
+
+Whether ranges overlap is checked, not assumed. The innermost range wins: greatest start, then
+smallest end; for CIDR blocks this is the longest prefix. Of equal ranges the one with the
+greatest other columns, taken in their order, wins in every strategy. The range side is
+broadcast when its measured size allows, and the keys are then not shuffled at all; otherwise
+the join is shuffled with hot keys split off (see ``joins.skew_aware_join``).
 """
 
 from __future__ import annotations
 
-import heapq
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,15 +32,17 @@ from pyspark.sql.window import Window
 
 from enrichkit.functions.net import cidr_prefix_len, ipv4_to_long, shl, shr
 from enrichkit.operators.joins import skew_aware_join
-from enrichkit.operators.sizing import Size, measure, row_width, within_limit
+from enrichkit.operators.sizing import Size, fits_broadcast, row_width, within_limit
 from enrichkit.session import ensure_checkpoint_dir
 
 STRATEGIES = ("bucket", "between", "prefix", "pandas")
-_BUCKET = "__bucket"
-_FROM = "__from"
-_TO = "__to"
+_BUCKET, _WIDTH, _FROM, _TO = "__bucket", "__width", "__from", "__to"
+_LEVEL, _NET, _WIN, _FOUND = "__level", "__net", "__win", "__found"
 # Bucket of a null key: below every real bucket (x >> bits >= -2^(63 - bits) for bigint x).
 _NO_BUCKET = -(2**63)
+# A range stands in so many buckets of its width plus one at most.
+_MOST_BUCKETS = 256
+_STEP_BITS = 8
 
 
 def cidr_ranges(
@@ -93,113 +99,66 @@ def _check_names(df: DataFrame, ranges: DataFrame) -> None:
 
 
 def _last(end: str, end_inclusive: bool) -> Column:
-    return F.col(end) if end_inclusive else F.col(end) - F.lit(1)
+    return F.col(end) if end_inclusive else F.try_subtract(F.col(end), F.lit(1))  # none before the least bigint
+
+
+def _width_bits(start: Column, last: Column, bits: int) -> Column:
+    """Bits of the narrowest bucket of which the range touches ``_MOST_BUCKETS`` plus one at most."""
+    steps = list(range(bits, 64, _STEP_BITS))
+    out = F.lit(steps[-1])
+    for b in reversed(steps[:-1]):
+        touched = F.shiftright(last, b).cast("double") - F.shiftright(start, b).cast("double")
+        out = F.when(touched <= _MOST_BUCKETS, F.lit(b)).otherwise(out)
+    return out
 
 
 def _bucketed_ranges(ranges: DataFrame, start: str, end: str, bits: int, end_inclusive: bool) -> DataFrame:
     # No filter on the computed bounds: a null bound gives a null span, which explode
     # drops, and a range with start > end spans buckets but can never pass the range test.
     # (A filter here would be pushed into the scan with the bound expressions inlined.)
-    last = _last(end, end_inclusive)
-    span = F.sequence(F.shiftright(F.col(start), bits), F.shiftright(last, bits))
-    return ranges.withColumn(_BUCKET, F.explode(span))
+    bounds = ranges.withColumns({_FROM: F.col(start).cast("bigint"), _TO: _last(end, end_inclusive).cast("bigint")})
+    wide = bounds.withColumn(_WIDTH, _width_bits(F.col(_FROM), F.greatest(_FROM, _TO), bits))
+    span = F.sequence(shr(_FROM, F.col(_WIDTH)), shr(F.greatest(_FROM, _TO), F.col(_WIDTH)))
+    return wide.withColumn(_BUCKET, F.explode(span))
 
 
-def _profile_buckets(exploded: DataFrame, start: str, end: str, end_inclusive: bool) -> tuple[Size, bool]:
-    """Size of the bucketed range table and whether two ranges overlap, in one job.
+def _profile_buckets(exploded: DataFrame, check: bool = True) -> tuple[Size, bool, list[int]]:
+    """Size of the bucketed range table, whether two ranges of one bucket width overlap, and the
+    widths present, in one job.
 
-    Two overlapping ranges share the bucket of a common address, so it suffices to sort
-    each bucket's ranges by start and compare each start with the running maximum end of
-    the ranges before it; groups are buckets of the (small) range table.
+    Two overlapping ranges of one width share the bucket of a common address, so it suffices to
+    sort each bucket's ranges by start and compare each start with the running maximum end of
+    the ranges before it; groups are buckets of the range table.
     """
-    w = Window.partitionBy(_BUCKET).orderBy(F.col(start), _last(end, end_inclusive).desc()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    hit = (F.col(start) <= F.max(_last(end, end_inclusive)).over(w)).cast("int")
-    flagged = exploded.select(hit.alias("__hit"), row_width(exploded).alias("__w"))
-    row = flagged.agg(F.count(F.lit(1)).alias("n"), F.sum("__w").alias("b"), F.max("__hit").alias("o")).first()
-    return Size(int(row["n"]), int(row["b"] or 0)), bool(row["o"])
+    hit = F.lit(0)
+    if check:
+        w = Window.partitionBy(_WIDTH, _BUCKET).orderBy(F.col(_FROM), F.col(_TO).desc())
+        hit = (F.col(_FROM) <= F.max(_TO).over(w.rowsBetween(Window.unboundedPreceding, -1))).cast("int")
+    flagged = exploded.select(hit.alias("__hit"), row_width(exploded).alias("__w"), _WIDTH)
+    row = flagged.agg(
+        F.count(F.lit(1)).alias("n"), F.sum("__w").alias("b"), F.max("__hit").alias("o"), F.collect_set(_WIDTH).alias("widths")
+    ).first()
+    return Size(int(row["n"]), int(row["b"] or 0)), bool(row["o"]), sorted(row["widths"])
+
+
+def _widths_overlap(exploded: DataFrame, widths: list[int]) -> bool:
+    """Whether a range overlaps one of another bucket width. A range of a narrower width cannot
+    hold one of a wider width, so it overlaps it with one of its own ends."""
+    for wide in widths[1:]:
+        ends = exploded.where(F.col(_WIDTH) < wide).select(F.explode(F.array(_FROM, _TO)).alias("__p")).distinct()
+        ends = ends.withColumn(_BUCKET, F.shiftright("__p", wide))
+        over = exploded.where(F.col(_WIDTH) == wide).select(_BUCKET, _FROM, _TO)
+        inside = F.col("__p").between(F.col(_FROM), F.col(_TO))
+        if not skew_aware_join(ends, over, [_BUCKET], "inner", inside).isEmpty():
+            return True
+    return False
 
 
 def ranges_overlap(ranges: DataFrame, start: str, end: str, bucket_bits: int = 16, end_inclusive: bool = True) -> bool:
     """True when two ranges share an address."""
     exploded = _bucketed_ranges(ranges, start, end, bucket_bits, end_inclusive)
-    return _profile_buckets(exploded, start, end, end_inclusive)[1]
-
-
-def _bounds_sweep(cols: list[str], out_cols: list[str]):
-    """The sweep over rows sorted by clipped start, as a closure over plain values (ships to
-    Python workers by value). Rows of a bucket end within it, so buckets need no groups."""
-
-    def sweep(batches):
-        active = []  # heap of (-start, last, hi, lo, bucket): the innermost open range first
-        at = None  # first address not yet given to a range
-
-        def upto(stop, out):
-            nonlocal at
-            while active and (stop is None or at < stop):
-                _, _, hi, lo, bucket = active[0]
-                if hi < at:
-                    heapq.heappop(active)
-                    continue
-                to = hi if stop is None else min(hi, stop - 1)
-                out.append((bucket, at, to, lo, hi))
-                at = to + 1
-            at = stop
-
-        for pdf in batches:
-            out = []
-            for bucket, lo, hi, start, last in zip(*(pdf[c].tolist() for c in cols)):
-                upto(lo, out)
-                heapq.heappush(active, (-start, last, hi, lo, bucket))
-            yield pd.DataFrame(out, columns=out_cols).astype("int64")
-        out = []
-        upto(None, out)
-        yield pd.DataFrame(out, columns=out_cols).astype("int64")
-
-    return sweep
-
-
-def _disjoint_pieces(exploded: DataFrame, range_cols: list[str], start: str, end: str, bits: int, end_inclusive: bool) -> DataFrame:
-    """The bucketed ranges cut into disjoint pieces ``[_FROM, _TO]`` with the columns of the
-    innermost range on each, pinned by a checkpoint.
-
-    Ranges are clipped to their bucket, and of those with equal clipped bounds only the
-    winner is kept (map-side combined), so a bucket holds each pair of bounds once: for CIDR
-    blocks at most ``2^(bits + 1)`` rows whatever the table's size. A task sweeps its sorted
-    buckets as a stream and holds the open ranges only. Empty ranges (start after end) take
-    no part.
-    """
-    lo, hi, first, last = "__lo", "__hi", "__first", "__last"
-    ends = exploded.withColumns({first: F.col(start).cast("bigint"), last: _last(end, end_inclusive).cast("bigint")})
-    low = F.shiftleft(F.col(_BUCKET).cast("bigint"), bits)
-    clipped = ends.where(F.col(first) <= F.col(last)).select(
-        F.col(_BUCKET).cast("bigint").alias(_BUCKET),
-        F.greatest(F.col(first), low).alias(lo),
-        F.least(F.col(last), low + F.lit((1 << bits) - 1)).alias(hi),
-        F.struct(F.col(first), (-F.col(last)).alias("__neg"), *[F.col(f"`{c}`") for c in range_cols]).alias("__r"),
-    )
-    best = clipped.groupBy(_BUCKET, lo, hi).agg(F.max("__r").alias("__r"))
-    schema = ", ".join(f"`{c}` bigint" for c in (_BUCKET, _FROM, _TO, lo, hi))
-    bounds = best.select(_BUCKET, lo, hi, F.col(f"__r.{first}").alias(first), (-F.col("__r.__neg")).alias(last))
-    ordered = bounds.repartition(F.col(_BUCKET)).sortWithinPartitions(lo)
-    sweep = _bounds_sweep([_BUCKET, lo, hi, first, last], [_BUCKET, _FROM, _TO, lo, hi])
-    pieces = ordered.mapInPandas(sweep, schema)
-    won = pieces.join(best, [_BUCKET, lo, hi])
-    ensure_checkpoint_dir(exploded.sparkSession)
-    out = won.select(_BUCKET, _FROM, _TO, *[F.col(f"__r.`{c}`").alias(c) for c in range_cols])
-    return out.checkpoint(eager=True)  # measured and joined without sweeping again
-
-
-def _pieces(ranges, start, end, bits, end_inclusive, resolve_overlaps) -> tuple[DataFrame, Size | None]:
-    """The range table by bucket as disjoint pieces, and its size where it is known."""
-    exploded = _bucketed_ranges(ranges, start, end, bits, end_inclusive)
-    size, resolve = None, resolve_overlaps
-    if resolve_overlaps == "auto":
-        size, resolve = _profile_buckets(exploded, start, end, end_inclusive)
-    if resolve:
-        return _disjoint_pieces(exploded, ranges.columns, start, end, bits, end_inclusive), None
-    return exploded.withColumns({_FROM: F.col(start), _TO: _last(end, end_inclusive)}), size
+    _, hit, widths = _profile_buckets(exploded)
+    return hit or _widths_overlap(exploded, widths)
 
 
 def range_lookup(
@@ -214,22 +173,22 @@ def range_lookup(
     end_inclusive: bool = True,
     bucket_bits: int = 16,
     resolve_overlaps: str | bool = "auto",
-    prefix_len: str = "prefix_len",
     max_broadcast_bytes: int | None = None,
     group_bits: int = 16,
 ) -> DataFrame:
     """Rows of ``df`` with the columns of the range containing ``df[key]``.
 
-    ``how="inner"`` drops keys without a range; ``how="left"`` keeps them with nulls.
-    ``end_inclusive=False`` treats ``end`` as exclusive (the last address never matches).
-    ``strategy``: ``bucket`` (default), ``between`` (nested-loop join against a broadcast
-    range table, for very small tables; over the broadcast bound it raises), ``prefix`` (CIDR only: one candidate network per
-    prefix length present, equi-join), ``pandas`` (sorted search in pandas;
-    address blocks ``key >> group_bits`` are dealt over groups, four a shuffle partition and 256
-    at least, so IPv4 keys give a group at most ``2^32 / 256`` distinct keys and blocks with
-    many of them spread).
+    Bounds and keys are bigints of any size. ``how="inner"`` drops keys without a range;
+    ``how="left"`` keeps them with nulls. ``end_inclusive=False`` treats ``end`` as exclusive
+    (the last address never matches). Ranges with a null bound or with start after end match
+    nothing. ``strategy``: ``bucket`` (default; overlapping ranges go to ``prefix``),
+    ``between`` (nested-loop join against a broadcast range table, for very small tables; over
+    the broadcast bound it raises), ``prefix`` (aligned blocks, found by halving the levels
+    present), ``pandas`` (sorted search in pandas; address blocks ``key >> group_bits`` are dealt
+    over groups, four a shuffle partition and 256 at least, so IPv4 keys give a group at most
+    ``2^32 / 256`` distinct keys and blocks with many of them spread).
     ``resolve_overlaps``: ``auto`` looks for overlaps, ``True`` and ``False`` say that there are
-    some or none (with ``False`` a key in two ranges comes twice).
+    some or none (with ``False`` a key in two ranges of one bucket width comes twice).
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
@@ -237,13 +196,16 @@ def range_lookup(
         raise ValueError("how must be 'inner' or 'left'")
     _check_names(df, ranges)
     if strategy == "prefix":
-        return _prefix_lookup(df, ranges, key, start, end, prefix_len, how, end_inclusive, max_broadcast_bytes)
+        return _block_lookup(df, ranges, key, start, end, how, end_inclusive, max_broadcast_bytes)
     if strategy == "pandas":
-        pieces, _ = _pieces(ranges, start, end, group_bits, end_inclusive, resolve_overlaps)
-        return _pandas_lookup(df, ranges, pieces, key, how, group_bits, max_broadcast_bytes)
+        return _pandas_lookup(df, ranges, key, start, end, how, end_inclusive, group_bits, max_broadcast_bytes)
 
-    pieces, size = _pieces(ranges, start, end, bucket_bits, end_inclusive, resolve_overlaps)
-    size = size or measure(pieces)
+    pieces = _bucketed_ranges(ranges, start, end, bucket_bits, end_inclusive)
+    size, overlap, widths = _profile_buckets(pieces, resolve_overlaps == "auto")
+    if resolve_overlaps == "auto":
+        overlap = overlap or _widths_overlap(pieces, widths)
+    if overlap or resolve_overlaps is True:
+        return _block_lookup(df, ranges, key, start, end, how, end_inclusive, max_broadcast_bytes)
     small = within_limit(pieces, size, max_broadcast_bytes)
     # Null-tolerant forms of the bucket and the range test: a null-intolerant join key or
     # condition makes the optimizer infer ``isnotnull`` filters and push them into the scan
@@ -256,100 +218,173 @@ def range_lookup(
                 "the range table is over the broadcast bound: use 'bucket'"
             )
         # A range stands in every bucket that it touches: the key's own bucket counts.
-        own = F.coalesce(F.shiftright(F.col(key), bucket_bits) == F.col(_BUCKET), F.lit(False))
+        own = F.coalesce(shr(key, F.col(_WIDTH)) == F.col(_BUCKET), F.lit(False))
         joined = df.join(F.broadcast(pieces), own & in_range, how)
         return joined.select(*df.columns, *ranges.columns)
-    bucket = F.shiftright(F.col(key), bucket_bits)
-    if small:
-        bucket = F.coalesce(bucket, F.lit(_NO_BUCKET))
-    # In a shuffle null buckets would meet in one task: the join leaves or drops them before it.
-    joined = skew_aware_join(
-        df.withColumn(_BUCKET, bucket), pieces, [_BUCKET], how, in_range,
-        max_broadcast_bytes=max_broadcast_bytes, small_size=size,
-    )
-    return joined.select(*df.columns, *ranges.columns)
-
-
-def _prefix_lookup(df, ranges, key, start, end, plen, how, end_inclusive, max_broadcast_bytes) -> DataFrame:
-    """Longest-prefix match by candidate networks, one per prefix length present."""
-    # One job: a bound on the bytes of the table that would be broadcast, whose map entries
-    # take 8-byte slots per field, padding and headers; and the distinct prefix lengths (at
-    # most 33: 0..32).
-    entry = row_width(ranges) + F.lit(96 + 15 * len(ranges.columns))
-    prof = ranges.agg(
-        F.sum(entry).alias("b"),
-        F.array_sort(F.collect_set(F.col(plen))).alias("lengths"),
-    ).first()
-    lengths = [int(x) for x in (prof["lengths"] or [])]
-    if not lengths:
-        return _no_match(df, ranges, how)
-    if within_limit(ranges, Size(0, int(prof["b"] or 0)), max_broadcast_bytes):
-        return _prefix_chain(df, ranges, key, start, end, plen, lengths, how, end_inclusive)
-    return _prefix_shuffled(df, ranges, key, start, end, plen, lengths, how, end_inclusive, max_broadcast_bytes)
 
+    def bucket(width: int) -> Column:
+        # In a shuffle null buckets would meet in one task: the join leaves or drops them before it.
+        b = F.shiftright(F.col(key), width)
+        return F.coalesce(b, F.lit(_NO_BUCKET)) if small else b
 
-def _prefix_chain(df, ranges, key, start, end, plen, lengths, how, end_inclusive) -> DataFrame:
-    """Map-only form: the ranges grouped by network start (at most one entry per prefix
-    length each) are broadcast once; the key's masked network is probed at every prefix
-    length, longest first, and the first hit is the longest prefix. The key side is never
-    shuffled, and the probes share one broadcast (the build plan is identical).
+    if len(widths) < 2:
+        joined = skew_aware_join(
+            df.withColumn(_BUCKET, bucket(widths[0] if widths else bucket_bits)), pieces, [_BUCKET], how, in_range,
+            max_broadcast_bytes=max_broadcast_bytes, small_size=size,
+        )
+        return joined.select(*df.columns, *ranges.columns)
+    out, hits = df, []
+    for width in widths:  # disjoint ranges: at most one width has a range for a key
+        own = pieces.where(F.col(_WIDTH) == width)
+        own = own.select(_BUCKET, _FROM, _TO, F.struct(*_cols(ranges)).alias(f"__r{width}"))
+        out = skew_aware_join(
+            out.withColumn(_BUCKET, bucket(width)), own, [_BUCKET], "left", in_range,
+            max_broadcast_bytes=max_broadcast_bytes, small_size=size if small else None,
+        ).drop(_BUCKET, _FROM, _TO)
+        hits.append(F.col(f"__r{width}"))
+    return _unpacked(out.withColumn(_FOUND, F.coalesce(*hits)), df, ranges, how)
 
-    Written as one SQL statement over temporary views so the chain of probes is analysed
-    once rather than once per probe.
-    """
-    spark = df.sparkSession
-    tag = uuid.uuid4().hex[:12]
-    keys_view, nets_view = f"__prefix_keys_{tag}", f"__prefix_nets_{tag}"
-    # One range per (start, prefix length), then per start a map: prefix length -> range.
-    one = ranges.groupBy(start, plen).agg(F.max(F.struct(*[F.col(f"`{c}`") for c in ranges.columns])).alias("__r"))
-    by_start = one.groupBy(F.col(start).alias("__start")).agg(
-        # a network that did not parse has no length and is left out
-        F.map_from_entries(F.collect_list(F.when(F.col(plen).isNotNull(), F.struct(F.col(plen), F.col("__r"))))).alias("__rs")
-    )
-    order = sorted(lengths, reverse=True)
-    masked = {
-        f"__net{i}": F.coalesce(F.shiftleft(F.shiftright(F.col(key), 32 - k), 32 - k), F.lit(_NO_BUCKET))
-        for i, k in enumerate(order)
-    }
-    df.withColumns(masked).createOrReplaceTempView(keys_view)
-    by_start.createOrReplaceTempView(nets_view)
-    k_col = f"d.`{key}`"
-    hits, joins = [], []
-    for i, k in enumerate(order):
-        found = f"b{i}.__rs[{k}]"
-        ok = f"{found} IS NOT NULL" if end_inclusive else f"{k_col} < {found}.`{end}`"
-        hits.append(f"CASE WHEN {ok} THEN {found} END")
-        # Null-tolerant probe key (see range_lookup): a null key has an impossible network.
-        joins.append(f"LEFT JOIN {nets_view} b{i} ON d.__net{i} = b{i}.__start")
-    cols = ", ".join(f"d.`{c}`" for c in df.columns)
-    hint = "/*+ BROADCAST(" + ", ".join(f"b{i}" for i in range(len(order))) + ") */"
-    sql = f"SELECT {hint} {cols}, coalesce({', '.join(hits)}) AS __best FROM {keys_view} d " + " ".join(joins)
-    best = spark.sql(sql)  # analysed here; the views are no longer needed
-    spark.catalog.dropTempView(keys_view)
-    spark.catalog.dropTempView(nets_view)
+
+def _cols(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def _unpacked(found: DataFrame, df: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
+    """The key rows with the columns of the range struct in ``_FOUND``."""
     if how == "inner":
-        best = best.where(F.col("__best").isNotNull())
-    return best.select(*df.columns, *[F.col(f"__best.`{c}`").alias(c) for c in ranges.columns])
+        found = found.where(F.col(_FOUND).isNotNull())
+    return found.select(*_cols(df), *[F.col(f"{_FOUND}.`{c}`").alias(c) for c in ranges.columns])
 
 
-def _prefix_shuffled(df, ranges, key, start, end, plen, lengths, how, end_inclusive, max_broadcast_bytes) -> DataFrame:
-    """Form for range tables over the broadcast bound: distinct keys expanded to their
-    candidate networks, equi-joined, longest prefix per key, pinned, joined back."""
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    host_bits = F.lit(32) - F.col("__plen")
-    cand = keys.withColumn("__plen", F.explode(F.array(*[F.lit(int(x)) for x in lengths])))
-    cand = cand.withColumn("__net", shl(shr(F.col(key), host_bits), host_bits))
-    nets = ranges.withColumns({"__net": F.col(start), "__plen": F.col(plen)})
-    cond = None if end_inclusive else F.col(key) < F.col(end)
-    matched = skew_aware_join(cand, nets, ["__net", "__plen"], "inner", cond, max_broadcast_bytes=max_broadcast_bytes)
-    row = [F.col(f"`{c}`") for c in ranges.columns]
-    best = F.max_by(F.struct(*row), F.struct(F.col("__plen"), *row))
-    per_key = matched.groupBy(key).agg(best.alias("__best"))
-    per_key = per_key.select(key, *[F.col(f"__best.`{c}`").alias(c) for c in ranges.columns])
+def _aligned_blocks(ranges: DataFrame, start: str, end: str, end_inclusive: bool) -> DataFrame:
+    """``(_LEVEL, _NET, _WIN)``: the innermost range of every aligned block that a range is made of.
+
+    At level b the range's blocks are those of ``2^b`` keys from ``ceil(start / 2^b)`` to before
+    ``floor((last + 1) / 2^b)`` that are not part of a wider one: the first if its number is odd,
+    the last if its number is even. Sums are kept below 2^63.
+    """
+    one = F.lit(1).cast("bigint")
+    s, e = F.col(_FROM), F.col(_TO)
+    bounds = ranges.select(F.col(start).cast("bigint").alias(_FROM), _last(end, end_inclusive).cast("bigint").alias(_TO),
+                           F.struct(*_cols(ranges)).alias("__r")).where(s <= e)
+    # Below the trailing zeros of start and of last + 1 there are no blocks, nor above the width.
+    ends = s.bitwiseOR(F.bitwise_not(e))
+    low = F.when(ends == F.lit(-(2**63)), F.lit(63)).otherwise(F.bit_count(ends.bitwiseAND(F.bitwise_not(ends) + one) - one))
+    high = F.least(F.lit(63), F.ceil(F.log2(e.cast("double") - s.cast("double") + F.lit(1.0))).cast("int"))
+    bounds = bounds.withColumns({"__low": low, "__high": F.greatest(low, high)})
+
+    def at(b: Column) -> Column:
+        mask = F.when(b == 0, F.lit(0).cast("bigint")).otherwise(F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), F.lit(64) - b))
+        first = shr(s, b) + F.when(s.bitwiseAND(mask) != 0, one).otherwise(one - one)
+        final = shr(e, b) - F.when(e.bitwiseAND(mask) == mask, one - one).otherwise(one)
+        left = F.when((first <= final) & (first.bitwiseAND(one) == 1), F.struct(b.alias(_LEVEL), first.alias(_NET)))
+        right = F.when((first <= final) & (final.bitwiseAND(one) == 0), F.struct(b.alias(_LEVEL), final.alias(_NET)))
+        return F.array(left, right)
+
+    several = F.filter(F.flatten(F.transform(F.sequence("__low", "__high"), at)), lambda x: x.isNotNull())
+    # Both ends are borders of level ``low``: within one block of it, the range is that block.
+    only = F.array(F.struct(F.col("__low").alias(_LEVEL), shr(s, F.col("__low")).alias(_NET)))
+    blocks = F.when(shr(s, F.col("__low")) == shr(e, F.col("__low")), only).otherwise(several)
+    order = F.struct(s.alias("s"), F.bitwise_not(e).alias("e"), F.col("__r").alias("r"))
+    each = bounds.select(F.explode(blocks).alias("__b"), order.alias(_WIN))
+    return each.groupBy(F.col(f"__b.{_LEVEL}").alias(_LEVEL), F.col(f"__b.{_NET}").alias(_NET)).agg(F.max(_WIN).alias(_WIN))
+
+
+def _search_paths(levels: list[int]) -> tuple[list[list[int | None]], dict[int, list[int]]]:
+    """The halving search over the levels, widest first: ``steps[d][code]``, the level probed in
+    step d after the outcomes ``code`` (a bit each, 1 for a hit), and for each level the wider
+    ones at which the search must hit to reach it."""
+    spans: list[tuple[int, int] | None] = [(0, len(levels))]
+    steps: list[list[int | None]] = []
+    marks: dict[int, list[int]] = {}
+    turned: list[list[int]] = [[]]
+    while any(spans):
+        steps.append([levels[(x[0] + x[1]) // 2] if x else None for x in spans])
+        next_spans, next_turned = [], []
+        for x, before in zip(spans, turned):
+            mid = (x[0] + x[1]) // 2 if x else 0
+            if x:
+                marks[levels[mid]] = before
+            next_spans += [(x[0], mid) if x and x[0] < mid else None, (mid + 1, x[1]) if x and mid + 1 < x[1] else None]
+            next_turned += [before, [*before, levels[mid]] if x else before]
+        spans, turned = next_spans, next_turned
+    return steps, marks
+
+
+def _marked_blocks(blocks: DataFrame, size: Size, levels: list[int], marks: dict[int, list[int]]) -> DataFrame:
+    """The blocks and their marks at wider levels, each with the innermost range of all blocks
+    that hold it (null for a mark that none holds)."""
+
+    def of_level(c: str, lists: dict[int, list[int]]) -> Column:
+        out = F.lit(None).cast("array<int>")
+        for level, own in lists.items():
+            out = F.when(F.col(c) == level, F.lit(own).cast("array<int>")).otherwise(out)
+        return out
+
+    path = F.explode(of_level(_LEVEL, {level: [level, *wider] for level, wider in marks.items()}))
+    places = blocks.select(path.alias("__w"), _LEVEL, _NET).select("__w", shr(_NET, F.col("__w") - F.col(_LEVEL)).alias("__n")).distinct()
+    holders = F.explode(of_level("__w", {x: [w for w in levels if w >= x] for x in levels}))
+    wider = places.select("__w", "__n", holders.alias(_LEVEL)).withColumn(_NET, shr("__n", F.col(_LEVEL) - F.col("__w")))
+    held = skew_aware_join(wider, blocks, [_LEVEL, _NET], "inner", small_size=size).select("__w", "__n", _WIN)
+    alone = places.withColumn(_WIN, F.lit(None).cast(blocks.schema[_WIN].dataType))
+    best = held.unionByName(alone).groupBy("__w", "__n").agg(F.max(_WIN).alias(_WIN))
+    return best.select(F.col("__w").alias(_LEVEL), F.col("__n").alias(_NET), F.col(f"{_WIN}.r").alias(_WIN))
+
+
+def _block_lookup(df, ranges, key, start, end, how, end_inclusive, max_broadcast_bytes) -> DataFrame:
+    """The innermost range of each key by aligned blocks (see the module's text).
+
+    Blocks and marks within the broadcast bound are probed by broadcast joins that share one
+    table; the keys are not shuffled. Beyond the bound the distinct keys are joined with the
+    blocks at every level present, the best per key is pinned and joined back.
+    """
+    # Pinned: counted, marked and joined without cutting the ranges again.
     ensure_checkpoint_dir(df.sparkSession)
-    per_key = per_key.checkpoint(eager=True)  # measured and joined without recomputing
-    out = skew_aware_join(df, per_key, [key], how, max_broadcast_bytes=max_broadcast_bytes)
-    return out.select(*df.columns, *ranges.columns)
+    blocks = _aligned_blocks(ranges, start, end, end_inclusive).checkpoint(eager=True)
+    profile = blocks.groupBy(_LEVEL).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(row_width(blocks)).alias("b"), F.max(row_width(blocks)).alias("w")
+    ).collect()  # a row a level: 64 at most
+    levels = sorted((r[_LEVEL] for r in profile), reverse=True)
+    if not levels:
+        return _no_match(df, ranges, how)
+    steps, marks = _search_paths(levels)
+    size, widest = Size(0, sum(r["b"] for r in profile)), max(r["w"] for r in profile)
+    bound = Size(0, size.bytes + widest * sum(r["n"] * len(marks[r[_LEVEL]]) for r in profile))
+    small = within_limit(ranges, size, max_broadcast_bytes)
+    if small:
+        # Pinned: every probe reads it, each with a filter of its own.
+        marked = _marked_blocks(blocks, size, levels, marks).checkpoint(eager=True)
+        # Blocks share most of their marks: counted only if the bound without sharing is too large.
+        small = within_limit(marked, bound, max_broadcast_bytes) or fits_broadcast(marked, max_broadcast_bytes)
+    if not small:
+        return _blocks_shuffled(df, ranges, blocks, levels, key, how, max_broadcast_bytes)
+    k = F.col(f"`{key}`")
+    kind = marked.schema[_WIN].dataType
+    out = df.withColumns({"__code": F.lit(0), _FOUND: F.lit(None).cast(kind)})
+    for step in steps:
+        probed = F.get(F.array(*[F.lit(x).cast("int") for x in step]), F.col("__code"))
+        out = out.withColumn("__probe", probed).withColumn("__at", shr(k, F.col("__probe")))
+        out = out.join(F.broadcast(marked), (F.col("__probe") == F.col(_LEVEL)) & (F.col("__at") == F.col(_NET)), "left")
+        hit = F.col(_LEVEL).isNotNull()
+        out = out.select(
+            *_cols(df),
+            (F.col("__code") * 2 + hit.cast("int")).alias("__code"),
+            F.when(hit, F.col(_WIN)).otherwise(F.col(_FOUND)).alias(_FOUND),
+        )
+    return _unpacked(out, df, ranges, how)
+
+
+def _blocks_shuffled(df, ranges, blocks, levels, key, how, max_broadcast_bytes) -> DataFrame:
+    """Form for range tables over the broadcast bound."""
+    k = F.col(f"`{key}`")
+    keys = df.select(k.alias("__k")).where(k.isNotNull()).distinct()
+    places = keys.withColumn(_LEVEL, F.explode(F.lit(levels).cast("array<int>")))
+    places = places.withColumn(_NET, shr(F.col("__k"), F.col(_LEVEL)))
+    matched = skew_aware_join(places, blocks, [_LEVEL, _NET], "inner", max_broadcast_bytes=max_broadcast_bytes)
+    best = matched.groupBy("__k").agg(F.max(_WIN).alias(_WIN))
+    best = best.select(F.col("__k").cast(df.schema[key].dataType).alias(key), F.col(f"{_WIN}.r").alias(_FOUND))
+    best = best.checkpoint(eager=True)  # measured and joined without recomputing
+    return _unpacked(skew_aware_join(df, best, [key], how, max_broadcast_bytes=max_broadcast_bytes), df, ranges, how)
 
 
 def _no_match(df: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
@@ -369,21 +404,32 @@ _NUMPY_DTYPES = {
 }
 
 
-def _bucket_search(key: str, start: str, last: str, out_cols: list[str], dtypes: dict[str, str]):
+def _group_search(key: str, out_cols: list[str], dtypes: dict[str, str]):
     """The per-group search as a closure over plain values: it ships to Python workers by
     value, needing only numpy and pandas there (not this package)."""
 
     def search(keys: pd.DataFrame, rng: pd.DataFrame) -> pd.DataFrame:
-        # Disjoint ranges sorted by start: the candidate for a key is the last range
-        # starting at or before it; it matches when the key is within that range's end.
         if keys.empty or rng.empty:  # zero rows with typed columns (object would not convert)
             return pd.DataFrame({c: pd.Series([], dtype=dtypes[c]) for c in out_cols})
-        rng = rng.sort_values(start, kind="stable")
-        starts = rng[start].to_numpy()
+        # Outer before inner: the wanted range is the last one in this order that begins at or
+        # before the key and ends at or after it.
+        rng = rng.sort_values(["__from", "__to"], ascending=[True, False], kind="stable")
+        starts, lasts = rng["__from"].to_numpy(), rng["__to"].to_numpy()
+        # The nearest range before each that ends later: all between them end too early as well.
+        longer, open_ = np.full(len(lasts), -1), []
+        for i, last in enumerate(lasts.tolist()):
+            while open_ and open_[-1][0] <= last:
+                open_.pop()
+            if open_:
+                longer[i] = open_[-1][1]
+            open_.append((last, i))
         k = keys[key].to_numpy()
         idx = np.searchsorted(starts, k, side="right") - 1
+        late = np.flatnonzero(idx >= 0)
+        while len(late := late[k[late] > lasts[idx[late]]]):
+            idx[late] = longer[idx[late]]
+            late = late[idx[late] >= 0]
         ok = idx >= 0
-        ok[ok] = k[ok] <= rng[last].to_numpy()[idx[ok]]
         hits = rng.iloc[idx[ok]].reset_index(drop=True)
         hits.insert(0, key, k[ok])
         return hits[out_cols]
@@ -391,22 +437,27 @@ def _bucket_search(key: str, start: str, last: str, out_cols: list[str], dtypes:
     return search
 
 
-def _pandas_lookup(df, ranges, pieces, key, how, bits, max_broadcast_bytes) -> DataFrame:
-    """Sorted search per group: distinct keys and the disjoint pieces of the same ``2^bits``-wide
-    blocks meet in one pandas call. A call costs some 10 ms whatever its rows, so a group takes
-    the blocks with one remainder instead of one block."""
+def _pandas_lookup(df, ranges, key, start, end, how, end_inclusive, bits, max_broadcast_bytes) -> DataFrame:
+    """Sorted search per group: distinct keys and the ranges of the same ``2^bits``-wide blocks
+    meet in one pandas call. A call costs some 10 ms whatever its rows, so a group takes the
+    blocks with one remainder instead of one block; a range goes to each group once at most."""
     groups = max(256, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    dealt = F.pmod(F.col(_BUCKET), F.lit(groups))
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    keys = keys.withColumn(_BUCKET, F.shiftright(F.col(key), bits)).withColumn(_BUCKET, dealt)
-    pieces = pieces.withColumn(_BUCKET, dealt)
+    keys = keys.withColumn(_BUCKET, F.pmod(F.shiftright(F.col(key), bits), F.lit(groups)))
+    s, e = F.col(_FROM), F.col(_TO)
+    one = ranges.select(F.col(start).cast("bigint").alias(_FROM), _last(end, end_inclusive).cast("bigint").alias(_TO),
+                        F.struct(*_cols(ranges)).alias("__r")).where(s <= e)
+    one = one.groupBy(_FROM, _TO).agg(F.max("__r").alias("__r"))  # of equal ranges the winner
+    first = F.shiftright(s, bits)
+    dealt = F.transform(F.sequence(first, F.least(F.shiftright(e, bits), first + (groups - 1))), lambda x: F.pmod(x, F.lit(groups)))
+    pieces = one.select(_FROM, _TO, *[F.col(f"__r.`{c}`").alias(c) for c in ranges.columns], F.explode(dealt).alias(_BUCKET))
     key_field = df.schema[key]
     out_schema = T.StructType([T.StructField(key, key_field.dataType, True)] + list(ranges.schema.fields))
     dtypes = {
         f.name: next((d for t, d in _NUMPY_DTYPES.items() if isinstance(f.dataType, t)), "object")
         for f in out_schema.fields
     }
-    search = _bucket_search(key, _FROM, _TO, out_schema.fieldNames(), dtypes)
+    search = _group_search(key, out_schema.fieldNames(), dtypes)
     matches = keys.groupBy(_BUCKET).cogroup(pieces.groupBy(_BUCKET)).applyInPandas(search, out_schema)
     # Pinned once: measuring and joining would otherwise run the pandas search twice.
     ensure_checkpoint_dir(df.sparkSession)

@@ -182,7 +182,7 @@ def _ip_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lookup(spark: SparkSession, sf_dir: str, strategy: str, how: str = "inner") -> DataFrame:
     return range_lookup(
         _ip_keys(spark, sf_dir), _range_table(spark, sf_dir), "ipn",
-        start="s", end="e", prefix_len="plen", strategy=strategy, how=how,
+        start="s", end="e", strategy=strategy, how=how,
     )
 
 
@@ -247,7 +247,7 @@ def _nested_lookup(spark: SparkSession, sf_dir: str, strategy: str, bound: int |
     """Overlapping and equal ranges: the innermost one, of equal ones that with the greatest columns."""
     ranges = cidr_ranges(fx.nested_networks(spark, sf_dir), "network", "s", "e", "plen").drop("network")
     out = range_lookup(
-        _ip_keys(spark, sf_dir), ranges, "ipn", start="s", end="e", prefix_len="plen",
+        _ip_keys(spark, sf_dir), ranges, "ipn", start="s", end="e",
         strategy=strategy, how="left", max_broadcast_bytes=bound,
     )
     return out.select(*RANGE_COLS)
@@ -279,6 +279,55 @@ def ip_pandas_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nested_lookup(spark, sf_dir, "pandas")
 
 
+_WIDE_COLS = ["event_id", "k", "s", "e", "name"]
+
+
+@register(
+    "range_wide",
+    o.with_ctes(
+        ["wide_keys", "wide_ranges"],
+        """SELECT event_id, k, s, e, name FROM wide_keys LEFT JOIN wide_ranges ON k BETWEEN s AND e""",
+    ),
+)
+def range_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Disjoint ranges of one key to more than 2^40 keys."""
+    keys, ranges = fx.wide_keys(spark, sf_dir), fx.wide_ranges(spark, sf_dir)
+    return range_lookup(keys, ranges, "k", start="s", end="e", how="left").select(*_WIDE_COLS)
+
+
+_WIDE_NESTED_SQL = o.with_ctes(
+    ["wide_keys", "wide_nested"],
+    """SELECT event_id, k, s, e, name FROM (
+         SELECT event_id, k, s, e, name, row_number() OVER (PARTITION BY event_id ORDER BY s DESC, e, name DESC) AS place
+         FROM wide_keys LEFT JOIN wide_nested ON k BETWEEN s AND e) WHERE place = 1""",
+)
+
+
+def _wide_nested(spark: SparkSession, sf_dir: str, strategy: str, bound: int | None = None) -> DataFrame:
+    """The same with ranges around them that cross, nest and repeat, one over all keys."""
+    out = range_lookup(
+        fx.wide_keys(spark, sf_dir), fx.wide_nested(spark, sf_dir), "k", start="s", end="e", how="left",
+        strategy=strategy, max_broadcast_bytes=bound,
+    )
+    return out.select(*_WIDE_COLS)
+
+
+@register("range_wide_overlaps", _WIDE_NESTED_SQL)
+def range_wide_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _wide_nested(spark, sf_dir, "bucket")
+
+
+@register("range_wide_overlaps_large", _WIDE_NESTED_SQL)
+def range_wide_overlaps_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with no range table small enough to broadcast."""
+    return _wide_nested(spark, sf_dir, "bucket", 0)
+
+
+@register("range_wide_pandas", _WIDE_NESTED_SQL)
+def range_wide_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _wide_nested(spark, sf_dir, "pandas")
+
+
 @register(
     "ip_lookup_status_invalid",
     o.with_ctes(

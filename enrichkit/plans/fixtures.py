@@ -148,6 +148,33 @@ def nested_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_networks(spark, sf_dir).unionByName(wide)
 
 
+def wide_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(event_id, k)``: a key of up to 52 bits per event."""
+    return ips(spark, sf_dir).select("event_id", (F.col("ipn") * (1 << 24) + F.col("event_id")).alias("k"))
+
+
+def wide_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(s, e, name)``: a range per part (up to four million), 2^41 keys apart. By ``p_size``: one
+    key wide, some thousands, or more than 2^40."""
+    size = F.col("p_size").cast("bigint")
+    width = F.when(size % 10 == 0, size - size).when(size % 10 < 4, size * 1000).otherwise(F.lit(1 << 40) + size)
+    s = F.col("p_partkey").cast("bigint") * (1 << 41)
+    part = table(spark, sf_dir, "part")
+    return part.select(s.alias("s"), (s + width).alias("e"), F.concat(F.lit("part "), F.col("p_partkey").cast("string")).alias("name"))
+
+
+def wide_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide ranges with more around them: groups of 16 under one range that stands there 16
+    times with other names, ranges that cross two neighbours, and one over all keys."""
+    one = wide_ranges(spark, sf_dir)
+    n = F.col("s") / F.lit(1 << 41)
+    low = F.floor(n / 16).cast("bigint") * (1 << 45)
+    group = one.select(low.alias("s"), (low + ((1 << 45) - 1)).alias("e"), F.concat("name", F.lit(" group")).alias("name"))
+    cross = one.select((F.col("s") + (1 << 39)).alias("s"), (F.col("s") + 3 * (1 << 40)).alias("e"), F.concat("name", F.lit(" cross")).alias("name"))
+    every = spark.range(1).select(F.lit(0).cast("bigint").alias("s"), F.lit((1 << 62) + 1).alias("e"), F.lit("all").alias("name"))
+    return one.unionByName(group).unionByName(cross).unionByName(every)
+
+
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(geoname_id, country_name, continent_name)`` from nation and region."""
     nation = table(spark, sf_dir, "nation")

@@ -73,6 +73,19 @@ CTES: dict[str, str] = {
         UNION ALL
         SELECT s // w * w AS s, s // w * w + w - 1 AS e, plen - 4 AS plen, CAST(geoname_id + 100 AS VARCHAR) AS geoname_id
         FROM (SELECT *, CAST(pow(2, 36 - plen) AS BIGINT) AS w FROM blocks)""",
+    "wide_keys": "SELECT event_id, ((event_id * 2654435761) % 268435456) * 16777216 + event_id AS k FROM events",
+    "wide_ranges": """
+        SELECT p_partkey::BIGINT * 2199023255552 AS s,
+          p_partkey::BIGINT * 2199023255552 + CASE WHEN p_size % 10 = 0 THEN 0 WHEN p_size % 10 < 4 THEN p_size::BIGINT * 1000
+                                                   ELSE 1099511627776 + p_size END AS e,
+          'part ' || p_partkey AS name
+        FROM part""",
+    "wide_nested": """
+        SELECT s, e, name FROM wide_ranges
+        UNION ALL SELECT s // 35184372088832 * 35184372088832, s // 35184372088832 * 35184372088832 + 35184372088831, name || ' group'
+        FROM wide_ranges
+        UNION ALL SELECT s + 549755813888, s + 3298534883328, name || ' cross' FROM wide_ranges
+        UNION ALL SELECT 0, 4611686018427387905, 'all'""",
     "patient_events_with_nulls": """
         SELECT id, CASE WHEN CAST(id AS BIGINT) % 5 <> 0 THEN pid END AS pid FROM patient_events""",
     "deid_lookup_doubled": """
@@ -98,6 +111,7 @@ _DEPS: dict[str, list[str]] = {
     "dns_raw": ["dns_parsed"],
     "listed": ["clean_list"],
     "nested_blocks": ["blocks"],
+    "wide_nested": ["wide_ranges"],
     "patient_events_with_nulls": ["patient_events"],
     "deid_lookup_doubled": ["deid_lookup"],
     "alerts": ["dns_parsed", "listed"],

@@ -2,8 +2,11 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from enrichkit.operators.keyed import keep_last
+from enrichkit.operators.ranges import range_lookup
 from enrichkit.plans import fixtures as fx
 from tests.conftest import SMALL
 
@@ -55,3 +58,16 @@ def test_scans_read_only_needed_columns(spark):
     p = plan(Q["ip_range_bucket"](spark, SMALL))
     assert "ReadSchema: struct<event_id:bigint>" in p
     assert "ReadSchema: struct<p_partkey:bigint,p_size:int>" in p
+
+
+def test_overlapping_ranges_need_no_python(spark):
+    for name in ("ip_range_overlaps", "ip_range_overlaps_large", "range_wide_overlaps", "ip_prefix_overlaps"):
+        assert "Pandas" not in (p := plan(Q[name](spark, SMALL))) and "NestedLoopJoin" not in p
+
+
+def test_prefix_lookup_probes_six_times_at_most(spark):
+    """All 33 prefix lengths: six probes of one pinned table."""
+    lengths = spark.range(33).select((F.col("id") * 0).alias("s"), (F.lit(2) ** (32 - F.col("id")) - 1).cast("bigint").alias("e"), F.col("id").alias("n"))
+    found = range_lookup(spark.createDataFrame([(0,), (1,), (1 << 31,), (1 << 32,)], "k bigint"), lengths, "k", start="s", end="e", strategy="prefix", how="left")
+    assert plan(found).split("Initial Plan")[0].count("BroadcastHashJoin") <= 6
+    assert {r.k: r.n for r in found.collect()} == {0: 32, 1: 31, 1 << 31: 0, 1 << 32: None}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from enrichkit.functions import ipv4_to_long
 from enrichkit.operators.geo import geo_enrich
-from enrichkit.operators.ranges import cidr_ranges, range_lookup, ranges_overlap, with_match_status
+from enrichkit.operators.ranges import _search_paths, cidr_ranges, range_lookup, ranges_overlap, with_match_status
 from tests.conftest import rows
 
 STRATEGIES = ["bucket", "between", "prefix", "pandas"]
@@ -219,3 +219,73 @@ def test_invalid_keys_stay_out_of_the_shuffle(spark, blocks):
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert str(-(2**63)) not in plan and "isnotnull" in plan.lower()
         assert out.count() == n
+
+
+# ---- ranges of any width
+
+
+def innermost(k, ranges, inclusive=True):
+    held = [r for r in ranges if r[0] is not None and r[1] is not None and r[0] <= k <= (r[1] if inclusive else r[1] - 1)]
+    return max(held, key=lambda r: (r[0], -r[1], r[2]))[2] if held else None
+
+
+LEAST, MOST = -(2**63), 2**63 - 1
+WIDE = [(LEAST, MOST, "all"), (0, 2**62, "upper"), (0, 2**62, "upper twin"), (2**40, 2**41 - 1, "aligned"), (2**40 + 5, 2**60, "crossing"),
+        (-7, 7, "around zero"), (7, 7, "one"), (MOST, MOST, "last"), (LEAST, LEAST, "first"), (9, 8, "empty"), (None, 5, "open")]
+POINTS = [LEAST, LEAST + 1, -8, -7, -1, 0, 6, 7, 8, 2**40 - 1, 2**40, 2**40 + 5, 2**41 - 1, 2**41, 2**60, 2**60 + 1, 2**62, 2**62 + 1, MOST - 1, MOST]
+
+
+@pytest.mark.parametrize("strategy, bound", [("bucket", None), ("bucket", 0), ("prefix", None), ("pandas", None)])
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_ranges_of_any_width(spark, strategy, bound, inclusive):
+    ranges = WIDE
+    keys = spark.createDataFrame([(k,) for k in [*POINTS, None]], "k bigint")
+    table = spark.createDataFrame(ranges, "s bigint, e bigint, name string")
+    out = range_lookup(keys, table, "k", start="s", end="e", strategy=strategy, how="left", end_inclusive=inclusive, max_broadcast_bytes=bound)
+    assert {r.k: r.name for r in out.collect()} == {k: innermost(k, ranges, inclusive) for k in POINTS} | {None: None}
+
+
+@pytest.mark.parametrize("bound", [None, 0])
+def test_disjoint_ranges_of_several_widths(spark, bound):
+    rng = random.Random(3)
+    ends = sorted(rng.sample(range(0, 2**20), 40) + [2**20 + (x << 30) for x in rng.sample(range(2**12), 40)] + [2**50, 2**58, 2**61, 2**62])
+    ranges = [(a, b - 1, str(a)) for a, b in zip(ends[::2], ends[1::2])]
+    keys = [x + d for x in ends for d in (-1, 0, 1)]
+    out = range_lookup(
+        spark.createDataFrame([(k,) for k in sorted(set(keys))] + [(None,)], "k bigint"),
+        spark.createDataFrame(ranges, "s bigint, e bigint, name string"),
+        "k", start="s", end="e", how="left", max_broadcast_bytes=bound,
+    )
+    assert not ranges_overlap(spark.createDataFrame(ranges, "s bigint, e bigint, name string"), "s", "e")
+    assert {r.k: r.name for r in out.collect()} == {k: innermost(k, ranges) for k in keys} | {None: None}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_crossing_ranges_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    space = rng.choice([60, 5000, 2**45])
+    ranges = []
+    for i in range(120):
+        a = rng.randrange(-space, space)
+        ranges.append((a, a + rng.choice([0, 1, space // 50, space // 3]), f"r{i}"))
+    keys = sorted({rng.randrange(-space, 2 * space) for _ in range(200)} | {r[0] for r in ranges} | {r[1] + 1 for r in ranges})
+    k = spark.createDataFrame([(x,) for x in keys], "k bigint")
+    r = spark.createDataFrame(ranges, "s bigint, e bigint, name string")
+    assert ranges_overlap(r, "s", "e")
+    want = {x: innermost(x, ranges) for x in keys}
+    for bound in (None, 0):
+        out = range_lookup(k, r, "k", start="s", end="e", how="left", max_broadcast_bytes=bound)
+        assert {x.k: x.name for x in out.collect()} == want
+
+
+def test_a_wide_range_over_narrow_ones_is_an_overlap(spark):
+    schema = "s bigint, e bigint"
+    assert ranges_overlap(spark.createDataFrame([(0, 9), (2**50, 2**50 + 3), (20, 2**50)], schema), "s", "e")
+    assert not ranges_overlap(spark.createDataFrame([(0, 9), (2**50, 2**50 + 3), (20, 2**50 - 1)], schema), "s", "e")
+
+
+def test_halving_probes_few_levels():
+    for n, depth in ((1, 1), (10, 4), (33, 6), (64, 7)):
+        steps, marks = _search_paths(list(range(n, 0, -1)))
+        assert len(steps) == depth and set(marks) == set(range(1, n + 1))
+        assert all(len(w) < depth and all(x > level for x in w) for level, w in marks.items())
