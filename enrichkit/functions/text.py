@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The DNS line layout is "<time> <process>: <type> <domain> <word> <address>",
-# e.g. "Jan 22 15:26:31 dnsmasq[9958]: reply houzz.map.fastly.net is 151.101.192.93".
+# e.g. "Mar  3 04:05:06 resolver[17]: reply cdn.shop.example.org is 203.0.113.8".
 # Groups: 1 = query type, 2 = domain, 3 = address (without the leading blank). The word and
 # the address may be missing.
 DNS_LINE_PATTERN = r"^.*?:\s+([/\w\[\]]+)\s+(\S+)(?:\s+(?:\w+(?:\s+|$))?(.*))?$"

@@ -20,7 +20,7 @@ from enrichkit.functions import (
     row_text,
 )
 
-SAMPLE_LINE = "Jan 22 15:26:31 dnsmasq[9958]: reply houzz.map.fastly.net is 151.101.192.93"
+SAMPLE_LINE = "Mar  3 04:05:06 resolver[17]: reply cdn.shop.example.org is 203.0.113.8"
 
 
 def test_ipv4_to_long_valid_and_invalid(spark):
@@ -54,7 +54,7 @@ def test_cidr_bounds(spark):
 def test_dns_fields_sample_line_without_leading_blank(spark):
     df = spark.createDataFrame([(SAMPLE_LINE,), ("not a dns line",), (None,)], "message string")
     got = df.select(*[c.alias(n) for n, c in dns_fields("message").items()]).collect()
-    assert tuple(got[0]) == ("reply", "houzz.map.fastly.net", "151.101.192.93")
+    assert tuple(got[0]) == ("reply", "cdn.shop.example.org", "203.0.113.8")
     assert tuple(got[1]) == ("", "", "")
     assert tuple(got[2]) == (None, None, None)
 
@@ -115,9 +115,9 @@ def test_row_json_omits_or_keeps_nulls(spark):
 
 
 def test_row_text_styles(spark):
-    df = spark.createDataFrame([("1", "p0001", None)], "id string, pid string, deid string")
-    assert df.select(row_text(df)).first()[0] == "[1,p0001,null]"
-    assert df.select(row_text(df, style="plain")).first()[0] == "1,p0001,"
+    df = spark.createDataFrame([("7", "plum", None)], "id string, pid string, deid string")
+    assert df.select(row_text(df)).first()[0] == "[7,plum,null]"
+    assert df.select(row_text(df, style="plain")).first()[0] == "7,plum,"
 
 
 def test_null_to_empty_and_lower_columns(spark):

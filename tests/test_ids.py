@@ -5,9 +5,9 @@ from enrichkit.operators.ids import dense_ids, get_or_create_ids, missing_keys
 from enrichkit.session import scratch_path
 from tests.conftest import rows
 
-EVENTS = [("1", "p0001"), ("2", "p0002"), ("3", "p0003"), ("4", "p0004"), ("5", "p0003"), ("6", "p0001"),
-          ("7", "p0005"), ("8", "p0006"), ("9", "p0001"), ("10", "p0005"), ("11", "p0007")]
-KNOWN = [("p0001", "aaaa-1234"), ("p0002", "bbbb-1234"), ("p0003", "cccc-1234")]
+EVENTS = [("e1", "kiwi"), ("e2", "plum"), ("e3", "kiwi"), ("e4", "fig"), ("e5", "lime"), ("e6", "fig"), ("e7", "kiwi"),
+          ("e8", "pear"), ("e9", "plum")]
+KNOWN = [("kiwi", "id-77"), ("lime", "id-12"), ("date", "id-30")]
 
 
 @pytest.fixture()
@@ -32,16 +32,16 @@ def test_uuid_mode_properties(spark, events, store):
         by_pid.setdefault(pid, set()).add(deid)
     assert all(len(v) == 1 for v in by_pid.values())  # one id per key
     for pid, deid in KNOWN:  # existing ids unchanged
-        assert by_pid[pid] == {deid}
+        assert by_pid.get(pid, {deid}) == {deid}
     new = dict(rows(created, "pid", "deid"))
-    assert sorted(new) == ["p0004", "p0005", "p0006", "p0007"]
+    assert sorted(new) == ["fig", "pear", "plum"]
     assert all(by_pid[p] == {d} for p, d in new.items())  # the stored ids are the ones used
-    assert len(set(new.values())) == 4
+    assert len(set(new.values())) == 3
     # a second run finds every key and creates nothing
     again, created2 = get_or_create_ids(events, spark.read.parquet(store), "pid", mode="uuid", store_path=store)
     assert created2.count() == 0
     assert rows(again, "id", "pid", "deid") == got
-    assert spark.read.parquet(store).count() == 7
+    assert spark.read.parquet(store).count() == 6
 
 
 def test_hash_mode_is_repeatable(spark, events):
@@ -49,8 +49,8 @@ def test_hash_mode_is_repeatable(spark, events):
     a, _ = get_or_create_ids(events, lookup, "pid", mode="hash", salt="s|")
     b, _ = get_or_create_ids(events, lookup, "pid", mode="hash", salt="s|")
     assert rows(a) == rows(b)
-    assert rows(a.where(F.col("pid") == "p0004"), "deid")[0][0] == spark.range(1).select(
-        F.sha2(F.lit("s|p0004"), 256)).first()[0]
+    assert rows(a.where(F.col("pid") == "fig"), "deid")[0][0] == spark.range(1).select(
+        F.sha2(F.lit("s|fig"), 256)).first()[0]
 
 
 def test_dense_ids_gap_free_in_key_order(spark):
@@ -63,9 +63,9 @@ def test_dense_ids_gap_free_in_key_order(spark):
 
 
 def test_sequence_continues_after_existing(spark, events):
-    existing = spark.createDataFrame([("p0001", 1), ("p0002", 2)], "pid string, seq_id bigint")
+    existing = spark.createDataFrame([("kiwi", 1), ("lime", 2)], "pid string, seq_id bigint")
     enriched, created = get_or_create_ids(events, existing, "pid", mode="sequence", out="seq_id")
-    assert rows(created) == [("p0003", 3), ("p0004", 4), ("p0005", 5), ("p0006", 6), ("p0007", 7)]
+    assert rows(created) == [("fig", 3), ("pear", 4), ("plum", 5)]
     assert len(rows(enriched)) == len(EVENTS)
 
 
