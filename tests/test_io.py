@@ -47,10 +47,10 @@ def test_header_lowercase(spark):
 
 
 def test_text_dump(spark):
-    df = spark.createDataFrame([("1", "p0001", "aaaa-1234"), ("2", "p0009", None)], "id string, pid string, deid string")
+    df = spark.createDataFrame([("7", "plum", "id-5"), ("8", "fig", None)], "id string, pid string, deid string")
     path = scratch_path(spark, "sample_deid")
     write_text(df, path)
-    assert rows(spark.read.text(path)) == [("[1,p0001,aaaa-1234]",), ("[2,p0009,null]",)]
+    assert rows(spark.read.text(path)) == [("[7,plum,id-5]",), ("[8,fig,null]",)]
 
 
 def test_keyed_overwrite_keeps_last(spark):
