@@ -4,7 +4,9 @@ A batch of texts is cut into pre-tokens with array operations. Each pre-token se
 first time is encoded once and kept in a table by its hash, so that the usual cost of a word
 is one look-up. New words are encoded together: a greedy longest match over the vocabulary's
 trie proposes tokens for all of them, a vectorised check tests every adjacent pair of tokens,
-and only the words with an incompatible pair go through exact merging.
+and only the words with an incompatible pair go through exact merging. Words of more than
+``LONG`` bytes go straight to a heap (``merging.py``): steps and rounds over all words at once
+would take time in the square of the longest word's length.
 
 Why the check is enough: a sequence of tokens is the BPE encoding exactly if each token is
 the encoding of its own bytes and no merge would have crossed the border of two neighbours.
@@ -26,7 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from enrichkit.llm.arrays import HashTable, gather, slices, texts_of
+from enrichkit.llm.merging import merge_long
 
+LONG = 256
 _NEVER = np.int64(1 << 40)
 _OTHER, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 # Code points that Unicode calls white space, the suffixes that split off.
@@ -95,6 +99,7 @@ class Encoder:
         self.result = np.array(results, np.int64)
         self.pairs = HashTable(len(keys))
         self.pairs.add(np.array(keys, np.uint64), np.arange(len(keys), dtype=np.int32))
+        self.pair_keys, self.pair_dict = keys, None
 
         self._build_trie(twice)
         self.classes = _classes()
@@ -292,6 +297,26 @@ class Encoder:
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of each word: (tokens, number of tokens by word)."""
+        long = [k for k, word in enumerate(words) if len(word) > LONG]
+        if not long:
+            return self._encode_short(words)
+        if self.pair_dict is None:
+            self.pair_dict = dict(zip(self.pair_keys, enumerate(self.result.tolist())))
+        token, count = self._encode_short([w for w in words if len(w) <= LONG])
+        parts = {k: np.array(merge_long(self.byte_id[list(words[k])].tolist(), self.pair_dict), np.int64) for k in long}
+        lengths = np.zeros(len(words), np.int64)
+        short = np.ones(len(words), bool)
+        short[long] = False
+        lengths[short] = count
+        lengths[long] = [len(parts[k]) for k in long]
+        out = np.empty(int(lengths.sum()), np.int64)
+        out[np.repeat(short, lengths)] = token
+        out[np.repeat(~short, lengths)] = np.concatenate([parts[k] for k in long])
+        return out, lengths
+
+    def _encode_short(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         flat = np.frombuffer(b"".join(words), np.uint8)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(lengths)

@@ -43,6 +43,13 @@ def test_fuzz_equals_the_library():
     check(texts + ["", "a" * 3000, " " * 300 + "x", "'ll've 's's", "<|endoftext|>", "a<|endoftext|><|endoftext|>b <|endo"])
 
 
+@pytest.mark.parametrize("alphabet", ["abcdefghijklmnopqrstuvwxyz", "中文字的一是不了人我在有他这", "ab", "a"])
+def test_very_long_words(alphabet):
+    rng = random.Random(9)
+    sizes = (200, 257, 300, 5_000, 200_000)
+    check(["".join(rng.choices(alphabet, k=n)) for n in sizes] + ["short words between"])
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(), max_size=8))
 def test_any_text(texts):
