@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from enrichkit.functions.text import DEFAULT_MAX_TLD, clean_domain, dns_fields, dns_line_matches
+from enrichkit.operators.bloom import bloom_filter, possible_matches
 from enrichkit.operators.joins import skew_aware_join
-from enrichkit.operators.sizing import fits_broadcast
+from enrichkit.operators.sizing import fits_broadcast, measure
 from enrichkit.session import ensure_checkpoint_dir
 
 # Field order of the malware domain list (CSV without header). The second
@@ -87,6 +88,7 @@ def dns_alerts(
     normalize: bool = False,
     max_tld: int = DEFAULT_MAX_TLD,
     max_broadcast_bytes: int | None = None,
+    max_filter_bytes: int | None = None,
 ) -> DataFrame:
     """One alert per DNS lookup whose domain is on the list, batch or stream.
 
@@ -95,23 +97,28 @@ def dns_alerts(
     the raw list fields; it is cleaned and counted per host here. Lines that do not parse and
     entries without a host never match (they would otherwise meet on '' = '').
 
-    The list's size changes only how the join runs. Within the broadcast bound it is
-    broadcast. Over it a batch takes the skew-aware join, and a stream, where skewed
-    partitions are not split at run time, a salted shuffle join.
+    The list's size changes only how the join runs. The counted list is pinned once in the
+    shared folder. Within the broadcast bound it is broadcast. Over it a Bloom filter of its
+    domains (bounded by ``max_filter_bytes``, the session's broadcast bound by default) is
+    broadcast instead, and only lookups that pass it are shuffled: a batch then takes the
+    skew-aware join, and a stream, where skewed partitions are not split at run time, a salted
+    shuffle join.
     """
     listed = listed_domains(listing, normalize, max_tld)
     first = [c for c in messages.columns if c not in _ALERT_FIELDS]
     parsed = _matchable(messages.select(*[F.col(f"`{c}`") for c in messages.columns if c in first]), message_col, normalize)
-    if not messages.isStreaming:
-        joined = skew_aware_join(parsed, listed, ["domain"], "inner", max_broadcast_bytes=max_broadcast_bytes)
+    ensure_checkpoint_dir(listing.sparkSession)
+    listed = listed.checkpoint(eager=True)
+    size = measure(listed)
+    if fits_broadcast(listed, max_broadcast_bytes, size):
+        joined = parsed.join(F.broadcast(listed), "domain", "inner")
     else:
-        # The list is static: pinned once in the shared folder, read by every micro-batch.
-        ensure_checkpoint_dir(listing.sparkSession)
-        listed = listed.checkpoint(eager=True)
-        if fits_broadcast(listed, max_broadcast_bytes):
-            joined = parsed.join(F.broadcast(listed), "domain", "inner")
+        bloom = bloom_filter(listed, "domain", size.rows, max_bytes=max_filter_bytes)
+        likely = parsed if bloom is None else possible_matches(parsed, "domain", bloom)
+        if messages.isStreaming:
+            joined = _salted_stream_join(likely, listed)
         else:
-            joined = _salted_stream_join(parsed, listed)
+            joined = skew_aware_join(likely, listed, ["domain"], "inner", max_broadcast_bytes=max_broadcast_bytes, small_size=size)
     return joined.select(*[F.col(f"`{c}`") for c in first], *_ALERT_FIELDS)
 
 

@@ -108,6 +108,12 @@ def dns_blocklist_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerts(spark, sf_dir)
 
 
+@register("dns_blocklist_join_large", _ALERTS_SQL)
+def dns_blocklist_join_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with no list small enough to broadcast: a Bloom filter of it goes first."""
+    return dns_alerts(fx.dns_messages(spark, sf_dir), fx.domain_list(spark, sf_dir), max_broadcast_bytes=0)
+
+
 @register(
     "dns_long_tld",
     o.with_ctes(

@@ -36,7 +36,7 @@ def test_prefix_lookup_is_map_only(spark):
 def test_blocklist_join_broadcasts_the_reduced_list(spark):
     p = plan(Q["dns_blocklist_join"](spark, SMALL))
     assert re.search(r"BroadcastHashJoin \[domain#\d+\]", p)
-    assert "partial_count" in p and "collect_list" not in p  # counted per host before the join
+    assert "collect_list" not in p and "Exchange hashpartitioning" not in p  # counted per host and pinned before the join
 
 
 def test_value_counts_one_shuffle_with_partial_aggregate(spark):
