@@ -28,6 +28,18 @@ def missing_keys(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     return distinct_keys(df, key).join(lookup.select(key), key, "left_anti")
 
 
+def known_ids(df: DataFrame, lookup: DataFrame, key: str, out: str = "deid") -> DataFrame:
+    """Each distinct key of ``df`` with its smallest id in ``lookup``, null where it has none yet;
+    pinned, so that the lookup is read once, whatever is done with the result.
+
+    The join keeps the partitioning of the distinct keys for the aggregate after it: the lookup
+    is exchanged once at most.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    found = distinct_keys(df, key).join(lookup.select(key, out), key, "left")
+    return found.groupBy(key).agg(F.min(out).alias(out)).checkpoint(eager=True)
+
+
 def hash_ids(keys: DataFrame, key: str, salt: str, out: str = "deid") -> DataFrame:
     """Repeatable ids: hex SHA-256 of ``salt`` followed by the key."""
     return keys.withColumn(out, F.sha2(F.concat(F.lit(salt), F.col(key).cast("string")), 256))
@@ -89,8 +101,9 @@ def new_ids(
     if mode == "uuid":
         return uuid_ids(missing, out)
     if mode == "sequence":
-        start = lookup.select((F.coalesce(F.max(out), F.lit(0)) + F.lit(1)).cast("bigint")).scalar()
-        return dense_ids(missing, key, start, out)
+        # Read now: the store may grow before the ids are used.
+        greatest = lookup.agg(F.max(out).cast("bigint").alias("m")).first()["m"]
+        return dense_ids(missing, key, (greatest or 0) + 1, out)
     raise ValueError(f"mode must be one of {MODES}")
 
 
@@ -111,17 +124,16 @@ def get_or_create_ids(
     Returns ``(events with out column, new mappings)``. With ``store_path`` the new
     mappings are appended to the lookup store. Every event stays once: one with a null key
     has no id (``how="inner"`` drops it), and of a key that the lookup holds twice, as after
-    two concurrent runs, the smallest id counts. One id
+    two concurrent runs, the smallest id counts; one that it holds without an id gets one. One id
     per distinct key within a run; concurrent runs need a transactional table to stay
     unique.
     """
-    missing = missing_keys(events, lookup, key)
-    # The final (key, id) pairs are pinned: storing, measuring and joining them must see the
-    # same ids, also after the store (and so a lookup read from it) has grown.
-    ensure_checkpoint_dir(events.sparkSession)
-    created = new_ids(missing, key, mode, out, lookup, salt).select(key, out).checkpoint(eager=True)
-    known = lookup.select(key, out).unionByName(created).where(F.col(key).isNotNull())
-    mapping = known.groupBy(key).agg(F.min(out).alias(out))
+    state = known_ids(events, lookup, key, out)
+    missing = state.where(F.col(out).isNull()).select(key)
+    # The keys are pinned, and the ids follow from them or are pinned themselves: storing,
+    # measuring and joining them see the same ids, also after the store has grown.
+    created = new_ids(missing, key, mode, out, lookup, salt).select(key, out)
+    mapping = state.where(F.col(out).isNotNull()).unionByName(created)
     if store_path is not None:
         created.write.mode("append").format(store_format).save(store_path)
     return skew_aware_join(events, mapping, [key], how), created

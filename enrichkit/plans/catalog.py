@@ -28,6 +28,7 @@ from enrichkit.operators.ids import dense_ids, distinct_keys, get_or_create_ids,
 from enrichkit.operators.joins import skew_aware_join
 from enrichkit.operators.profile import map_value_counts, value_counts
 from enrichkit.operators.ranges import cidr_ranges, range_lookup, store_ranges, with_match_status
+from enrichkit.operators.store import KeyedTable
 from enrichkit.session import scratch_path
 from enrichkit.sinks.files import create_table_as, keyed_overwrite, write_csv, write_documents, write_text
 from enrichkit.sources.files import read_csv, read_documents
@@ -48,6 +49,7 @@ from enrichkit.streaming.dns import (
     start_dns_alert_stream,
     start_dns_reject_stream,
 )
+from enrichkit.streaming.ids import create_id_store, start_id_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -593,6 +595,48 @@ def deid_sequence_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched.select("id", "pid", "seq_id", stored.alias("stored"))
 
 
+def _stream_ids(spark: SparkSession, sf_dir: str, mode: str) -> tuple[DataFrame, DataFrame]:
+    """The patient events, with null keys, as a stream of four files; rows with ids, and the store."""
+    root = scratch_path(spark, "id_stream")
+    fx.patient_events_with_nulls(spark, sf_dir).repartition(4, "id").write.json(f"{root}/in")
+    lookup = fx.deid_lookup(spark, sf_dir)
+    out = "deid"
+    if mode == "sequence":
+        lookup, out = dense_ids(lookup, "pid"), "seq_id"
+    create_id_store(lookup, f"{root}/store", "pid", out)
+    events = spark.readStream.schema("id string, pid string").option("maxFilesPerTrigger", 1).json(f"{root}/in")
+    start_id_stream(
+        events, store_path=f"{root}/store", out_path=f"{root}/out", checkpoint_location=f"{root}/checkpoint",
+        key="pid", mode=mode, out=out, salt=fx.NEW_ID_SALT, trigger={"availableNow": True},
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("id", "pid", out), spark.read.parquet(f"{root}/store").select("pid", out)
+
+
+@register("stream_deid_get_or_create", ORACLE["deid_null_keys"])
+def stream_deid_get_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Get-or-create on a stream: the rows of the batch run."""
+    return _stream_ids(spark, sf_dir, "hash")[0]
+
+
+@register(
+    "stream_deid_sequence",
+    o.with_ctes(
+        ["patient_events_with_nulls", "deid_lookup"],
+        """SELECT count(*) AS keys, min(n) AS least, max(n) AS greatest, count(DISTINCT n) AS ids
+           FROM (SELECT row_number() OVER () AS n FROM (
+             SELECT pid FROM deid_lookup UNION SELECT pid FROM patient_events_with_nulls WHERE pid IS NOT NULL))""",
+    ),
+)
+def stream_deid_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sequence on a stream: the stored ids are 1 to the number of keys, without gaps or repeats
+    (which key gets which new id depends on the order of the files)."""
+    store = _stream_ids(spark, sf_dir, "sequence")[1]
+    return store.agg(
+        F.countDistinct("pid").alias("keys"), F.min("seq_id").alias("least"),
+        F.max("seq_id").alias("greatest"), F.countDistinct("seq_id").alias("ids"),
+    )
+
+
 # --- Files, documents and tables ----------------------------------------------------------
 
 
@@ -687,6 +731,38 @@ def keyed_overwrite_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@register(
+    "keyed_merge",
+    """SELECT l_orderkey AS key, l_linenumber AS n, CASE WHEN l_orderkey % 10 = 3 THEN -v ELSE v END AS v FROM (
+         SELECT l_orderkey, l_linenumber, l_quantity AS v, row_number() OVER (PARTITION BY l_orderkey
+                ORDER BY l_linenumber DESC, l_quantity DESC) AS rn FROM lineitem) WHERE rn = 1
+       UNION ALL SELECT -o_orderkey, 0, 1 FROM orders WHERE o_orderkey % 10 = 3""",
+)
+def keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of one keyed table: all line items, then for the orders that end in 3 changed
+    rows and rows with new keys."""
+    rows = fx.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("n"), F.col("l_quantity").alias("v")
+    )
+    store = KeyedTable(spark, scratch_path(spark, "keyed_table"), "key", rows.schema)
+    store.merge(rows, ["n"])
+    changed = rows.where(F.col("key") % 10 == 3).withColumn("v", -F.col("v"))
+    fresh = fx.table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 10 == 3)
+    fresh = fresh.select((-F.col("o_orderkey")).alias("key"), F.lit(0).alias("n"), F.lit(1).alias("v"))
+    # Of equal line numbers the least negative, which was the smallest quantity: order by its opposite.
+    store.merge(changed.withColumn("w", -F.col("v")).unionByName(fresh.withColumn("w", F.lit(0))), ["n", "w"])
+    return store.read()
+
+
+@register("deid_point_reads", ORACLE["deid_lookup_existing"])
+def deid_point_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup as a keyed table, from which only buckets with wanted keys are read."""
+    lookup = fx.deid_lookup(spark, sf_dir)
+    store = KeyedTable(spark, scratch_path(spark, "deid_table"), "pid", lookup.schema)
+    store.merge(lookup)
+    return store.enrich(fx.patient_events(spark, sf_dir)).select("id", "pid", "deid")
+
+
 @register(
     "keyed_index_csv_job",
     """SELECT CAST(o_custkey AS VARCHAR) AS recordid, CAST(o_orderkey AS VARCHAR) AS n,
