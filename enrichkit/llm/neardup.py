@@ -333,16 +333,24 @@ def near_duplicates(
     )
 
 
-def _with_keys(docs: DataFrame, words: int) -> DataFrame:
-    """All columns of ``docs`` and _key, the key of the row's set (null if empty)."""
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    held = {c.lower() for c in docs.columns}
+    while name in held:
+        name += "_"
+    return name
+
+
+def _with_keys(docs: DataFrame, words: int, name: str) -> DataFrame:
+    """All columns of ``docs`` and ``name``, the key of the row's set (null if empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text"):
             sets = [shingle_set(t, words) for t in texts_of(batch)]
             keys = pa.array([_key(s) if len(s) else None for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, "_key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_key", BinaryType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, one_row: bool = True) -> DataFrame:
@@ -367,13 +375,14 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, one_row: boo
     if repeated.isEmpty():
         return kept.union(nameless)
     once = kept.join(repeated, "doc_id", "left_anti")
+    its, own, label, row, mine = (_unused(docs, x) for x in ("_its", "_id", "_label", "_row", "_key"))
     keys = stays.join(repeated, "doc_id", "left_semi").select(
-        F.col("doc_id").alias("_id"), F.col("key").alias("_its"), F.col("label").alias("_label")
+        F.col("doc_id").alias(own), F.col("key").alias(its), F.col("label").alias(label)
     )
     # Rows, not ids: each row of a repeated id by the key of its own text.
-    several = _with_keys(kept.join(repeated, "doc_id", "left_semi"), words)
-    several = several.join(keys, (F.col("doc_id") == F.col("_id")) & F.col("_key").eqNullSafe(F.col("_its")))
-    order = F.struct(F.col("_key").isNull(), F.col("text").isNull(), F.col("text"))
-    parts = ["doc_id"] if one_row else ["doc_id", "_label", F.when(F.col("_key").isNull(), F.col("text"))]
-    chosen = several.groupBy(*parts).agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))
-    return once.union(chosen.select("_row.*")).union(nameless)
+    several = _with_keys(kept.join(repeated, "doc_id", "left_semi"), words, mine)
+    several = several.join(keys, (F.col("doc_id") == F.col(own)) & F.col(mine).eqNullSafe(F.col(its)))
+    order = F.struct(F.col(mine).isNull(), F.col("text").isNull(), F.col("text"))
+    parts = ["doc_id"] if one_row else ["doc_id", label, F.when(F.col(mine).isNull(), F.col("text"))]
+    chosen = several.groupBy(*parts).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias(row))
+    return once.union(chosen.select(f"{row}.*")).union(nameless)

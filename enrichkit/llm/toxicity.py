@@ -204,7 +204,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
         for label in (0, 1)
     ]
     picked = pick[0].unionByName(pick[1])
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "text")
+    # Of the texts of one id the least counts, once for each label, whatever the rows' order.
+    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def bags(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text"):
@@ -219,10 +220,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
                 ["doc_id", "toxic", "buckets", "weights"],
             )
 
-    # A document that stands twice in the table is used once for each label.
     path = scratch_path(docs.sparkSession, "toxic-bags")
     schema = "doc_id bigint, toxic int, buckets array<int>, weights array<float>"
-    sample.mapInArrow(bags, schema).dropDuplicates(["doc_id", "toxic"]).write.parquet(path)
+    sample.mapInArrow(bags, schema).write.parquet(path)
     made = docs.sparkSession.read.parquet(path)
     # At most BUCKETS rows of counts, then the few informative buckets of each bag.
     totals = made.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
