@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from enrichkit.llm.catalog import tokenizer_path
 from enrichkit.llm.neardup import one_of_each
 from enrichkit.llm.packing import pack_documents
-from enrichkit.llm.quality import passes, quality_ledger
+from enrichkit.llm.quality import MEASURES, passes, quality_ledger
 from enrichkit.llm.secrets import redact_documents
 from enrichkit.llm.tables import bound_batches, table
 from enrichkit.llm.toxicity import keep_clean, train
@@ -28,7 +28,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass all quality rules."""
     bound_batches(spark)
-    return quality_ledger(docs, keep=docs.columns).filter(passes("v1")).select(docs.columns)
+    # Columns that are called like a measurement step aside.
+    own = {c: f"{c}__of_the_document" for c in docs.columns if c in {*MEASURES, "fail_bits"}}
+    kept = docs.withColumnsRenamed(own)
+    passed = quality_ledger(kept, keep=kept.columns).filter(passes("v1")).select(kept.columns)
+    return passed.withColumnsRenamed({new: old for old, new in own.items()})
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
