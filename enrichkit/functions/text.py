@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 # The DNS line layout is "<time> <process>: <type> <domain> <word> <address>",
 # e.g. "Mar  3 04:05:06 resolver[17]: reply cdn.shop.example.org is 203.0.113.8".
 # Groups: 1 = query type, 2 = domain, 3 = address (without the leading blank). The word and
-# the address may be missing.
-DNS_LINE_PATTERN = r"^.*?:\s+([/\w\[\]]+)\s+(\S+)(?:\s+(?:\w+(?:\s+|$))?(.*))?$"
+# the address may be missing, and the type where its two blanks are left.
+DNS_LINE_PATTERN = r"^.*?:(?:\s+([/\w\[\]]+)|\s)\s+(\S+)(?:\s+(?:\w+(?:\s+|$))?(.*))?$"
 
 # A host name is one or more labels of 1-63 letters, digits or inner hyphens,
 # each followed by a dot, then a top-level domain of 2 to ``max_tld`` letters (default 63, the longest label).

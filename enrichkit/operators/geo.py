@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from enrichkit.functions.net import ipv4_to_long
-from enrichkit.operators.joins import skew_aware_join
+from enrichkit.operators.joins import check_names, skew_aware_join
 from enrichkit.operators.ranges import cidr_ranges, range_lookup
 
 _IPN = "__ipn"
@@ -29,7 +29,10 @@ def geo_enrich(
 
     ``blocks`` holds CIDR text in ``network_col`` and ``geoname_col``; ``names`` is keyed by
     ``geoname_col``. With ``how="inner"`` rows without a block or a name are dropped.
+    A name that stands in two of the three tables, the key aside, raises a ``ValueError``.
     """
+    check_names(blocks, names, [geoname_col])
+    check_names(df, names, [])
     ranges = cidr_ranges(blocks, network_col, "__start", "__end", "__plen")
     keyed = df.withColumn(_IPN, ipv4_to_long(F.col(ip_col)))
     looked = range_lookup(

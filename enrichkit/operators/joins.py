@@ -37,6 +37,14 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(df.sparkSession.conf.get(key, str(default)))
 
 
+def check_names(left: DataFrame, right: DataFrame, on: list[str]) -> None:
+    """Raises if a column that is not a key is on both sides (names compare without case)."""
+    keys = {c.lower() for c in on}
+    clash = {c.lower() for c in left.columns} & {c.lower() for c in right.columns} - keys
+    if clash:
+        raise ValueError(f"columns on both sides of the join: {sorted(clash)}")
+
+
 def join_on(
     left: DataFrame,
     right: DataFrame,
@@ -45,7 +53,8 @@ def join_on(
     condition: Column | None = None,
 ) -> DataFrame:
     """Join on equal ``on`` columns plus ``condition``; key columns appear once (left's),
-    columns in the order of ``left`` then ``right``."""
+    columns in the order of ``left`` then ``right``. Raises if another column is on both sides."""
+    check_names(left, right, on)
     if condition is None:
         joined = left.join(right, on=on, how=how)
         if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):

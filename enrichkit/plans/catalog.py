@@ -79,7 +79,7 @@ def dns_line_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "extract_domain",
-    f"SELECT page_id, regexp_extract(url, '{o.DOM}', 0) AS domain FROM pages",
+    "SELECT page_id, split_part(split_part(url, '/', 3), ':', 1) AS domain FROM pages",
 )
 def extract_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = fx.table(spark, sf_dir, "pages")
@@ -789,9 +789,10 @@ def keyed_index_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ctas_limit", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10")
 def ctas_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "report_" + scratch_path(spark, "t").rsplit("-", 1)[1]
-    return create_table_as(
-        fx.table(spark, sf_dir, "orders"), name, limit=10, order_by=["o_orderkey"], path=scratch_path(spark, name)
-    )
+    path = scratch_path(spark, name)
+    create_table_as(fx.table(spark, sf_dir, "orders"), name, limit=10, order_by=["o_orderkey"], path=path)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    return spark.read.parquet(path)
 
 
 # --- Streams ------------------------------------------------------------------------------

@@ -47,7 +47,8 @@ def _pick(index: F.Column, words: list[str]) -> F.Column:
 
 
 def dns_messages(spark: SparkSession, sf_dir: str, tld: str | None = None) -> DataFrame:
-    """``(event_id, message)``: one dnsmasq line per event, some null or unparsable."""
+    """``(event_id, message)``: one dnsmasq line per event, some null or unparsable, some without
+    the type or without what follows the domain."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id")
     n_pages = table(spark, sf_dir, "pages").select(F.count(F.lit(1))).scalar()
     events = events.withColumn("page_id", F.col("event_id") % n_pages)
@@ -58,13 +59,14 @@ def dns_messages(spark: SparkSession, sf_dir: str, tld: str | None = None) -> Da
         F.lit(DNS_PREFIX),
         (F.lit(9000) + eid % 100).cast("string"),
         F.lit("]: "),
-        _pick(eid % 4, DNS_QUERY_WORDS),
+        F.when(eid % 23 == 0, F.lit(" ")).otherwise(_pick(eid % 4, DNS_QUERY_WORDS)),
         F.col("h"),
-        _pick(eid % 4, DNS_LINK_WORDS),
-        F.lit("10.0."),
-        (eid % 256).cast("string"),
-        F.lit("."),
-        (F.col("user_id") % 256).cast("string"),
+        F.when(eid % 29 == 0, F.lit("")).otherwise(
+            F.concat(
+                _pick(eid % 4, DNS_LINK_WORDS), F.lit("10.0."), (eid % 256).cast("string"), F.lit("."),
+                (F.col("user_id") % 256).cast("string"),
+            )
+        ),
     )
     message = (
         F.when(eid % 17 == 0, F.lit(None).cast("string"))

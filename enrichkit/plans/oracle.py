@@ -7,10 +7,6 @@ here again in DuckDB's dialect as CTEs.
 
 from __future__ import annotations
 
-# Spelled here on their own, not taken from the code that they check.
-DNS = r"^.*?:\s+([/\w\[\]]+)\s+(\S+)(?:\s+(?:\w+(?:\s+|$))?(.*))?$"
-DOM = r"([A-Za-z0-9]([A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,63}"
-
 _QUAD = (
     "CAST({x} // 16777216 AS VARCHAR) || '.' || CAST({x} // 65536 % 256 AS VARCHAR) || '.' || "
     "CAST({x} // 256 % 256 AS VARCHAR) || '.' || CAST({x} % 256 AS VARCHAR)"
@@ -18,19 +14,28 @@ _QUAD = (
 
 CTES: dict[str, str] = {
     "hosts": "SELECT page_id, regexp_extract(url, '^https?://([^/:?#]+)', 1) AS h FROM pages",
-    "dns_messages": """
-        SELECT e.event_id,
-          CASE WHEN e.event_id % 17 = 0 THEN NULL
-               WHEN e.event_id % 13 = 0 THEN 'not a dns line'
-               ELSE 'Jan 22 15:26:31 dnsmasq[' || CAST(9000 + e.event_id % 100 AS VARCHAR) || ']: '
-                 || CASE e.event_id % 4 WHEN 0 THEN 'reply ' WHEN 1 THEN 'cached '
-                                        WHEN 2 THEN 'query[A] ' ELSE 'forwarded ' END
-                 || h.h
-                 || CASE e.event_id % 4 WHEN 0 THEN ' is ' WHEN 1 THEN ' is '
-                                        WHEN 2 THEN ' from ' ELSE ' to ' END
-                 || '10.0.' || CAST(e.event_id % 256 AS VARCHAR) || '.' || CAST(e.user_id % 256 AS VARCHAR)
-          END AS message
+    # The fields are those that the line is made of, not what a pattern finds in it.
+    "dns_parts": """
+        SELECT e.event_id, h.h,
+          CASE WHEN e.event_id % 17 = 0 THEN 'none' WHEN e.event_id % 13 = 0 THEN 'odd' ELSE 'line' END AS kind,
+          CASE WHEN e.event_id % 23 = 0 THEN ''
+               ELSE CASE e.event_id % 4 WHEN 0 THEN 'reply' WHEN 1 THEN 'cached' WHEN 2 THEN 'query[A]' ELSE 'forwarded' END
+          END AS query_word,
+          CASE e.event_id % 4 WHEN 0 THEN 'is' WHEN 1 THEN 'is' WHEN 2 THEN 'from' ELSE 'to' END AS link,
+          CASE WHEN e.event_id % 29 = 0 THEN ''
+               ELSE '10.0.' || CAST(e.event_id % 256 AS VARCHAR) || '.' || CAST(e.user_id % 256 AS VARCHAR) END AS tail
         FROM events e JOIN hosts h ON h.page_id = e.event_id % (SELECT count(*) FROM pages)""",
+    "dns_parsed": """
+        SELECT event_id,
+          CASE kind WHEN 'none' THEN NULL WHEN 'odd' THEN 'not a dns line'
+               ELSE 'Jan 22 15:26:31 dnsmasq[' || CAST(9000 + event_id % 100 AS VARCHAR) || ']: ' || query_word || ' ' || h
+                 || CASE WHEN tail = '' THEN '' ELSE ' ' || link || ' ' || tail END
+          END AS message,
+          CASE kind WHEN 'none' THEN NULL WHEN 'odd' THEN '' ELSE query_word END AS query_type,
+          CASE kind WHEN 'none' THEN NULL WHEN 'odd' THEN '' ELSE h END AS domain,
+          CASE kind WHEN 'none' THEN NULL WHEN 'odd' THEN '' ELSE tail END AS address
+        FROM dns_parts""",
+    "dns_messages": "SELECT event_id, message FROM dns_parsed",
     "domain_list": """
         SELECT '2018/01/22_00:00' AS date,
           CASE WHEN page_id % 3 = 0 THEN '-' ELSE h || '/x.php' END AS listed_domain,
@@ -39,17 +44,9 @@ CTES: dict[str, str] = {
           'listed page ' || CAST(page_id AS VARCHAR) AS description,
           '-' AS registrant, '0' AS asn, '0' AS inactive, '-' AS country
         FROM hosts WHERE page_id % 7 = 0""",
-    "dns_parsed": f"""
-        SELECT event_id, message,
-          regexp_extract(message, '{DNS}', 1) AS query_type,
-          regexp_extract(message, '{DNS}', 2) AS domain,
-          regexp_extract(message, '{DNS}', 3) AS address
-        FROM dns_messages""",
-    "clean_list": f"""
-        SELECT * FROM (
-          SELECT *, CASE WHEN listed_domain = '-' THEN regexp_extract(reverse, '{DOM}', 0)
-                         ELSE regexp_extract(listed_domain, '{DOM}', 0) END AS domain
-          FROM domain_list) WHERE domain <> ''""",
+    "clean_list": """
+        SELECT * FROM (SELECT *, CASE WHEN listed_domain <> '-' THEN split_part(listed_domain, '/', 1) WHEN reverse = '-' THEN '' ELSE reverse END AS domain
+                       FROM domain_list) WHERE domain <> ''""",
     "listed": """
         SELECT domain, count(*) AS listing_count FROM clean_list GROUP BY domain""",
     "dns_raw": """
@@ -104,9 +101,10 @@ CTES: dict[str, str] = {
 
 # Which CTEs each CTE needs (dependencies first when emitted).
 _DEPS: dict[str, list[str]] = {
-    "dns_messages": ["hosts"],
+    "dns_parts": ["hosts"],
+    "dns_messages": ["dns_parsed"],
     "domain_list": ["hosts"],
-    "dns_parsed": ["dns_messages"],
+    "dns_parsed": ["dns_parts"],
     "clean_list": ["domain_list"],
     "dns_raw": ["dns_parsed"],
     "listed": ["clean_list"],

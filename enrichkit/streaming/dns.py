@@ -76,7 +76,8 @@ def start_dns_alert_stream(
 
     The list is counted per host and pinned once. Its size decides only how the join runs
     (broadcast, or salted shuffle over the bound): columns, sink, options and the meaning of
-    ``path`` are the same. Records that cannot be matched go to ``start_dns_reject_stream``.
+    ``path`` are the same. Records that cannot be matched go to ``start_dns_reject_stream``; one
+    with a field that is not of its declared type is matched without that field and reported too.
     """
     rows = json_values_to_rows(messages, message_schema)
     alerts = dns_alerts(
@@ -99,19 +100,22 @@ def _start(out, checkpoint_location, sink_format, sink_options, path, trigger, q
 def message_rejects(
     messages: DataFrame, message_schema: StructType | str = MESSAGE_SCHEMA, message_col: str = "message"
 ) -> DataFrame:
-    """``value`` (the raw text) and ``reason`` of each record that cannot be matched, batch or
-    stream: ``no record`` (null), ``broken record`` (not JSON of the declared schema), ``no
-    message`` (the field is absent or null), ``unparsed line``."""
+    """``value`` (the raw text) and ``reason`` of each record that cannot be matched as a whole,
+    batch or stream: ``no record`` (null), ``broken record`` (not JSON of the declared schema, and
+    its message is lost), ``no message`` (the field is absent or null), ``unparsed line``, and
+    ``field lost``: another field is not of its declared type. Only the last kind goes through the
+    match as well, without that field, so it may stand in the alerts too."""
     declared = StructType.fromDDL(message_schema) if isinstance(message_schema, str) else message_schema
     schema = StructType([*declared.fields, StructField(_BROKEN, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
     parsed = messages.select("value", F.from_json("value", schema, options).alias("__rec"))
     message = F.col("__rec")[message_col]
+    broken = F.col("__rec")[_BROKEN].isNotNull()
     reason = (
         F.when(F.col("value").isNull(), "no record")
-        .when(F.col("__rec")[_BROKEN].isNotNull(), "broken record")
-        .when(message.isNull(), "no message")
+        .when(message.isNull(), F.when(broken, "broken record").otherwise("no message"))
         .when(~dns_line_matches(message), "unparsed line")
+        .when(broken, "field lost")
     )
     return parsed.select("value", reason.alias("reason")).where(F.col("reason").isNotNull())
 

@@ -169,3 +169,21 @@ def test_one_search_fields_equal_three_regexp_extracts(spark):
     slow = df.select(*[F.regexp_extract("message", DNS_LINE_PATTERN, i) for i in (1, 2, 3)]).collect()
     assert len(fast) == 8
     assert [tuple(r) for r in fast] == [tuple(r) for r in slow]
+
+
+def test_dns_lines_without_a_type_or_a_tail(spark):
+    lines = {
+        "d[1]:  a.example is 1.2.3.4": ("", "a.example", "1.2.3.4"),
+        "d[1]:  a.example": ("", "a.example", ""),
+        "d[1]: reply a.example": ("reply", "a.example", ""),
+        "d[1]:   reply a.example is 1.2.3.4": ("reply", "a.example", "1.2.3.4"),
+        "d[1]: a.example": ("", "", ""),
+    }
+    df = spark.createDataFrame([(x,) for x in lines], "message string")
+    fields = dns_fields("message")
+    got = {r.message: tuple(r)[1:] for r in df.select("message", *[c.alias(n) for n, c in fields.items()]).collect()}
+    assert got == lines
+    matched = df.where("message <> 'd[1]: a.example'")
+    fields = dns_fields("message", assume_match=True)
+    got = {r.message: tuple(r)[1:] for r in matched.select("message", *[c.alias(n) for n, c in fields.items()]).collect()}
+    assert got == {k: v for k, v in lines.items() if v[1]}

@@ -289,3 +289,11 @@ def test_halving_probes_few_levels():
         steps, marks = _search_paths(list(range(n, 0, -1)))
         assert len(steps) == depth and set(marks) == set(range(1, n + 1))
         assert all(len(w) < depth and all(x > level for x in w) for level, w in marks.items())
+
+
+def test_clashing_names_raise(spark, blocks, names):
+    ips = spark.createDataFrame([("1.1.4.4", "mine")], "ip string, country_name string")
+    with pytest.raises(ValueError, match="country_name"):
+        geo_enrich(ips, blocks, names, "ip")
+    with pytest.raises(ValueError, match="note"):
+        geo_enrich(ips.drop("country_name"), blocks.withColumn("note", F.lit(1)), names.withColumn("note", F.lit(1)), "ip")

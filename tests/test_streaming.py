@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 
 from enrichkit.operators.blocklist import MALWARE_LIST_SCHEMA, dns_alerts, dns_rejects
@@ -75,7 +76,8 @@ def test_records_without_message_do_not_stop_parsing(spark):
 
 def test_rejects_keep_the_raw_record_and_say_why(spark):
     values = [(None,), ("not json",), ('{"event_id": 2}',), ('{"event_id": 3, "message": "x"}',),
-              ('{"event_id": 4, "message": "d: reply a.example is 1.2.3.4"}',), ("",)]
+              ('{"event_id": 4, "message": "d: reply a.example is 1.2.3.4"}',), ("",),
+              ('{"event_id": "x", "message": "d: reply a.example is 1.2.3.4"}',), ('{"event_id": "x"}',)]
     df = spark.createDataFrame(values, "value string")
     assert dict(rows(message_rejects(df, SCHEMA))) == {
         None: "no record",
@@ -83,7 +85,12 @@ def test_rejects_keep_the_raw_record_and_say_why(spark):
         "not json": "broken record",
         '{"event_id": 2}': "no message",
         '{"event_id": 3, "message": "x"}': "unparsed line",
+        '{"event_id": "x", "message": "d: reply a.example is 1.2.3.4"}': "field lost",
+        '{"event_id": "x"}': "broken record",
     }
+    # What is reported as lost altogether is in no alert.
+    kept = json_values_to_rows(df, SCHEMA).where("message LIKE 'd: reply%'")
+    assert rows(kept) == [(None, "d: reply a.example is 1.2.3.4"), (4, "d: reply a.example is 1.2.3.4")]
 
 
 def test_alert_fields_win_over_message_fields_of_their_name(spark):
@@ -104,3 +111,26 @@ def test_unparsed_lines_never_meet_hostless_entries(spark):
         [("d", "-", "-", "-", "no host", "-", "0", "0", "-")], MALWARE_LIST_SCHEMA
     )
     assert dns_alerts(msgs, listing).count() == 0  # '' = '' would have matched
+
+
+def test_the_default_trigger_runs_batch_after_batch(spark):
+    """Two-second micro-batches over files that arrive while the stream runs."""
+    root, listing = _setup(spark)
+    (spark.read.text(f"{root}/in").coalesce(1).write.text(f"{root}/live"))
+    messages = read_messages(spark, fmt="text", path=f"{root}/live", options={"maxFilesPerTrigger": "1"})
+    q = start_dns_alert_stream(
+        messages, listing, checkpoint_location=f"{root}/live_ckpt", message_schema=SCHEMA, sink_format="parquet",
+        path=f"{root}/live_out", as_json=False,
+    )
+    try:
+        q.processAllAvailable()
+        for _ in range(2):
+            spark.read.text(f"{root}/in").coalesce(1).write.mode("append").text(f"{root}/live")
+            q.processAllAvailable()
+        batches = [p for p in q.recentProgress if p["numInputRows"]]
+    finally:
+        q.stop()
+    starts = sorted(pd.Timestamp(p["timestamp"]) for p in batches)
+    assert len(batches) == 3 and all(b - a > pd.Timedelta(seconds=1) for a, b in zip(starts, starts[1:]))
+    alerts = dns_alerts(fx.dns_messages(spark, SMALL), fx.domain_list(spark, SMALL)).count()
+    assert spark.read.parquet(f"{root}/live_out").count() == 3 * alerts
