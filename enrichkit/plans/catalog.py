@@ -897,6 +897,33 @@ def dns_alert_job_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(_alert_job(spark, sf_dir)[0])
 
 
+@register(
+    "dns_alert_job_any_fields",
+    o.with_ctes(
+        ["alerts"],
+        f"""SELECT {', '.join(_ALERT_COLS)}, CASE WHEN event_id % 2 = 0 THEN 'ns' || event_id % 7 END AS host,
+                   CASE WHEN event_id % 3 = 0 THEN event_id % 3600 END AS ttl,
+                   CASE WHEN event_id % 5 = 0 THEN 'c' || event_id % 11 END AS client_name,
+                   CASE WHEN event_id % 5 = 0 THEN event_id % 100 END AS client_port
+            FROM alerts WHERE event_id % 19 <> 0""",
+    ),
+)
+def dns_alert_job_any_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert job over records with differing fields and no declared schema: all of a record's
+    fields are in its alert."""
+    root = scratch_path(spark, "dns_any_job")
+    fx.dns_any_values(spark, sf_dir).repartition(4).write.text(f"{root}/in")
+    write_csv(fx.domain_list(spark, sf_dir), f"{root}/list")
+    dns_alert_job(
+        spark, list_path=f"{root}/list", checkpoint_location=f"{root}/checkpoint", source_format="text",
+        source_path=f"{root}/in", sink_format="text", sink_path=f"{root}/out", trigger={"availableNow": True}, message_schema=None,
+    ).awaitTermination()
+    schema = """event_id bigint, message string, query_type string, domain string, address string, listing_count bigint,
+                host string, ttl bigint, client struct<name: string, port: bigint>"""
+    alerts = spark.read.schema(schema).json(f"{root}/out")
+    return alerts.select(*_ALERT_COLS, "host", "ttl", F.col("client.name").alias("client_name"), F.col("client.port").alias("client_port"))
+
+
 @register(
     "dns_alert_listings",
     o.with_ctes(["clean_list"], f"SELECT domain, {', '.join(MALWARE_LIST_FIELDS)} FROM clean_list"),

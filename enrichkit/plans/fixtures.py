@@ -91,6 +91,22 @@ def dns_raw_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dns_any_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message-bus records whose fields differ: some have a ``host``, a ``ttl``, a nested
+    ``client``; every 19th is cut off."""
+    eid = F.col("event_id")
+    client = F.struct(F.concat(F.lit("c"), (eid % 11).cast("string")).alias("name"), (eid % 100).alias("port"))
+    record = F.struct(
+        "event_id",
+        F.when(eid % 2 == 0, F.concat(F.lit("ns"), (eid % 7).cast("string"))).alias("host"),
+        F.when(eid % 3 == 0, eid % 3600).alias("ttl"),
+        F.when(eid % 5 == 0, client).alias("client"),
+        "message",
+    )
+    whole = F.to_json(record)
+    return dns_messages(spark, sf_dir).select(F.when(eid % 19 == 0, F.substring(whole, 1, 12)).otherwise(whole).alias("value"))
+
+
 def domain_list(spark: SparkSession, sf_dir: str, tld: str | None = None) -> DataFrame:
     """The bad-domain list: every seventh page's host, in the nine string fields of the list."""
     h = hosts(spark, sf_dir, tld).where(F.col("page_id") % 7 == 0)

@@ -132,7 +132,7 @@ def dns_alert_job(
     sink_options: dict[str, str] | None = None,
     sink_path: str | None = None,
     trigger: dict | None = None,
-    message_schema: StructType | str = MESSAGE_SCHEMA,
+    message_schema: StructType | str | None = MESSAGE_SCHEMA,
     listings_path: str | None = None,
     normalize: bool = False,
     max_tld: int = DEFAULT_MAX_TLD,
@@ -141,7 +141,8 @@ def dns_alert_job(
     """The DNS alert stream end to end: the bad-domain list (headerless CSV, nine fields),
     messages from a stream source (Kafka topics by default, ``subscribe`` in
     ``source_options``), alerts as JSON values to the sink (Kafka by default, ``topic`` in
-    ``sink_options``). All fields of ``message_schema`` stay in the alerts. With
+    ``sink_options``). All fields of ``message_schema`` stay in the alerts, with
+    ``message_schema=None`` all fields of each record, whatever they are. With
     ``listings_path`` the cleaned list is written there, one row per entry with its
     ``domain``, to look up an alert's entries. Returns the running query."""
     listing = read_csv(spark, list_path, schema=MALWARE_LIST_SCHEMA)

@@ -19,7 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from enrichkit.functions.records import row_json
 from enrichkit.functions.text import DEFAULT_MAX_TLD, dns_line_matches
 from enrichkit.operators.blocklist import dns_alerts
-from enrichkit.sources.messages import json_values_to_rows
+from enrichkit.sources.messages import json_values_to_records, json_values_to_rows
 
 # The message field holding the DNS line, the topic alerts go to, and the
 # 2-second micro-batch interval.
@@ -27,6 +27,7 @@ MESSAGE_SCHEMA = "message string"
 ALERT_TOPIC = "dnsMalware"
 DEFAULT_TRIGGER = {"processingTime": "2 seconds"}
 _BROKEN = "__broken"
+_RECORD = "record"
 
 
 def read_messages(
@@ -52,12 +53,23 @@ def alert_values(alerts: DataFrame, ignore_null_fields: bool = True) -> DataFram
     return alerts.select(row_json(alerts, ignore_null_fields).alias("value"))
 
 
+def record_alert_values(alerts: DataFrame, record: str = _RECORD) -> DataFrame:
+    """Alerts over records without a declared schema as message records: all fields of the record
+    and those of the alert as a JSON object in ``value`` (a field of the record that is called
+    like one of the alert's gives way)."""
+    added = [c for c in alerts.columns if c not in (record, "message")]
+    names = ", ".join(f"'{c}'" for c in added)
+    own = F.expr(f"map_filter(`{record}`, (k, v) -> k NOT IN ({names}))")
+    new = F.create_map(*[x for c in added for x in (F.lit(c), F.col(f"`{c}`").cast("variant"))])
+    return alerts.select(F.to_json(F.map_concat(own, new)).alias("value"))
+
+
 def start_dns_alert_stream(
     messages: DataFrame,
     listing: DataFrame,
     *,
     checkpoint_location: str,
-    message_schema: StructType | str = MESSAGE_SCHEMA,
+    message_schema: StructType | str | None = MESSAGE_SCHEMA,
     sink_format: str = "kafka",
     sink_options: dict[str, str] | None = None,
     path: str | None = None,
@@ -78,13 +90,19 @@ def start_dns_alert_stream(
     (broadcast, or salted shuffle over the bound): columns, sink, options and the meaning of
     ``path`` are the same. Records that cannot be matched go to ``start_dns_reject_stream``; one
     with a field that is not of its declared type is matched without that field and reported too.
+    ``message_schema=None`` takes records with any fields: each alert has all of its record's,
+    with ``as_json`` beside its own, else in the column ``record``.
     """
-    rows = json_values_to_rows(messages, message_schema)
+    if message_schema is None:
+        rows = json_values_to_records(messages, {"message": "string"})
+    else:
+        rows = json_values_to_rows(messages, message_schema)
     alerts = dns_alerts(
         rows, listing, normalize=normalize, max_tld=max_tld, max_broadcast_bytes=max_broadcast_bytes
     )
+    as_values = record_alert_values if message_schema is None else alert_values
     return _start(
-        alert_values(alerts) if as_json else alerts,
+        as_values(alerts) if as_json else alerts,
         checkpoint_location, sink_format, sink_options, path, trigger, query_name,
     )
 
@@ -98,13 +116,23 @@ def _start(out, checkpoint_location, sink_format, sink_options, path, trigger, q
 
 
 def message_rejects(
-    messages: DataFrame, message_schema: StructType | str = MESSAGE_SCHEMA, message_col: str = "message"
+    messages: DataFrame, message_schema: StructType | str | None = MESSAGE_SCHEMA, message_col: str = "message"
 ) -> DataFrame:
     """``value`` (the raw text) and ``reason`` of each record that cannot be matched as a whole,
     batch or stream: ``no record`` (null), ``broken record`` (not JSON of the declared schema, and
     its message is lost), ``no message`` (the field is absent or null), ``unparsed line``, and
     ``field lost``: another field is not of its declared type. Only the last kind goes through the
-    match as well, without that field, so it may stand in the alerts too."""
+    match as well, without that field, so it may stand in the alerts too. ``message_schema=None``:
+    any JSON object is a record."""
+    if message_schema is None:
+        read = json_values_to_records(messages, {message_col: "string"}, keep=["value"])
+        why = (
+            F.when(F.col("value").isNull(), "no record")
+            .when(F.col(_RECORD).isNull(), "broken record")
+            .when(F.col(message_col).isNull(), "no message")
+            .when(~dns_line_matches(message_col), "unparsed line")
+        )
+        return read.select("value", why.alias("reason")).where(F.col("reason").isNotNull())
     declared = StructType.fromDDL(message_schema) if isinstance(message_schema, str) else message_schema
     schema = StructType([*declared.fields, StructField(_BROKEN, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
@@ -124,7 +152,7 @@ def start_dns_reject_stream(
     messages: DataFrame,
     *,
     checkpoint_location: str,
-    message_schema: StructType | str = MESSAGE_SCHEMA,
+    message_schema: StructType | str | None = MESSAGE_SCHEMA,
     sink_format: str = "json",
     sink_options: dict[str, str] | None = None,
     path: str | None = None,

@@ -1,3 +1,5 @@
+import json
+
 import pandas as pd
 import pytest
 
@@ -6,8 +8,9 @@ from enrichkit.plans import fixtures as fx
 from enrichkit.session import scratch_path
 from enrichkit.sinks import write_csv
 from enrichkit.sources import read_csv
-from enrichkit.sources.messages import json_values_to_rows
+from enrichkit.sources.messages import json_values_to_records, json_values_to_rows
 from enrichkit.streaming import alert_values, foreach_batch_sink, message_rejects, read_messages, start_dns_alert_stream
+from enrichkit.streaming.dns import record_alert_values
 from tests.conftest import SMALL, rows
 
 SCHEMA = "event_id bigint, message string"
@@ -134,3 +137,21 @@ def test_the_default_trigger_runs_batch_after_batch(spark):
     assert len(batches) == 3 and all(b - a > pd.Timedelta(seconds=1) for a, b in zip(starts, starts[1:]))
     alerts = dns_alerts(fx.dns_messages(spark, SMALL), fx.domain_list(spark, SMALL)).count()
     assert spark.read.parquet(f"{root}/live_out").count() == 3 * alerts
+
+
+def test_records_of_any_shape_keep_all_fields(spark):
+    line = "d: reply a.example is 1.2.3.4"
+    values = [
+        ('{"message": "%s", "deep": {"a": [1, {"b": null}]}, "domain": "mine"}' % line,),
+        ('{"message": "%s", "n": 2.5}' % line,), ('{"n": 1}',), ('{"message": 7}',), ("[1]",), ("not json",), ("",), (None,),
+    ]
+    df = spark.createDataFrame(values, "value string")
+    records = json_values_to_records(df, {"message": "string"})
+    listing = spark.createDataFrame([("d", "a.example/x", "-", "-", "listed", "-", "0", "0", "-")], MALWARE_LIST_SCHEMA)
+    got = [json.loads(r.value) for r in record_alert_values(dns_alerts(records, listing)).collect()]
+    own = {"message": line, "query_type": "reply", "domain": "a.example", "address": "1.2.3.4", "listing_count": 1}
+    want = [own | {"deep": {"a": [1, {"b": None}]}}, own | {"n": 2.5}]
+    assert len(got) == 2 and all(w in got for w in want)
+    reasons = {r.value: r.reason for r in message_rejects(df, None).collect()}
+    assert reasons == {'{"n": 1}': "no message", '{"message": 7}': "unparsed line", "[1]": "broken record", "not json": "broken record",
+                       "": "broken record", None: "no record"}
