@@ -114,10 +114,17 @@ def _segments(batches, segment_bytes):
 
 
 def format_segments(batches, vocabulary: bytes, segment_bytes: int = SEGMENT_BYTES):
-    """Formatted, encoded and masked segments as dicts; see ``format_conversations``."""
+    """Formatted, encoded and masked segments as dicts; see ``format_conversations``.
+
+    Segments wait until they hold ``segment_bytes`` together and are then encoded and masked in
+    one go, as if they were one text.
+    """
     enc = encoder(vocabulary)
+    queue: list[tuple] = []
+    spans: list[tuple[int, int]] = []
+    at = 0
     for conv_id, number, last, turns in _segments(batches, segment_bytes):
-        parts, spans, at = [], [], 0
+        parts, begin = [], at
         for role, text in turns:
             head, body = header(role), escape(text)
             start = at + len(head.encode())
@@ -126,18 +133,32 @@ def format_segments(batches, vocabulary: bytes, segment_bytes: int = SEGMENT_BYT
                 spans.append((start, at))
             at += len("</turn>\n")
             parts += [head, body, "</turn>\n"]
-        formatted = "".join(parts)
-        ids, _ = enc.encode([formatted])
-        mask, covered = loss_tokens(np.cumsum(enc.token_length[ids]), np.array(spans, np.int64).reshape(-1, 2))
+        queue.append((conv_id, number, last, "".join(parts), begin))
+        if at >= segment_bytes:
+            yield from _encoded(enc, queue, spans)
+            queue, spans, at = [], [], 0
+    yield from _encoded(enc, queue, spans)
+
+
+def _encoded(enc, queue, spans):
+    """The waiting segments (conv_id, segment, last, formatted, first byte) with ids and masks."""
+    if not queue:
+        return
+    ids, offsets = enc.encode([formatted for *_, formatted, _ in queue])
+    mask, covered = loss_tokens(np.cumsum(enc.token_length[ids]), np.array(spans, np.int64).reshape(-1, 2))
+    begins = np.array([begin for *_, begin in queue])
+    cuts = np.append(np.searchsorted(covered[:, 0], begins), len(covered))
+    for k, (conv_id, number, last, formatted, begin) in enumerate(queue):
+        own = covered[cuts[k] : cuts[k + 1]] - begin
         yield {
             "conv_id": conv_id,
             "segment": number,
             "last": last,
             "formatted": formatted,
-            "ids": ids,
-            "loss_mask": mask,
-            "loss_starts": covered[:, 0],
-            "loss_ends": covered[:, 1],
+            "ids": ids[offsets[k] : offsets[k + 1]],
+            "loss_mask": mask[offsets[k] : offsets[k + 1]],
+            "loss_starts": own[:, 0],
+            "loss_ends": own[:, 1],
         }
 
 
