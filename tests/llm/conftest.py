@@ -32,8 +32,7 @@ def docs_of(spark):
     return make
 
 
-#: Nulls, empty and blank texts, ties, a repeated row, one id with two texts, a very long text,
-#: very long words.
+#: Nulls, empty and blank texts, ties, a repeated row, one id with two texts, a very long text.
 HARD = [
     (1, "the quick brown fox jumps over the lazy dog again and again"),
     (1, "the quick brown fox jumps over the lazy dog again and again"),
@@ -50,6 +49,10 @@ HARD = [
     (9, "long text with many words " * 20_000),
     (10, "Straße 中文 😀 é́ <|endoftext|> don't 'tis  \r\n x"),
     (11, "The QUICK brown fox jumps over the lazy dog again and again"),
+]
+
+#: Very long words.
+LONG_WORDS = [
     (12, "".join(random.Random(7).choices("abcdefghijklmnopqrstuvwxyz", k=30_000))),
     (13, "".join(random.Random(8).choices("中文字的一是不了人我在有他这", k=20_000))),
 ]

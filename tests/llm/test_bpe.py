@@ -15,10 +15,12 @@ from enrichkit.llm import bpe
 from enrichkit.llm.catalog import QUERIES
 from enrichkit.llm.counting import apply_edits, counted_trees, edited_counts, sample_edits
 from enrichkit.llm.packing import OpenBins, pack_documents, pieces
-from tests.llm.conftest import HARD
+from tests.llm.conftest import HARD as SHORT_WORDS
+from tests.llm.conftest import LONG_WORDS
 
 import public_tokenizers
 
+HARD = SHORT_WORDS + LONG_WORDS
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 REFERENCE = Tokenizer.from_file(FILE)
 ENCODER = bpe.encoder(bpe.read_vocabulary(FILE))
