@@ -24,15 +24,13 @@ from enrichkit.llm.arrays import slices, texts_of
 
 @dataclass(frozen=True)
 class Rule:
-    """``least``: the shortest accepted match, or accepted ``group``; shorter ones are dropped.
-    ``span``: the group that is the found span."""
+    """``least``: the shortest accepted match, or accepted ``group``; shorter ones are dropped."""
 
     kind: str
     pattern: str
     least: int = 0
     group: int = 0
     any_case: bool = False
-    span: int = 0
 
     def compiled(self) -> re.Pattern:
         return re.compile(self.pattern, re.ASCII | (re.IGNORECASE if self.any_case else 0))
@@ -66,14 +64,9 @@ MORE_RULES = (
     Rule("pem", _PEM),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 15),
-    # From the first eyJ of a run: a later one of the same run can match only if that one does.
-    Rule(
-        "jwt",
-        r"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+(eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]+)",
-        40,
-        1,
-        span=1,
-    ),
+    # A run from its first eyJ on that makes no token makes none from a later eyJ either: the second
+    # branch takes it away (group 1 is then empty, so it is dropped), and no run is searched twice.
+    Rule("jwt", r"(eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++)|eyJ[A-Za-z0-9_-]++", 40, 1),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -218,7 +211,7 @@ def candidates(query, postings: dict[str, np.ndarray], n_docs: int) -> np.ndarra
 
 def find(rule: Rule, pattern: re.Pattern, text: str) -> list[tuple[int, int]]:
     """Leftmost non-overlapping matches, those that are too short dropped afterwards."""
-    return [m.span(rule.span) for m in pattern.finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
+    return [m.span() for m in pattern.finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
 
 
 class Scanner:
