@@ -12,12 +12,19 @@ largest component are compared with all members of other components, in waves of
 There the join itself drops most pairs by a bitmap of each set: the bits in which two bitmaps
 differ are at most the shingles in which the sets differ, so no link is lost. Pairs within one
 component need no test, as the result is the components.
+
+Small sets have an exact way beside the bands, as a band may miss them. A set stands in a core
+bucket for each subset that it could have in common with a partner: itself without up to a few
+shingles. Of a core's sets the one that lost the fewest is linked with every set that has any
+link through this core, so all others meet that one only, and no pair is missed.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +37,10 @@ from enrichkit.llm.arrays import slices, texts_of
 from enrichkit.session import scratch_path
 
 #: Bands and values per band; a pair of similarity 0.8 is missed with a chance of 2 in
-#: 100,000 in large sets, and of 16 in 100,000 for 4 shared of 5 shingles (README).
+#: 100,000 in large sets (README).
 BANDS, PER_BAND = 36, 6
+#: Sets with at most so many cores have the exact way (up to 14 shingles at 80 per cent).
+MOST_CORES = 128
 #: Pairs that the exact last step goes through at once.
 WAVE_PAIRS = 50_000_000
 #: Words of 64 bits in a set's bitmap.
@@ -97,25 +106,61 @@ def _key(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def signatures(docs: DataFrame, words: int, bands: int, per_band: int) -> DataFrame:
-    """doc_id, n_shingles, key (of the set; null if empty), bands of every whole text; map-only."""
+@lru_cache(maxsize=256)
+def _without(n: int, gone: int) -> np.ndarray:
+    """The choices of ``gone`` of ``n`` places, one a row."""
+    return np.array(list(combinations(range(n), gone)), np.int64).reshape(math.comb(n, gone), gone)
+
+
+@lru_cache(maxsize=None)
+def losses(n: int, percent: int, most: int = MOST_CORES) -> int | None:
+    """How many shingles a set of ``n`` may lack in what it shares with a linked set; None if that
+    makes more than ``most`` cores. It shares ``percent`` of the union, so of itself, at least."""
+    gone = (100 - percent) * n // 100
+    return gone if sum(math.comb(n, g) for g in range(gone + 1)) <= most else None
+
+
+def cores(shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the subset, shingles left out) of all subsets that a small set may share with a
+    linked one; none of a large set, nor of one that is linked with equal sets only. Subsets,
+    like shingles, are told apart by 64-bit hashes."""
+    n = len(shingles)
+    gone = losses(n, percent)
+    if not n or gone is None or not (gone or losses(n + 1, percent)):
+        return np.empty(0, np.int64), np.empty(0, np.int32)
+    mixed = (shingles ^ (shingles >> np.uint64(31))) * _K[1]
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= _K[2]
+    whole = mixed.sum(dtype=np.uint64)
+    # The subset's size is part of its hash.
+    sums = [whole - (mixed[_without(n, g)].sum(1, dtype=np.uint64) + np.uint64(n - g)) for g in range(gone + 1)]
+    counts = np.repeat(np.arange(gone + 1, dtype=np.int32), [len(s) for s in sums])
+    return np.concatenate(sums).view(np.int64), counts
+
+
+def signatures(docs: DataFrame, words: int, bands: int, per_band: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, key (of the set; null if empty), bands, cores and what each lacks
+    (``gone``) of every whole text; map-only."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         signer = Signer(bands, per_band)
         for batch in slices(batches, "text"):
             sets = [shingle_set(t, words) for t in texts_of(batch)]
+            small = [cores(s, percent) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_key(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([signer.bands_of(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    pa.array([c if len(c) else None for c, _ in small], pa.list_(pa.int64())),
+                    pa.array([g if len(g) else None for _, g in small], pa.list_(pa.int32())),
                 ],
-                ["doc_id", "n_shingles", "key", "bands"],
+                ["doc_id", "n_shingles", "key", "bands", "cores", "gone"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>"
+        run, "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>, cores array<bigint>, gone array<int>"
     )
 
 
@@ -205,13 +250,34 @@ def _labelled(df: DataFrame, labels: DataFrame, key: str, label: str) -> DataFra
     return df.join(names, key, "left").withColumn(label, F.coalesce("_l", key)).drop("_l")
 
 
-def link_classes(members: DataFrame, sets: DataFrame, percent: int, wave_pairs: int) -> DataFrame:
-    """(key, label) of the classes that have links, from the buckets' members
-    (bucket, key, pivot, other) where pivot and other are two of the bucket's keys."""
-    links = _kept(
-        confirmed(members.filter("key != pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct(), sets, percent),
-        "links",
+def core_pairs(classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the small sets of a core with the one of them that lacks the fewest shingles.
+
+    Two sets that lack x and y shingles beside a shared core of c are linked through it if
+    100 * c >= percent * (c + x + y). The set with the least x meets this with every set that
+    meets it with any, so no other pairs of a core are needed."""
+    one = classes.filter("cores IS NOT NULL").select(
+        "key", "n_shingles", F.explode(F.arrays_zip("cores", "gone")).alias("c")
+    )
+    shared = F.col("n_shingles") - F.col("gone")
+    held = one.select("key", "n_shingles", F.col("c.cores").alias("core"), F.col("c.gone").alias("gone")).select(
+        "key", "core", "gone", F.floor(shared * (100 - percent) / percent).alias("room")
     )
+    # Stored: the largest of it is read twice.
+    held = _kept(held.filter("gone <= room"), "cores")
+    first = held.groupBy("core").agg(
+        F.count("*").alias("n"), F.min(F.struct("gone", "key")).alias("first")
+    ).filter("n > 1")
+    pairs = held.join(first, "core").filter("key != first.key AND gone + first.gone <= room")
+    return pairs.select(F.col("key").alias("a"), F.col("first.key").alias("b")).distinct()
+
+
+def link_classes(members: DataFrame, sets: DataFrame, percent: int, wave_pairs: int, exact: DataFrame) -> DataFrame:
+    """(key, label) of the classes that have links, from the buckets' members
+    (bucket, key, pivot, other) where pivot and other are two of the bucket's keys, and from
+    the pairs (a, b) of small sets."""
+    first = members.filter("key != pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+    links = _kept(confirmed(first.union(exact).distinct(), sets, percent), "links")
     labels = _kept(connected(links), "labels")
 
     def more(pairs: DataFrame) -> DataFrame:
@@ -261,11 +327,12 @@ def link_classes(members: DataFrame, sets: DataFrame, percent: int, wave_pairs:
 
 def _linked(docs: DataFrame, words: int, percent: int, bands: int, per_band: int, wave_pairs: int):
     """(signatures of the rows; classes: key, least id, n rows, bands; labels of the linked classes)."""
-    signed = _kept(signatures(docs, words, bands, per_band), "signatures")
+    signed = _kept(signatures(docs, words, bands, per_band, percent), "signatures")
     able = signed.filter("key IS NOT NULL AND doc_id IS NOT NULL")
+    # Rows of one key hold equal sets, so any row's values are the class's.
+    of_set = [F.first(c).alias(c) for c in ("n_shingles", "bands", "cores", "gone")]
     classes = _kept(
-        able.groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("bands").alias("bands")),
-        "classes",
+        able.groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), *of_set), "classes"
     )
     banded = classes.select("key", F.explode("bands").alias("bucket"))
     shared = (
@@ -275,12 +342,14 @@ def _linked(docs: DataFrame, words: int, percent: int, bands: int, per_band: int
         .drop("n")
     )
     members = _kept(banded.join(shared, "bucket"), "members")
-    wanted = members.select("key").distinct().join(classes, "key").select(F.col("least").alias("doc_id"), "key")
+    exact = _kept(core_pairs(classes, percent), "pairs")
+    keys = members.select("key").union(exact.select("a")).union(exact.select("b")).distinct()
+    wanted = keys.join(classes, "key").select(F.col("least").alias("doc_id"), "key")
     texts = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = _kept(
         _sets(texts, words).join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "sets"
     )
-    return signed, classes, link_classes(members, sets, percent, wave_pairs)
+    return signed, classes, link_classes(members, sets, percent, wave_pairs, exact)
 
 
 def _components(classes: DataFrame, labels: DataFrame) -> DataFrame:
