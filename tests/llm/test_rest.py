@@ -135,56 +135,6 @@ def test_near_dup_query_equals_brute_force(spark):
     assert {r.doc_id: r.n_shingles for r in got} == {i: len(neardup.shingle_set(t, 2)) for i, t in rows}
 
 
-@pytest.mark.parametrize("percent", [50, 80, 90])
-def test_cores_miss_no_pair_of_small_sets(percent):
-    rng = np.random.default_rng(percent)
-    sets = {tuple(sorted(rng.choice(18, n, replace=False))) for n in rng.integers(1, 15, 500)}
-    sets |= {x[1:] for x in list(sets)[::3] if len(x) > 1}
-    sets = [np.array(x, np.uint64) * np.uint64(0x9E3779B97F4A7C15) for x in sets]
-    sets = [np.sort(x) for x in sets if neardup.losses(len(x), percent) is not None]
-    held = {}
-    for i, x in enumerate(sets):
-        for core, gone in zip(*(c.tolist() for c in neardup.cores(x, percent))):
-            if gone <= (len(x) - gone) * (100 - percent) // percent:
-                held.setdefault(core, []).append((gone, i))
-    met = set()
-    for own in held.values():
-        least, first = min(own)
-        room = (len(sets[first]) - least) * (100 - percent) // percent
-        met |= {frozenset((i, first)) for gone, i in own if i != first and gone + least <= room}
-    labels = list(range(len(sets)))
-
-    def root(x):
-        while labels[x] != x:
-            x = labels[x]
-        return x
-
-    for pair in met:
-        x, y = sorted(root(i) for i in pair)
-        labels[y] = x
-    linked = 0
-    for i, x in enumerate(sets):
-        for j in range(i):
-            both = len(np.intersect1d(x, sets[j]))
-            if 100 * both >= percent * (len(x) + len(sets[j]) - both):
-                linked += 1
-                assert root(i) == root(j)
-    assert linked > 20
-
-
-def test_no_link_of_small_sets_is_lost(spark):
-    """Pairs at the very bound, 4 of 5 and 8 of 10 shingles; their bands miss some."""
-    rng, rows = random.Random(12), []
-    for i in range(0, 40_000, 2):
-        words = [f"w{rng.randint(0, 10**9)}" for _ in range(11)]
-        one, two = (words[:5], words[:6]) if i % 4 else (words[:9], words[:9] + words[9:11])
-        rows += [(i, " ".join(one)), (i + 1, " ".join(two))]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
-    got = neardup.near_duplicates(docs)
-    assert got.filter("component_id != doc_id - doc_id % 2").count() == 0
-    assert got.count() == len(rows)
-
-
 def test_one_of_each_and_empty(spark, docs_of):
     docs = docs_of(HARD)
     kept = neardup.one_of_each(docs)
