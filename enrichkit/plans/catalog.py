@@ -32,6 +32,7 @@ from enrichkit.operators.store import KeyedTable
 from enrichkit.session import scratch_path
 from enrichkit.sinks.files import create_table_as, keyed_overwrite, write_csv, write_documents, write_text
 from enrichkit.sources.files import read_csv, read_documents
+from enrichkit.sources.split_csv import read_split_csv
 from enrichkit.plans import fixtures as fx
 from enrichkit.plans.jobs import (
     deid_events_to_text,
@@ -657,6 +658,15 @@ def documents_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schema=docs.schema, multiline=True, options={"lineSep": "\n"})
 
 
+@register("documents_csv_in_splits", "SELECT * FROM documents")
+def documents_csv_in_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same texts, their files with headers read split by split."""
+    docs = fx.table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "documents_csv")
+    write_csv(docs, path, header=True, multiline=True)
+    return read_split_csv(spark, path, schema=docs.schema, header=True)
+
+
 @register("csv_header_scan", "SELECT CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name FROM region")
 def csv_header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "region_csv")
