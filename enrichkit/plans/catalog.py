@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from enrichkit.functions.net import ipv4_to_long
 from enrichkit.functions.records import null_to_empty, pick_field
 from enrichkit.functions.text import first_domain
+from enrichkit.operators.addresses import address_lookup
 from enrichkit.operators.blocklist import (
     MALWARE_LIST_FIELDS,
     MALWARE_LIST_SCHEMA,
@@ -337,6 +338,22 @@ def range_wide_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide_nested(spark, sf_dir, "pandas")
 
 
+@register(
+    "ip_mixed_networks",
+    o.with_ctes(
+        ["mixed_keys", "mixed_blocks"],
+        """SELECT event_id, name FROM (
+             SELECT event_id, name, row_number() OVER (PARTITION BY event_id ORDER BY plen DESC, name DESC) AS place
+             FROM mixed_keys k LEFT JOIN mixed_blocks b ON k.family = b.family AND k.k BETWEEN b.s AND b.e)
+           WHERE place = 1""",
+    ),
+)
+def ip_mixed_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IPv4 and IPv6 texts of several spellings against nested networks of both kinds."""
+    looked = address_lookup(fx.mixed_addresses(spark, sf_dir), fx.mixed_networks(spark, sf_dir), "ip", how="left")
+    return looked.select("event_id", "name")
+
+
 @register(
     "ip_lookup_status_invalid",
     o.with_ctes(

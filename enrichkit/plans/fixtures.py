@@ -193,6 +193,37 @@ def wide_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.unionByName(group).unionByName(cross).unionByName(every)
 
 
+def mixed_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(event_id, ip)``: the addresses of ``ips`` as IPv4, as shortened IPv6 and as upper-case
+    IPv6 with a dotted tail, by ``event_id``."""
+    eid, x = F.col("event_id"), F.col("ipn")
+    a, b = F.lower(F.hex(F.shiftright(x, 16))), F.lower(F.hex(x.bitwiseAND(65535)))
+    short = F.concat(F.lit("2001:db8:"), a, F.lit(":"), b, F.lit("::"), (eid % 7).cast("string"))
+    dotted = F.concat(F.lit("2001:db8:"), a, F.lit(":0:0:"), b, F.lit(":0.0."), (eid % 7).cast("string"), F.lit("."), (eid % 251).cast("string"))
+    text = F.when(eid % 3 == 0, long_to_ipv4("ipn")).when(eid % 3 == 1, short).otherwise(F.upper(dotted))
+    return ips(spark, sf_dir).select("event_id", text.alias("ip"))
+
+
+def mixed_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(name, network)``: per part its IPv4 block, an IPv6 network of 48 or of 52 to 64 bits and
+    one of 81 to 110 bits; these nest."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    a = F.lower(F.hex(key % 4096))
+    narrow = F.concat(F.lit(":"), F.lower(F.hex((key * 37) % 65536)), F.lit("::/"), (F.lit(52) + size % 13).cast("string"))
+    short = F.concat(F.lit("2001:db8:"), a, F.when(size % 2 == 0, F.lit("::/48")).otherwise(narrow))
+    b = F.lower(F.hex((key * 31) % 65536))
+    long = F.concat(F.lit("2001:db8:"), a, F.lit(":0:0:"), b, F.lit("::/"), (F.lit(81) + size % 30).cast("string"))
+    part = table(spark, sf_dir, "part")
+    name = F.concat(F.lit("part "), key.cast("string"))
+    v4 = blocks(spark, sf_dir).select(
+        F.concat(F.lit("block "), F.col("s").cast("string")).alias("name"),
+        F.concat(long_to_ipv4("s"), F.lit("/"), F.col("plen").cast("string")).alias("network"),
+    )
+    return v4.unionByName(part.select(F.concat(name, F.lit(" short")).alias("name"), short.alias("network"))).unionByName(
+        part.select(F.concat(name, F.lit(" long")).alias("name"), long.alias("network"))
+    )
+
+
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(geoname_id, country_name, continent_name)`` from nation and region."""
     nation = table(spark, sf_dir, "nation")

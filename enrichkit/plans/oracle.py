@@ -83,6 +83,30 @@ CTES: dict[str, str] = {
         FROM wide_ranges
         UNION ALL SELECT s + 549755813888, s + 3298534883328, name || ' cross' FROM wide_ranges
         UNION ALL SELECT 0, 4611686018427387905, 'all'""",
+    # Addresses and networks as 128-bit numbers; the prefix 2001:db8::/32 in front.
+    "mixed_keys": """
+        SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 4 ELSE 6 END AS family,
+          CASE event_id % 3 WHEN 0 THEN ipn::HUGEINT
+            WHEN 1 THEN 536939960::HUGEINT * 79228162514264337593543950336 + (ipn // 65536)::HUGEINT * 1208925819614629174706176
+                        + (ipn % 65536)::HUGEINT * 18446744073709551616 + event_id % 7
+            ELSE 536939960::HUGEINT * 79228162514264337593543950336 + (ipn // 65536)::HUGEINT * 1208925819614629174706176
+                        + (ipn % 65536)::HUGEINT * 4294967296 + event_id % 7 * 256 + event_id % 251 END AS k
+        FROM ips""",
+    "mixed_first": """
+        SELECT 'part ' || p_partkey || ' short' AS name, CASE WHEN p_size % 2 = 0 THEN 48 ELSE 52 + p_size % 13 END AS plen,
+          536939960::HUGEINT * 79228162514264337593543950336 + (p_partkey % 4096)::HUGEINT * 1208925819614629174706176
+            + CASE WHEN p_size % 2 = 0 THEN 0 ELSE (p_partkey::HUGEINT * 37 % 65536) * 18446744073709551616 END AS first
+        FROM part
+        UNION ALL
+        SELECT 'part ' || p_partkey || ' long', 81 + p_size % 30,
+          536939960::HUGEINT * 79228162514264337593543950336 + (p_partkey % 4096)::HUGEINT * 1208925819614629174706176
+            + (p_partkey::HUGEINT * 31 % 65536) * 4294967296
+        FROM part""",
+    "mixed_blocks": """
+        SELECT 4 AS family, 'block ' || s AS name, plen::INTEGER AS plen, s::HUGEINT AS s, e::HUGEINT AS e FROM blocks
+        UNION ALL
+        SELECT 6, name, plen::INTEGER, first // w * w, first // w * w + w - 1
+        FROM (SELECT *, 1::HUGEINT << (128 - plen)::INTEGER AS w FROM mixed_first)""",
     "patient_events_with_nulls": """
         SELECT id, CASE WHEN CAST(id AS BIGINT) % 5 <> 0 THEN pid END AS pid FROM patient_events""",
     "deid_lookup_doubled": """
@@ -110,6 +134,8 @@ _DEPS: dict[str, list[str]] = {
     "listed": ["clean_list"],
     "nested_blocks": ["blocks"],
     "wide_nested": ["wide_ranges"],
+    "mixed_keys": ["ips"],
+    "mixed_blocks": ["blocks", "mixed_first"],
     "patient_events_with_nulls": ["patient_events"],
     "deid_lookup_doubled": ["deid_lookup"],
     "alerts": ["dns_parsed", "listed"],
