@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from enrichkit.functions.net import cidr_prefix_len, ipv4_to_long, shl, shr
+from enrichkit.operators.chunks import CHUNK, deal
 from enrichkit.operators.joins import skew_aware_join
 from enrichkit.operators.sizing import Size, fits_broadcast, row_width, within_limit
 from enrichkit.session import ensure_checkpoint_dir
@@ -184,9 +185,8 @@ def range_lookup(
     nothing. ``strategy``: ``bucket`` (default; overlapping ranges go to ``prefix``),
     ``between`` (nested-loop join against a broadcast range table, for very small tables; over
     the broadcast bound it raises), ``prefix`` (aligned blocks, found by halving the levels
-    present), ``pandas`` (sorted search in pandas; address blocks ``key >> group_bits`` are dealt
-    over groups, four a shuffle partition and 256 at least, so IPv4 keys give a group at most
-    ``2^32 / 256`` distinct keys and blocks with many of them spread).
+    present), ``pandas`` (sorted search in pandas; keys and ranges are dealt over chunks of about
+    as many rows, which begin at multiples of ``2^group_bits``).
     ``resolve_overlaps``: ``auto`` looks for overlaps, ``True`` and ``False`` say that there are
     some or none (with ``False`` a key in two ranges of one bucket width comes twice).
     """
@@ -256,6 +256,13 @@ def _unpacked(found: DataFrame, df: DataFrame, ranges: DataFrame, how: str) -> D
     return found.select(*_cols(df), *[F.col(f"{_FOUND}.`{c}`").alias(c) for c in ranges.columns])
 
 
+def _bounds(ranges: DataFrame, start: str, end: str, end_inclusive: bool) -> DataFrame:
+    """``(_FROM, _TO, __r)``: first and last key and row of each range that holds a key."""
+    bounds = ranges.select(F.col(start).cast("bigint").alias(_FROM), _last(end, end_inclusive).cast("bigint").alias(_TO),
+                           F.struct(*_cols(ranges)).alias("__r"))
+    return bounds.where(F.col(_FROM) <= F.col(_TO))
+
+
 def _aligned_blocks(ranges: DataFrame, start: str, end: str, end_inclusive: bool) -> DataFrame:
     """``(_LEVEL, _NET, _WIN)``: the innermost range of every aligned block that a range is made of.
 
@@ -265,8 +272,7 @@ def _aligned_blocks(ranges: DataFrame, start: str, end: str, end_inclusive: bool
     """
     one = F.lit(1).cast("bigint")
     s, e = F.col(_FROM), F.col(_TO)
-    bounds = ranges.select(F.col(start).cast("bigint").alias(_FROM), _last(end, end_inclusive).cast("bigint").alias(_TO),
-                           F.struct(*_cols(ranges)).alias("__r")).where(s <= e)
+    bounds = _bounds(ranges, start, end, end_inclusive)
     # Below the trailing zeros of start and of last + 1 there are no blocks, nor above the width.
     ends = s.bitwiseOR(F.bitwise_not(e))
     low = F.when(ends == F.lit(-(2**63)), F.lit(63)).otherwise(F.bit_count(ends.bitwiseAND(F.bitwise_not(ends) + one) - one))
@@ -438,29 +444,22 @@ def _group_search(key: str, out_cols: list[str], dtypes: dict[str, str]):
 
 
 def _pandas_lookup(df, ranges, key, start, end, how, end_inclusive, bits, max_broadcast_bytes) -> DataFrame:
-    """Sorted search per group: distinct keys and the ranges of the same ``2^bits``-wide blocks
-    meet in one pandas call. A call costs some 10 ms whatever its rows, so a group takes the
-    blocks with one remainder instead of one block; a range goes to each group once at most."""
-    groups = max(256, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    keys = keys.withColumn(_BUCKET, F.pmod(F.shiftright(F.col(key), bits), F.lit(groups)))
-    s, e = F.col(_FROM), F.col(_TO)
-    one = ranges.select(F.col(start).cast("bigint").alias(_FROM), _last(end, end_inclusive).cast("bigint").alias(_TO),
-                        F.struct(*_cols(ranges)).alias("__r")).where(s <= e)
-    one = one.groupBy(_FROM, _TO).agg(F.max("__r").alias("__r"))  # of equal ranges the winner
-    first = F.shiftright(s, bits)
-    dealt = F.transform(F.sequence(first, F.least(F.shiftright(e, bits), first + (groups - 1))), lambda x: F.pmod(x, F.lit(groups)))
-    pieces = one.select(_FROM, _TO, *[F.col(f"__r.`{c}`").alias(c) for c in ranges.columns], F.explode(dealt).alias(_BUCKET))
+    """Sorted search per group: distinct keys and the ranges of the same chunk (see ``chunks``)
+    meet in one pandas call; chunks begin at multiples of ``2^bits``."""
+    bounds = _bounds(ranges, start, end, end_inclusive)
+    keys = df.select(F.col(f"`{key}`").alias("__k")).where(F.col("__k").isNotNull())
+    keys, pieces = deal(keys, bounds, ["__k"], [_FROM], [_TO], "__r", bits)
     key_field = df.schema[key]
+    keys = keys.select(CHUNK, F.col("__k").cast(key_field.dataType).alias(key))
+    pieces = pieces.select(CHUNK, _FROM, _TO, *[F.col(f"__r.`{c}`").alias(c) for c in ranges.columns])
     out_schema = T.StructType([T.StructField(key, key_field.dataType, True)] + list(ranges.schema.fields))
     dtypes = {
         f.name: next((d for t, d in _NUMPY_DTYPES.items() if isinstance(f.dataType, t)), "object")
         for f in out_schema.fields
     }
     search = _group_search(key, out_schema.fieldNames(), dtypes)
-    matches = keys.groupBy(_BUCKET).cogroup(pieces.groupBy(_BUCKET)).applyInPandas(search, out_schema)
+    matches = keys.groupBy(CHUNK).cogroup(pieces.groupBy(CHUNK)).applyInPandas(search, out_schema)
     # Pinned once: measuring and joining would otherwise run the pandas search twice.
-    ensure_checkpoint_dir(df.sparkSession)
     matches = matches.checkpoint(eager=True)
     out = skew_aware_join(df, matches, [key], how, max_broadcast_bytes=max_broadcast_bytes)
     return out.select(*df.columns, *ranges.columns)
