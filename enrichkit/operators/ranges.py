@@ -42,7 +42,7 @@ _LEVEL, _NET, _WIN, _FOUND = "__level", "__net", "__win", "__found"
 # Bucket of a null key: below every real bucket (x >> bits >= -2^(63 - bits) for bigint x).
 _NO_BUCKET = -(2**63)
 # A range stands in so many buckets of its width plus one at most.
-_MOST_BUCKETS = 256
+_MOST_BUCKETS = 16
 _STEP_BITS = 8
 
 

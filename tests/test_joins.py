@@ -97,3 +97,14 @@ def test_own_broadcast_bound(spark, lookup):
     finally:
         spark.conf.unset("enrichkit.broadcast.maxBytes")
     assert fits_broadcast(lookup)
+
+
+def test_a_side_over_the_bound_is_not_broadcast_by_an_estimate(spark):
+    """Spark's estimate does not see what an explode adds."""
+    small = spark.range(0, 4).select(F.explode(F.sequence(F.lit(0), F.lit(499))).alias("k"), F.col("id").alias("v"))
+    big = spark.range(0, 2000).select((F.col("id") % 700).alias("k"), "id")
+    for how in ("inner", "left"):
+        out = skew_aware_join(big, small.withColumn("k", F.col("k").cast("bigint")), ["k"], how, max_broadcast_bytes=0)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert out.where("v is not null").count() == 1500 * 4

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from enrichkit.functions import ipv4_to_long
 from enrichkit.operators.geo import geo_enrich
-from enrichkit.operators.ranges import _search_paths, cidr_ranges, range_lookup, ranges_overlap, with_match_status
+from enrichkit.operators.ranges import _bucketed_ranges, _search_paths, cidr_ranges, range_lookup, ranges_overlap, with_match_status
 from tests.conftest import rows
 
 STRATEGIES = ["bucket", "between", "prefix", "pandas"]
@@ -297,3 +297,11 @@ def test_clashing_names_raise(spark, blocks, names):
         geo_enrich(ips, blocks, names, "ip")
     with pytest.raises(ValueError, match="note"):
         geo_enrich(ips.drop("country_name"), blocks.withColumn("note", F.lit(1)), names.withColumn("note", F.lit(1)), "ip")
+
+
+def test_a_wide_range_stands_in_few_buckets(spark):
+    """Ranges of 2^40 keys and more stood in 257 buckets each."""
+    rows = [(i << 50, (i << 50) + 2**w + i) for i, w in enumerate([0, 10, 20, 24, 30, 32, 39, 40, 41, 48, 49])]
+    pieces = _bucketed_ranges(spark.createDataFrame(rows, "s bigint, e bigint"), "s", "e", 16, True)
+    assert max(r["count"] for r in pieces.groupBy("s").count().collect()) <= 18
+    assert pieces.groupBy("s").count().count() == len(rows)
