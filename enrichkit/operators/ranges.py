@@ -12,7 +12,9 @@ Spark plans a join on ``key BETWEEN start AND end`` as a nested loop. Two forms
   ranges the innermost stays, and a block inside others takes the innermost of all. The widest
   to the narrowest level are searched by halving: a block leaves a mark at each wider level
   where the search for it turns to the narrower side, so ``log2(levels + 1)`` probes (6 for
-  all IPv4 prefix lengths) find the narrowest block that holds a key.
+  all IPv4 prefix lengths) find the narrowest block that holds a key. This is the form for range
+  tables within the broadcast bound; larger ones are dealt over chunks of the keys and searched
+  there in sorted order (see ``chunks``).
 
 Whether ranges overlap is checked, not assumed. The innermost range wins: greatest start, then
 smallest end; for CIDR blocks this is the longest prefix. Of equal ranges the one with the
@@ -31,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from enrichkit.functions.net import cidr_prefix_len, ipv4_to_long, shl, shr
-from enrichkit.operators.chunks import CHUNK, deal
+from enrichkit.operators.chunks import CHUNK, deal, innermost
 from enrichkit.operators.joins import skew_aware_join
 from enrichkit.operators.sizing import Size, fits_broadcast, row_width, within_limit
 from enrichkit.session import ensure_checkpoint_dir
@@ -341,9 +343,12 @@ def _block_lookup(df, ranges, key, start, end, how, end_inclusive, max_broadcast
     """The innermost range of each key by aligned blocks (see the module's text).
 
     Blocks and marks within the broadcast bound are probed by broadcast joins that share one
-    table; the keys are not shuffled. Beyond the bound the distinct keys are joined with the
-    blocks at every level present, the best per key is pinned and joined back.
+    table; the keys are not shuffled. Range tables beyond the bound are not cut into blocks: the
+    distinct keys are searched by chunks (see ``chunks``), the best per key is pinned and joined
+    back.
     """
+    if not fits_broadcast(ranges, max_broadcast_bytes):
+        return _swept(df, ranges, key, start, end, how, end_inclusive, max_broadcast_bytes)
     # Pinned: counted, marked and joined without cutting the ranges again.
     ensure_checkpoint_dir(df.sparkSession)
     blocks = _aligned_blocks(ranges, start, end, end_inclusive).checkpoint(eager=True)
@@ -363,7 +368,7 @@ def _block_lookup(df, ranges, key, start, end, how, end_inclusive, max_broadcast
         # Blocks share most of their marks: counted only if the bound without sharing is too large.
         small = within_limit(marked, bound, max_broadcast_bytes) or fits_broadcast(marked, max_broadcast_bytes)
     if not small:
-        return _blocks_shuffled(df, ranges, blocks, levels, key, how, max_broadcast_bytes)
+        return _swept(df, ranges, key, start, end, how, end_inclusive, max_broadcast_bytes)
     k = F.col(f"`{key}`")
     kind = marked.schema[_WIN].dataType
     out = df.withColumns({"__code": F.lit(0), _FOUND: F.lit(None).cast(kind)})
@@ -380,15 +385,12 @@ def _block_lookup(df, ranges, key, start, end, how, end_inclusive, max_broadcast
     return _unpacked(out, df, ranges, how)
 
 
-def _blocks_shuffled(df, ranges, blocks, levels, key, how, max_broadcast_bytes) -> DataFrame:
-    """Form for range tables over the broadcast bound."""
-    k = F.col(f"`{key}`")
-    keys = df.select(k.alias("__k")).where(k.isNotNull()).distinct()
-    places = keys.withColumn(_LEVEL, F.explode(F.lit(levels).cast("array<int>")))
-    places = places.withColumn(_NET, shr(F.col("__k"), F.col(_LEVEL)))
-    matched = skew_aware_join(places, blocks, [_LEVEL, _NET], "inner", max_broadcast_bytes=max_broadcast_bytes)
-    best = matched.groupBy("__k").agg(F.max(_WIN).alias(_WIN))
-    best = best.select(F.col("__k").cast(df.schema[key].dataType).alias(key), F.col(f"{_WIN}.r").alias(_FOUND))
+def _swept(df, ranges, key, start, end, how, end_inclusive, max_broadcast_bytes) -> DataFrame:
+    """Form for range tables over the broadcast bound: a sorted search over chunks of the keys."""
+    bounds = _bounds(ranges, start, end, end_inclusive)
+    keys = df.select(F.col(f"`{key}`").alias("__k")).where(F.col("__k").isNotNull())
+    best = innermost(keys, bounds, ["__k"], [_FROM], [_TO], "__r")
+    best = best.select(F.col("__k").cast(df.schema[key].dataType).alias(key), F.col("__r").alias(_FOUND))
     best = best.checkpoint(eager=True)  # measured and joined without recomputing
     return _unpacked(skew_aware_join(df, best, [key], how, max_broadcast_bytes=max_broadcast_bytes), df, ranges, how)
 

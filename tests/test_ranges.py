@@ -305,3 +305,22 @@ def test_a_wide_range_stands_in_few_buckets(spark):
     pieces = _bucketed_ranges(spark.createDataFrame(rows, "s bigint, e bigint"), "s", "e", 16, True)
     assert max(r["count"] for r in pieces.groupBy("s").count().collect()) <= 18
     assert pieces.groupBy("s").count().count() == len(rows)
+
+
+@pytest.mark.parametrize("strategy, inclusive", [("bucket", True), ("prefix", True), ("prefix", False)])
+def test_ranges_over_the_bound_are_not_cut_into_blocks(spark, monkeypatch, strategy, inclusive):
+    def cut(*_):
+        raise AssertionError("up to 126 blocks a range")
+
+    monkeypatch.setattr("enrichkit.operators.ranges._aligned_blocks", cut)
+    monkeypatch.setattr("enrichkit.operators.chunks._CHUNK_ROWS", 8)
+    rng = random.Random(8)
+    ranges = [(a, a + rng.choice([1, 5, 2**20, 2**50]), f"r{i}") for i in range(90) for a in [rng.randrange(-(2**50), 2**50)]]
+    ranges += [(-(2**50), 2**51, "all"), (-(2**50), 2**51, "all twin")]
+    keys = sorted({x + d for r in ranges for x in r[:2] for d in (-1, 0, 1)})
+    out = range_lookup(
+        spark.createDataFrame([(k,) for k in keys] + [(None,)], "k bigint"),
+        spark.createDataFrame(ranges, "s bigint, e bigint, name string"),
+        "k", start="s", end="e", how="left", strategy=strategy, end_inclusive=inclusive, max_broadcast_bytes=0,
+    )
+    assert {r.k: r.name for r in out.collect()} == {k: innermost(k, ranges, inclusive) for k in keys} | {None: None}
