@@ -12,6 +12,10 @@ Networks are aligned, so a 128-bit lookup falls into 64-bit ones:
 - of longer ones, those around an address share its ``hi``. Only distinct addresses whose ``hi``
   has such networks are probed, once for each prefix length present, by an equi-join.
 
+Network tables over the broadcast bound are searched at once instead, all kinds in one order of
+family, ``hi`` and ``lo`` (see ``chunks``); only distinct texts are parsed, after a shuffle, and
+the found networks are joined back by the text.
+
 The longest prefix wins, of equal networks that with the greatest columns, in their order.
 """
 
@@ -23,8 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from enrichkit.functions.net import ipv4_to_long, shl, shr
+from enrichkit.operators.chunks import innermost
 from enrichkit.operators.joins import check_names, skew_aware_join
 from enrichkit.operators.ranges import range_lookup
+from enrichkit.operators.sizing import fits_broadcast
 from enrichkit.session import ensure_checkpoint_dir
 
 _LEAST, _MOST = -(2**63), 2**63 - 1
@@ -170,24 +176,27 @@ def address_lookup(
     check_names(df, networks, [])
     own = [F.col(f"`{c}`") for c in df.columns]
     row = F.struct(*[F.col(f"`{c}`") for c in networks.columns])
-    nets = parse_networks(networks.select(row.alias("__row"), F.col(f"`{network_col}`").alias("__net")), "__net",
-                          "__nf", "__np", "__nhi", "__nlo")
+    # Equal rows count once, and the parse is spread over the shuffle's tasks, however few files there are.
+    rows = networks.select(row.alias("__row"), F.col(f"`{network_col}`").alias("__net")).distinct()
+    nets = parse_networks(rows, "__net", "__nf", "__np", "__nhi", "__nlo")
     nets = nets.where(F.col("__nf").isNotNull())
     # Pinned: three kinds of networks are taken from one parse.
     ensure_checkpoint_dir(df.sparkSession)
     nets = nets.select("__nf", "__np", "__nhi", "__nlo", "__row").checkpoint(eager=True)
+    if not fits_broadcast(nets, max_broadcast_bytes):
+        found = _searched(df.select(F.col(f"`{address_col}`").alias("__text")), nets).select(
+            F.col("__text").alias(address_col), F.col("__row").alias("__found"))
+        out = skew_aware_join(df, found.checkpoint(eager=True), [address_col], how, max_broadcast_bytes=max_broadcast_bytes)
+        return out.select(*own, *[F.col(f"__found.`{c}`").alias(c) for c in networks.columns])
     out = parse_addresses(df, address_col, "__af", "__ahi", "__alo")
     out = out.withColumns({"__k4": F.when(F.col("__af") == 4, F.col("__alo")), "__k6": F.when(F.col("__af") == 6, F.col("__ahi"))})
 
-    def size(bits: int) -> Column:
-        return shl(F.lit(1).cast("bigint"), F.lit(bits) - F.col("__np")) - 1
-
     four = nets.where(F.col("__nf") == 4).select(
-        F.col("__nlo").alias("__s4"), (F.col("__nlo") + size(32)).alias("__e4"), F.col("__row").alias("__r4"))
+        F.col("__nlo").alias("__s4"), F.col("__nlo").bitwiseOR(_free_bits(32)).alias("__e4"), F.col("__row").alias("__r4"))
     every = F.col("__np") == 0  # bigints are signed: all of them lie between the least and the most
     six = nets.where((F.col("__nf") == 6) & (F.col("__np") <= 64)).select(
         F.when(every, F.lit(_LEAST)).otherwise(F.col("__nhi")).alias("__s6"),
-        F.when(every, F.lit(_MOST)).otherwise(F.col("__nhi").bitwiseOR(F.when(every, F.lit(0)).otherwise(size(64)))).alias("__e6"),
+        F.when(every, F.lit(_MOST)).otherwise(F.col("__nhi").bitwiseOR(_free_bits(64))).alias("__e6"),
         F.col("__row").alias("__r6"))
     out = range_lookup(out, four, "__k4", start="__s4", end="__e4", how="left", max_broadcast_bytes=max_broadcast_bytes)
     out = range_lookup(out, six, "__k6", start="__s6", end="__e6", how="left", max_broadcast_bytes=max_broadcast_bytes)
@@ -203,6 +212,29 @@ def address_lookup(
     return out.select(*own, *[F.col(f"__found.`{c}`").alias(c) for c in networks.columns])
 
 
+def _free_bits(bits: int) -> Column:
+    """The bits after a network's prefix, of ``bits``, set (up to 63 of them)."""
+    return F.bitwise_not(shl(F.lit(-1).cast("bigint"), F.lit(bits) - F.col("__np")))
+
+
+def _searched(texts: DataFrame, nets: DataFrame) -> DataFrame:
+    """``(.., __text, __row)``: the innermost network of each distinct text that has one."""
+    points = parse_addresses(texts.where(F.col("__text").isNotNull()).distinct(), "__text", "__af", "__ahi", "__alo")
+    points = points.where(F.col("__af").isNotNull())
+    p, hi, lo = F.col("__np"), F.col("__nhi"), F.col("__nlo")
+    four, short = F.col("__nf") == 4, (F.col("__nf") == 6) & (F.col("__np") <= 64)
+
+    # bigints are signed: of a network of no bits all lie between the least and the most.
+    first_hi = F.when(short & (p == 0), F.lit(_LEAST)).otherwise(hi)
+    last_hi = F.when(short & (p == 0), F.lit(_MOST)).when(short, hi.bitwiseOR(_free_bits(64))).otherwise(hi)
+    first_lo = F.when(short, F.lit(_LEAST)).otherwise(lo)
+    last_lo = F.when(four, lo.bitwiseOR(_free_bits(32))).when(short, F.lit(_MOST)).otherwise(lo.bitwiseOR(_free_bits(128)))
+    ranges = nets.select(F.col("__nf").alias("__ef"), "__nf", first_hi.alias("__shi"), first_lo.alias("__slo"),
+                         last_hi.alias("__ehi"), last_lo.alias("__elo"), "__row")
+    return innermost(points, ranges, ["__af", "__ahi", "__alo"], ["__nf", "__shi", "__slo"], ["__ef", "__ehi", "__elo"],
+                     "__row", carry=("__text",))
+
+
 def _longer(keys: DataFrame, nets: DataFrame, max_broadcast_bytes: int | None) -> DataFrame | None:
     """``(__k6, __l6, __r128)``: the innermost network of over 64 bits of each distinct address
     that has one; None without such networks."""

@@ -42,7 +42,7 @@ def _borders(points: DataFrame, ranges: DataFrame, bits: int) -> list[tuple[int,
         return []
     nth = F.lit(max(1, rows // (_SAMPLED * chunks)))
     ends = ranges.where(F.pmod(F.xxhash64("s", "e"), nth) == 0).distinct().select(F.explode(F.array("s", "e")).alias("p"))
-    sample = points.where(F.pmod(F.xxhash64("p"), nth) == 0).distinct().unionByName(ends)
+    sample = points.where(F.pmod(F.xxhash64("p"), nth) == 0).select("p").distinct().unionByName(ends)
     at = sorted(tuple(r.p) for r in sample.collect())  # some 2 * _SAMPLED * chunks at most
     cut = [at[i * len(at) // chunks] for i in range(1, chunks)] if at else []
     return sorted({(*p[:-1], p[-1] >> bits << bits) for p in cut})
@@ -59,16 +59,17 @@ def _chunk_of(position: str, borders: list[tuple[int, ...]]) -> Column:
 
 
 def deal(
-    points: DataFrame, ranges: DataFrame, at: list[str], first: list[str], last: list[str], row: str, bits: int = 0
+    points: DataFrame, ranges: DataFrame, at: list[str], first: list[str], last: list[str], row: str,
+    bits: int = 0, carry: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """``(CHUNK, *at)``, the distinct points, and ``(CHUNK, *first, *last, row)``, the ranges that
-    matter in each chunk. Positions are not null and no range begins after its end."""
+    """``(CHUNK, *at, *carry)``, the distinct points, and ``(CHUNK, *first, *last, row)``, the ranges
+    that matter in each chunk. Positions are not null and no range begins after its end."""
     ensure_checkpoint_dir(points.sparkSession)
     # Pinned: counted, sampled and dealt.
-    keys = points.select(_position(at).alias("p")).distinct().checkpoint(eager=True)
+    keys = points.select(_position(at).alias("p"), *carry).distinct().checkpoint(eager=True)
     spans = ranges.select(_position(first).alias("s"), _position(last).alias("e"), F.col(row).alias("r"))
     borders = _borders(keys, spans.select("s", "e"), bits)
-    keys = keys.select(_chunk_of("p", borders).alias(CHUNK), *[F.col(f"p.p{i}").alias(c) for i, c in enumerate(at)])
+    keys = keys.select(_chunk_of("p", borders).alias(CHUNK), *[F.col(f"p.p{i}").alias(c) for i, c in enumerate(at)], *carry)
 
     inner = F.struct(*[F.bitwise_not(F.col(f"e.p{i}")).alias(f"p{i}") for i in range(len(last))])
     spans = spans.withColumns({"i": _chunk_of("s", borders), "j": _chunk_of("e", borders)})
@@ -97,16 +98,19 @@ def deal(
     )
 
 
-def innermost(points: DataFrame, ranges: DataFrame, at: list[str], first: list[str], last: list[str], row: str) -> DataFrame:
-    """``(*at, row)``: each distinct point that a range holds and the ``row`` of the innermost."""
-    keys, pieces = deal(points, ranges, at, first, last, row)
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in at] + [pieces.schema[row]])
+def innermost(
+    points: DataFrame, ranges: DataFrame, at: list[str], first: list[str], last: list[str], row: str, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(*at, *carry, row)``: each distinct point that a range holds and the ``row`` of the innermost."""
+    keys, pieces = deal(points, ranges, at, first, last, row, carry=carry)
+    own = [*at, *carry]
+    schema = T.StructType([keys.schema[c] for c in own] + [pieces.schema[row]])
 
     def search(k: pa.Table, r: pa.Table) -> pa.Table:
         """Ships by value: it needs numpy and pyarrow alone."""
         n = r.num_rows
         if not n or not k.num_rows:
-            return pa.table({c: k.column(c).slice(0, 0) for c in at} | {row: r.column(row).slice(0, 0)})
+            return pa.table({c: k.column(c).slice(0, 0) for c in own} | {row: r.column(row).slice(0, 0)})
         # Positions as their places in the chunk.
         cols = [np.concatenate([t.column(c).to_numpy() for t, c in ((r, a), (r, b), (k, x))]) for a, b, x in zip(first, last, at)]
         order = np.lexsort(cols[::-1])
@@ -132,6 +136,6 @@ def innermost(points: DataFrame, ranges: DataFrame, at: list[str], first: list[s
             late = late[idx[late] >= 0]
         ok = np.flatnonzero(idx >= 0)
         rows = r.column(row).combine_chunks().take(pa.array(by[idx[ok]]))
-        return pa.table({c: k.column(c).take(pa.array(ok)) for c in at} | {row: rows})
+        return pa.table({c: k.column(c).take(pa.array(ok)) for c in own} | {row: rows})
 
     return keys.groupBy(CHUNK).cogroup(pieces.groupBy(CHUNK)).applyInArrow(search, schema)

@@ -106,3 +106,28 @@ def test_lookup_of_nothing_and_clashes(spark):
     assert rows(address_lookup(one, blocks.limit(0), "ip", how="left")) == [(None, None, None), ("::1", None, None)]
     with pytest.raises(ValueError, match="both sides"):
         address_lookup(one.withColumnRenamed("ip", "network"), blocks, "network")
+
+
+def test_networks_over_the_bound_are_searched_at_once(spark, monkeypatch):
+    """No lookup by kind, no probe by prefix length: networks of all lengths, in many chunks."""
+    def by_kind(*_, **__):
+        raise AssertionError("a lookup for each kind")
+
+    monkeypatch.setattr("enrichkit.operators.addresses.range_lookup", by_kind)
+    monkeypatch.setattr("enrichkit.operators.chunks._CHUNK_ROWS", 25)
+    pick = random.Random(9)
+    at = [*made_addresses(10, 120), "8000::", "7fff::1", "::1", "255.255.255.255"]
+    nets = [f"{a}/{pick.randrange(1, 129 if ':' in a else 33)}" for a in at] + ["::/0", "0.0.0.0/0", "::/1", "8000::/1", "8000::/65"]
+    ips = [*made_addresses(11, 200), *at, *at, *[a.upper() for a in at], *BAD]
+    known = [(n, parsed(n.split("/")[0])[0], ipaddress.ip_network(n, strict=False)) for n in nets]
+    known = [(n, f, net.prefixlen - (96 if f != net.version else 0), int(net[0]) & (MASK >> 32 if f == 4 else 2**128 - 1))
+             for n, f, net in known if f == net.version or net.prefixlen >= 96]
+
+    def best(ip):
+        a = parsed(ip)
+        held = [(p, n) for n, f, p, first in known if a and f == a[0] and a[1] >> ((32 if f == 4 else 128) - p) == first >> ((32 if f == 4 else 128) - p)]
+        return max(held)[1] if held else None
+
+    df = spark.createDataFrame(list(enumerate(ips)), "id int, ip string")
+    got = address_lookup(df, spark.createDataFrame([(n,) for n in nets], "network string"), "ip", how="left", max_broadcast_bytes=0)
+    assert [r.network for r in got.orderBy("id").collect()] == [best(ip) for ip in ips]
