@@ -802,14 +802,16 @@ def keyed_index_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     line breaks; the whole store is read back."""
     root = scratch_path(spark, "keyed_job")
     key = F.col("o_orderkey")
-    orders = fx.table(spark, sf_dir, "orders").repartitionByRange(4, F.sqrt(key), key).sortWithinPartitions(key)
+    orders = fx.table(spark, sf_dir, "orders")
+    files = max(4, orders.count() // 500_000)  # a task sorts and writes a file
+    orders = orders.repartitionByRange(files, F.sqrt(key), key).sortWithinPartitions(key)
     rows = orders.select(
         F.col("o_custkey").alias("RecordId"),
         key.alias("N"),
         F.concat(F.lit('say ""'), key.cast("string"), F.lit('", \n twice ')).alias("Note"),
     )
     write_csv(rows, f"{root}/in", header=True, multiline=True)
-    load_keyed_index(spark, f"{root}/in", f"{root}/store", "recordid", multiline=True)
+    load_keyed_index(spark, f"{root}/in", f"{root}/store", "recordid", multiline=True, line_end="\n")
     return spark.read.parquet(f"{root}/store")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from enrichkit.functions.records import lower_columns
 from enrichkit.functions.text import DEFAULT_MAX_TLD
 from enrichkit.operators.blocklist import MALWARE_LIST_SCHEMA, clean_domain_list
 from enrichkit.operators.geo import geo_enrich
@@ -18,6 +19,7 @@ from enrichkit.operators.keyed import keep_last
 from enrichkit.operators.profile import value_counts
 from enrichkit.sinks.files import create_table_as, write_documents, write_text
 from enrichkit.sources.files import read_csv, read_documents
+from enrichkit.sources.split_csv import read_split_csv
 from enrichkit.streaming.dns import MESSAGE_SCHEMA, read_messages, start_dns_alert_stream
 
 
@@ -90,18 +92,27 @@ def load_keyed_index(
     *,
     fmt: str = "parquet",
     multiline: bool = False,
+    line_end: str | None = None,
 ) -> DataFrame:
     """A headed CSV, names lower-cased, loaded into a recreated keyed store where a key
-    seen again keeps its last row in file order; returns two stored rows as a check."""
-    df = read_csv(spark, csv_path, header=True, lowercase_columns=True, multiline=multiline)
+    seen again keeps its last row in file order; returns two stored rows as a check.
+
+    A ``multiline`` file is read by one task, which finds its line ends; with ``line_end``, the
+    one that its files have, it is read by splits (see ``read_split_csv``)."""
     # Partitions need not follow the files' order: a row's place is its file, its block of the
     # file, and its number within the split (the low bits of the increasing id).
-    order = {
-        "__file": F.col("_metadata.file_path"),
-        "__block": F.col("_metadata.file_block_start"),
-        "__pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
-    }
-    last = keep_last(df.withColumns(order), key, list(order)).drop(*order)
+    if multiline and line_end is not None:
+        df = lower_columns(read_split_csv(spark, csv_path, header=True, line_end=line_end, place="__place"))
+        order = ["__place"]
+    else:
+        df = read_csv(spark, csv_path, header=True, lowercase_columns=True, multiline=multiline)
+        place = {
+            "__file": F.col("_metadata.file_path"),
+            "__block": F.col("_metadata.file_block_start"),
+            "__pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
+        }
+        df, order = df.withColumns(place), list(place)
+    last = keep_last(df, key, order).drop(*order)
     last.write.format(fmt).mode("overwrite").save(target)
     stored = spark.read.format(fmt).load(target)
     return stored.limit(2)

@@ -32,6 +32,7 @@ _PIECE = "file string, start bigint, kind int, record string"
 # Kinds of pieces: a record, lines of a record begun earlier, the begin of one that goes on, the
 # begin of a header that goes on.
 _WHOLE, _LATER, _OPEN, _HEADER = range(4)
+_NUMBERS = (1 << 33) - 1
 
 
 def read_split_csv(
@@ -42,6 +43,7 @@ def read_split_csv(
     schema: StructType | str | None = None,
     line_end: str = "\n",
     max_broadcast_bytes: int | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """The rows that ``read_csv(multiline=True, options={"lineSep": line_end})`` gives, with as
     many tasks as the files have splits.
@@ -50,7 +52,8 @@ def read_split_csv(
     ``write_csv`` writes it (a lone quote within an unquoted field would turn all lines after it).
     ``header`` drops the first record of each file. Without a schema every column is a string,
     named as the sequential reader names it. Records without a character are skipped. A file whose
-    last quote is not closed gives the rest of it as one record.
+    last quote is not closed gives the rest of it as one record. ``place`` names a column with each
+    record's file, the split where it begins and its number there: their order is that of the files.
 
     All scans must see the same splits; if files or the settings that cut them change in between,
     the read fails instead of giving wrong records.
@@ -81,12 +84,19 @@ def read_split_csv(
         .groupBy("file", "number")
         .agg(F.array_sort(F.collect_list(F.struct("start", "begins", "record"))).alias("p"), F.max("kind").alias("kind"))
         .where(F.col("kind") != _HEADER)
-        .select(F.array_join(F.col("p.record"), line_end).alias("record"))
+        # The last record of the split where it begins.
+        .select("file", F.col("p")[0]["start"].alias("start"), F.lit(_NUMBERS).alias("at"), F.array_join(F.col("p.record"), line_end).alias("record"))
     )
-    records = pieces(True).select("record").unionByName(glued).where(F.col("record") != "")
+    # The low bits of the increasing id: the number within the task.
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit(_NUMBERS))
+    within = pieces(True).select("file", "start", number.alias("at"), "record")
+    records = within.unionByName(glued).where(F.col("record") != "")
     ddl = schema if isinstance(schema, str) else _ddl(schema)
     options = CSV_OPTIONS | {"nullValue": _NO_TEXT, "emptyValue": "", "lineSep": line_end, "multiLine": "true"}
-    return records.select(F.from_csv("record", ddl, options).alias("r")).select("r.*")
+    own = [F.from_csv("record", ddl, options).alias("r")]
+    if place is None:
+        return records.select(*own).select("r.*")
+    return records.select(*own, F.struct("file", "start", "at").alias(place)).select("r.*", place)
 
 
 def _ddl(schema: StructType) -> str:

@@ -57,3 +57,24 @@ def test_load_keyed_index_goes_by_file_and_place(spark, tmp_path):
     stored = {r.key: r.v for r in spark.read.parquet(target).collect()}
     assert spark.read.parquet(target).columns == ["key", "v"]
     assert stored["a"] == "last" and stored["b"] == "small" and len(stored) == 2002
+
+
+def test_load_keyed_index_reads_multiline_files_by_splits(spark, tmp_path):
+    """Each file was one task's; the last row in file order stays, wherever the splits are cut."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    texts = [f'"say ""{i}"",\n\n twice "' if i % 3 else str(i) for i in range(400)]
+    (folder / "part-0.csv").write_text("Key,Note\n" + "".join(f"k{i % 37},{t}\n" for i, t in enumerate(texts)))
+    (folder / "part-1.csv").write_text("Key,Note\n" + "".join(f"k{i % 11 + 30},{t}x\n" for i, t in enumerate(texts) if not i % 3))
+    want = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    stored, plain = str(tmp_path / "store"), str(tmp_path / "plain")
+    load_keyed_index(spark, str(folder), plain, "key", multiline=True)
+    for size in (50, 700, 10**8):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            load_keyed_index(spark, str(folder), stored, "key", multiline=True, line_end="\n")
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", want[0])
+            spark.conf.set("spark.sql.files.openCostInBytes", want[1])
+        assert rows(spark.read.parquet(stored)) == rows(spark.read.parquet(plain))
